@@ -25,12 +25,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(v)
+        return int(v) if v.is_integer() and abs(v) < 2**53 else float(v)
+    if isinstance(v, bool):
+        return int(v)
+    if isinstance(v, dt.date) and not isinstance(v, dt.datetime):
+        return dt.datetime(v.year, v.month, v.day)
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None)
     if isinstance(v, dt.datetime):

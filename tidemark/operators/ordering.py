@@ -73,7 +73,7 @@ def _sorted_checkpoint(df: DataFrame, order: list[By]) -> DataFrame:
     return df.orderBy(*[b.sort() for b in order]).checkpoint(eager=True)
 
 
-def _partition_offsets(mat: DataFrame, weight: Column) -> dict[int, int]:
+def _partition_offsets(mat: DataFrame, weight: Column) -> tuple[dict[int, int], int]:
     """Exclusive prefix of per-partition weight totals.  The collected result
     has at most one row per partition of ``mat``: a bound fixed by the plan,
     not by the data volume."""
@@ -87,26 +87,27 @@ def _partition_offsets(mat: DataFrame, weight: Column) -> dict[int, int]:
     for pid in sorted(totals):
         offsets[pid] = acc
         acc += totals[pid]
-    return offsets
+    return offsets, acc
 
 
 def with_row_number(
-    df: DataFrame, order: OrderSpec, name: str = "row_number", start: int = 1
-) -> DataFrame:
+    df: DataFrame, order: OrderSpec, name: str = "row_number", start: int = 1, with_total: bool = False
+):
     """``row_number() over (order by ...)`` without a single-partition window.
 
     The order should be total (add a tie key); otherwise tied rows are numbered
-    in the order the sort left them, as SQL does."""
+    in the order the sort left them, as SQL does.  With ``with_total`` the row
+    count (known from the partition totals) is returned too."""
     order = _norm(order)
     mat = _sorted_checkpoint(df, order)
-    offsets = _partition_offsets(mat, F.lit(1))
+    offsets, total = _partition_offsets(mat, F.lit(1))
     spark = df.sparkSession
     offs = spark.createDataFrame(
         [(pid, off) for pid, off in offsets.items()] or [(0, 0)],
         "_pid int, _off long",
     )
     mask = (1 << _ROW_BITS) - 1
-    return (
+    out = (
         mat.withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(mask)))
         # one row per partition: size bounded by the plan, safe to broadcast
@@ -114,6 +115,7 @@ def with_row_number(
         .withColumn(name, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("long"))
         .drop("_pid", "_pos", "_off")
     )
+    return (out, total) if with_total else out
 
 
 def with_prefix_sum(
@@ -123,7 +125,7 @@ def with_prefix_sum(
     the global order (an exclusive running sum), computed partition-parallel."""
     order = _norm(order)
     mat = _sorted_checkpoint(df.withColumn("_w", weight.cast("long")), order)
-    offsets = _partition_offsets(mat, F.col("_w"))
+    offsets, _ = _partition_offsets(mat, F.col("_w"))
     schema = T.StructType(mat.schema.fields + [T.StructField(name, T.LongType(), False)])
 
     def running(batches):
