@@ -206,3 +206,44 @@ clients AS (
          arg_max(event_type, ts) AS param_name_1, count(*) AS param_name_2
   FROM events GROUP BY user_id)
 """
+
+
+# ------------------------------------------------------------ J1 identity events
+def identity_events(spark: SparkSession, sf: str, start=None, end=None) -> DataFrame:
+    """The event stream in the shape of a web-analytics export:
+    user_id = 'u<id>' on signup/purchase, 'undefined' on error, '' otherwise;
+    client (user_pseudo_id) = 'c<id>_<event_id mod 3>', 'undefined' for one
+    event in 97; fingerprint = '' for one event in 11, a household value
+    'fh<id div 2>' when props.k = 7, else 'f<id>_<k mod 3>'; params = props.
+
+    ``start``/``end`` (dates, inclusive) become a range predicate on the raw
+    timestamp, which reaches the parquet scan."""
+    ev = table(spark, sf, "events")
+    if start is not None:
+        import datetime as _dt
+
+        lo = _dt.datetime.combine(start, _dt.time())
+        hi = _dt.datetime.combine(end + _dt.timedelta(days=1), _dt.time())
+        ev = ev.filter(
+            (F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
+        )
+    k = F.get_json_object(F.col("props"), "$.k").cast("long")
+    uid = F.col("user_id").cast("string")
+    et = F.col("event_type")
+    return ev.select(
+        F.to_date("ts").alias("event_date"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("event_timestamp"),
+        et.alias("event_name"),
+        F.when(et.isin("signup", "purchase"), F.concat(F.lit("u"), uid))
+        .when(et == "error", F.lit("undefined"))
+        .otherwise(F.lit(""))
+        .alias("user_id"),
+        F.when(F.col("event_id") % 97 == 0, F.lit("undefined"))
+        .otherwise(F.concat(F.lit("c"), uid, F.lit("_"), (F.col("event_id") % 3).cast("string")))
+        .alias("user_pseudo_id"),
+        F.when(F.col("event_id") % 11 == 0, F.lit(""))
+        .when(k == 7, F.concat(F.lit("fh"), F.floor(F.col("user_id") / 2).cast("long").cast("string")))
+        .otherwise(F.concat(F.lit("f"), uid, F.lit("_"), (k % 3).cast("string")))
+        .alias("fingerprint"),
+        F.map_entries(F.from_json(F.col("props"), "map<string,string>")).alias("event_params"),
+    )

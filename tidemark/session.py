@@ -74,3 +74,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for a written table."""
     root = checkpoint_dir(spark).rstrip("/")
     return f"{root}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df):
+    """Round-robin a frame that arrives in fewer partitions than the cluster
+    has cores (a small file is one split) before CPU-heavy per-row work.
+    Large inputs already have many splits and are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def materialise(df):
+    """Write ``df`` to the shared checkpoint folder and read it back (reliable
+    checkpoint): later passes read the written table instead of recomputing
+    the lineage, and the data survives the loss of an executor."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
