@@ -239,9 +239,9 @@ def run_days(
 ) -> DataFrame:
     """Process days ``start..end`` in order, each folded into the master.
 
-    Each day's appended rows are checkpointed to the shared checkpoint folder
-    (reliable: they survive executor loss and cut the growing lineage); the
-    master is the union of those snapshots."""
+    Each day's appended rows are written to the shared checkpoint folder
+    (they survive executor loss and cut the growing lineage); the master is
+    the union of those snapshots."""
     spark = events.sparkSession
     master = master if master is not None else empty_master(spark)
     day = start
@@ -314,16 +314,19 @@ def merge_closure(labelled: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Connected components of the id-value graph: every value gets the
     smallest id reachable through shared values (the fixpoint of
     ``merge_day``).  Min-label propagation with partial aggregation; each
-    round's labels are checkpointed (reliable) and the loop stops when no
+    round's labels are written to the checkpoint folder and the loop stops when no
     label changes (one count per round)."""
-    pairs = labelled.select("super_id", "value").filter(
-        F.col("super_id").isNotNull() & F.col("value").isNotNull()
-    ).distinct().checkpoint(eager=True)
+    pairs = materialise(
+        labelled.select("super_id", "value")
+        .filter(F.col("super_id").isNotNull() & F.col("value").isNotNull())
+        .distinct(),
+        "pairs",
+    )
     labels = pairs.select("super_id").distinct().withColumn("label", F.col("super_id"))
     for _ in range(max_rounds):
         vlabel = pairs.join(labels, "super_id").groupBy("value").agg(F.min("label").alias("vlabel"))
         new = pairs.join(vlabel, "value").groupBy("super_id").agg(F.min("vlabel").alias("label"))
-        new = new.checkpoint(eager=True)
+        new = materialise(new, "labels")
         changed = new.join(labels.withColumnRenamed("label", "_old"), "super_id").filter(
             F.col("label") != F.col("_old")
         ).limit(1).count()

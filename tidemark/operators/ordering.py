@@ -3,9 +3,10 @@
 SQL writes global numbering as a window without ``PARTITION BY``
 (``rank() over (order by x)``, ``row_number() over ()``); Spark plans those as
 a single-partition exchange, i.e. one task sorts the whole input.  Here the
-same results come from a range-partitioned sort that is checkpointed once
-(so its partitions are fixed), per-partition totals (one row per partition,
-the only thing the driver sees) and an offset added inside each partition.
+same results come from a range-partitioned sort whose rows record their
+partition and in-partition position before being written once to the shared
+checkpoint folder; per-partition totals (one row per partition, the only
+thing the driver sees) give each partition its offset.
 
 Top-1-per-group is written as a grouped ``max``/``min`` over a struct (partial
 aggregation on the map side, so a group holding a third of the rows is
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import checkpoint_dir
+from tidemark.session import materialise
 
 # Bits of monotonically_increasing_id() that hold the row position.
 _ROW_BITS = 33
@@ -66,28 +67,63 @@ def _norm(order: OrderSpec) -> list[By]:
     return out
 
 
-def _sorted_checkpoint(df: DataFrame, order: list[By]) -> DataFrame:
-    """Range-partitioned sort, materialised so later passes see the same
-    partitions (the range sample and any recomputation cannot reshuffle rows)."""
-    checkpoint_dir(df.sparkSession)
-    return df.orderBy(*[b.sort() for b in order]).checkpoint(eager=True)
-
+def _numbered_table(df: DataFrame, order: list[By], weight: Column | None) -> tuple[DataFrame, dict[int, int], int]:
+    """Sort with range partitioning; inside each sorted partition record the
+    partition id (``_pid``) and the exclusive running sum of the weight
+    (``_local``); write that as a table.  Positions are columns of the written
+    table, so nothing later depends on how files are read back.  Returns the
+    table, the exclusive prefix of partition totals and the grand total; the
+    driver only sees one row per partition (a bound fixed by the plan)."""
+    sorted_df = df.orderBy(*[b.sort() for b in order])
+    if weight is None:
+        mask = (1 << _ROW_BITS) - 1
+        staged = sorted_df.withColumns(
+            {
+                "_pid": F.spark_partition_id(),
+                "_local": F.monotonically_increasing_id().bitwiseAND(F.lit(mask)),
+                "_w": F.lit(1).cast("long"),
+            }
+        )
+    else:
+        weighted = sorted_df.withColumn("_w", weight.cast("long"))
+        schema = T.StructType(
+            weighted.schema.fields
+            + [T.StructField("_pid", T.IntegerType(), False), T.StructField("_local", T.LongType(), False)]
+        )
 
-def _partition_offsets(mat: DataFrame, weight: Column) -> tuple[dict[int, int], int]:
-    """Exclusive prefix of per-partition weight totals.  The collected result
-    has at most one row per partition of ``mat``: a bound fixed by the plan,
-    not by the data volume."""
-    rows = (
-        mat.groupBy(F.spark_partition_id().alias("pid"))
-        .agg(F.sum(weight).alias("total"))
-        .collect()
-    )
-    totals = {r["pid"]: int(r["total"] or 0) for r in rows}
+        def running(batches):
+            from pyspark import TaskContext
+
+            pid, acc = TaskContext.get().partitionId(), 0
+            for pdf in batches:
+                w = pdf["_w"].fillna(0).to_numpy(dtype=np.int64)
+                csum = np.cumsum(w)
+                pdf["_pid"] = pid
+                pdf["_local"] = csum - w + acc
+                if len(csum):
+                    acc += int(csum[-1])
+                yield pdf
+
+        staged = weighted.mapInPandas(running, schema)
+    table = materialise(staged, "numbered")
+    rows = table.groupBy("_pid").agg(F.sum("_w").alias("total")).collect()
+    totals = {r["_pid"]: int(r["total"] or 0) for r in rows}
     offsets, acc = {}, 0
     for pid in sorted(totals):
         offsets[pid] = acc
         acc += totals[pid]
-    return offsets, acc
+    return table, offsets, acc
+
+
+def _with_offsets(table: DataFrame, offsets: dict[int, int], name: str, start: int) -> DataFrame:
+    spark = table.sparkSession
+    offs = spark.createDataFrame([(pid, off) for pid, off in offsets.items()] or [(0, 0)], "_pid int, _off long")
+    return (
+        # one row per partition: size bounded by the plan, safe to broadcast
+        table.join(F.broadcast(offs), "_pid")
+        .withColumn(name, (F.col("_off") + F.col("_local") + F.lit(start)).cast("long"))
+        .drop("_pid", "_local", "_off", "_w")
+    )
 
 
 def with_row_number(
@@ -98,23 +134,8 @@ def with_row_number(
     The order should be total (add a tie key); otherwise tied rows are numbered
     in the order the sort left them, as SQL does.  With ``with_total`` the row
     count (known from the partition totals) is returned too."""
-    order = _norm(order)
-    mat = _sorted_checkpoint(df, order)
-    offsets, total = _partition_offsets(mat, F.lit(1))
-    spark = df.sparkSession
-    offs = spark.createDataFrame(
-        [(pid, off) for pid, off in offsets.items()] or [(0, 0)],
-        "_pid int, _off long",
-    )
-    mask = (1 << _ROW_BITS) - 1
-    out = (
-        mat.withColumn("_pid", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(mask)))
-        # one row per partition: size bounded by the plan, safe to broadcast
-        .join(F.broadcast(offs), "_pid")
-        .withColumn(name, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("long"))
-        .drop("_pid", "_pos", "_off")
-    )
+    table, offsets, total = _numbered_table(df, _norm(order), None)
+    out = _with_offsets(table, offsets, name, start)
     return (out, total) if with_total else out
 
 
@@ -123,24 +144,8 @@ def with_prefix_sum(
 ) -> DataFrame:
     """Add ``name`` = sum of ``weight`` over all rows strictly before each row in
     the global order (an exclusive running sum), computed partition-parallel."""
-    order = _norm(order)
-    mat = _sorted_checkpoint(df.withColumn("_w", weight.cast("long")), order)
-    offsets, _ = _partition_offsets(mat, F.col("_w"))
-    schema = T.StructType(mat.schema.fields + [T.StructField(name, T.LongType(), False)])
-
-    def running(batches):
-        from pyspark import TaskContext
-
-        acc = offsets.get(TaskContext.get().partitionId(), 0)
-        for pdf in batches:
-            w = pdf["_w"].fillna(0).to_numpy(dtype=np.int64)
-            csum = np.cumsum(w)
-            pdf[name] = csum - w + acc
-            if len(csum):
-                acc += int(csum[-1])
-            yield pdf
-
-    return mat.mapInPandas(running, schema).drop("_w")
+    table, offsets, _ = _numbered_table(df, _norm(order), weight)
+    return _with_offsets(table, offsets, name, 0)
 
 
 def _key_join(df: DataFrame, keyed: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -86,9 +86,11 @@ def spread(df):
     return df
 
 
-def materialise(df):
-    """Write ``df`` to the shared checkpoint folder and read it back (reliable
-    checkpoint): later passes read the written table instead of recomputing
-    the lineage, and the data survives the loss of an executor."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df, name: str = "table"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: later passes read the written table instead of recomputing the
+    lineage, the data survives the loss of an executor, and the planner sees
+    its real size.  One job."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
