@@ -92,48 +92,42 @@ def label_day(app: DataFrame, as_of: dt.datetime) -> DataFrame:
     fingerprint.  Groups are numbered by a global rank over (known first,
     key), counting rows.  Anonymous clients without a fingerprint become
     singletons numbered after the largest group id by (value, date_table)."""
+    # the day's click table is read by four branches below: written once
+    app = materialise(app, "app")
     fgp0 = F.when(F.col("fgp") == UNDEFINED, "").otherwise(F.col("fgp"))
     known = app.filter(~_blank(F.col("user_id"))).withColumn("fgp", fgp0)
     anon = app.filter(_blank(F.col("user_id")) & (F.col("client_id") != UNDEFINED)).withColumn("fgp", fgp0)
 
-    def nv(df, name, value, flg, kind, key):
+    def melt(df, kind, key, flg, pairs):
+        """One scan: each row becomes one (name, value) row per attribute."""
+        cells = F.array(*[F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in pairs])
         return df.select(
             F.lit(kind).alias("_kind"),
             key.alias("_key"),
-            F.lit(name).alias("name"),
-            value.alias("value"),
+            F.inline(cells),
             F.lit(flg).alias("user_id_flg"),
             "date_table",
-        ).distinct()
+        )
 
-    uid = F.col("user_id")
-    known_rows = (
-        nv(known, NAME_USER, uid, 1, 0, uid)
-        .unionByName(nv(known, NAME_CLIENT, F.col("client_id"), 1, 0, uid))
-        .unionByName(nv(known, NAME_FINGERPRINT, F.col("fgp"), 1, 0, uid))
-    )
+    uid, cid, fgp = F.col("user_id"), F.col("client_id"), F.col("fgp")
+    known_rows = melt(known, 0, uid, 1, [(NAME_USER, uid), (NAME_CLIENT, cid), (NAME_FINGERPRINT, fgp)])
     # max(rank over fgp, NULL first) per client == rank of max(fgp) per client
     client_key = anon.groupBy("client_id").agg(F.max("fgp").alias("_maxfgp"))
-    anon = join_on_keys(anon, client_key, ["client_id"], "left")
-    has_fp = F.col("fgp").isNotNull() & (F.col("fgp") != "")
-    mk = F.col("_maxfgp")
-    anon_rows = nv(anon.filter(has_fp & F.col("client_id").isNotNull()), NAME_CLIENT, F.col("client_id"), 0, 1, mk).unionByName(
-        nv(anon.filter(has_fp), NAME_FINGERPRINT, F.col("fgp"), 0, 1, mk)
-    )
+    keyed = join_on_keys(anon, client_key, ["client_id"], "left")
+    has_fp = fgp.isNotNull() & (fgp != "")
+    # NULL client values fall to the value filter below, as in the original
+    anon_rows = melt(keyed.filter(has_fp), 1, F.col("_maxfgp"), 0, [(NAME_CLIENT, cid), (NAME_FINGERPRINT, fgp)])
     singles = (
-        anon.filter(F.coalesce(F.col("fgp"), F.lit("")) == "")
-        .select(
-            F.lit(NAME_CLIENT).alias("name"),
-            F.col("client_id").alias("value"),
-            F.lit(0).alias("user_id_flg"),
-            "date_table",
-        )
+        anon.filter(F.coalesce(fgp, F.lit("")) == "")
+        .select(F.lit(NAME_CLIENT).alias("name"), cid.alias("value"), F.lit(0).alias("user_id_flg"), "date_table")
         .distinct()
     )
 
-    # both inputs are read by a ranking pass and again by its join-back
-    grouped = materialise(known_rows.unionByName(anon_rows).filter(F.col("value") != ""))
-    singles = materialise(singles)
+    # names differ across melted attributes, so one distinct equals the
+    # original per-projection GROUP BYs; read by the rank pass and its join-back
+    grouped = materialise(
+        known_rows.unionByName(anon_rows).filter(F.col("value") != "").distinct(), "name_value"
+    )
     ranked = with_global_rank(grouped, [By("_kind"), By("_key")], name="super_id")
     top = ranked.agg(F.max("super_id")).first()[0]  # one scalar
     numbered = with_row_number(singles, [By("value"), By("date_table")], name="_rn")

@@ -10,13 +10,15 @@ what makes broadcasting it safe.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.text import normalise, spaced, substrings
-from tidemark.session import spread
+from tidemark.functions.text import normalise, spaced
+from tidemark.session import materialise, spread
 
 # Vocabulary size, n-gram range and cluster count of the job.
 MAX_FEATURES = 250
@@ -35,12 +37,47 @@ def documents(df: DataFrame, text_col: str, normalise_text: bool = False) -> Dat
     return out
 
 
+def _gram_counter(doc_cols: list[str], text_col: str, lo: int, hi: int):
+    """Per Arrow batch: count each whole document's substrings of lo..hi code
+    points (one document at a time, so memory is bounded by the longest
+    document, never by a group of documents)."""
+
+    def count(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            keys = {c: [] for c in doc_cols}
+            grams, counts = [], []
+            doc_values = [pdf[c].tolist() for c in doc_cols]
+            for i, text in enumerate(pdf[text_col].tolist()):
+                found = Counter()
+                size = len(text)
+                for n in range(lo, hi + 1):
+                    found.update(text[j : j + n] for j in range(size - n + 1))
+                for gram, c in found.items():
+                    for col, values in zip(doc_cols, doc_values):
+                        keys[col].append(values[i])
+                    grams.append(gram)
+                    counts.append(c)
+            yield pd.DataFrame({**keys, "gram": grams, "term_count": pd.Series(counts, dtype="int64")})
+
+    return count
+
+
 def term_counts(df: DataFrame, doc_cols: Sequence[str], text_col: str) -> DataFrame:
     """(doc..., gram, term_count) for every n-gram present in a document,
-    with the n-gram still as its raw substring (see ``substrings``)."""
+    with the n-gram still as its raw substring (see ``substrings``).
+
+    Counting happens inside the task that holds the document (Arrow batches
+    through ``mapInPandas``), so rows leave the task already combined per
+    (document, gram); ``substrings`` is the JVM expression of the same grams."""
+    doc_cols = list(doc_cols)
     lo, hi = NGRAM_RANGE
-    grams = df.select(*doc_cols, F.explode(substrings(F.col(text_col), lo, hi)).alias("gram"))
-    return grams.groupBy(*doc_cols, "gram").agg(F.count(F.lit(1)).alias("term_count"))
+    fields = [df.schema[c] for c in doc_cols] + [
+        T.StructField("gram", T.StringType()),
+        T.StructField("term_count", T.LongType()),
+    ]
+    return df.select(*doc_cols, text_col).mapInPandas(_gram_counter(doc_cols, text_col, lo, hi), T.StructType(fields))
 
 
 def vocabulary(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -61,7 +98,8 @@ def vocabulary(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame
 
 def restricted_counts(df: DataFrame, doc_cols: Sequence[str], text_col: str, max_features: int = MAX_FEATURES):
     """Sparse count matrix over the vocabulary, and the vocabulary itself."""
-    counts = term_counts(df, doc_cols, text_col)
+    # read twice (vocabulary, then the join): written once
+    counts = materialise(term_counts(df, doc_cols, text_col), "term_counts")
     vocab = vocabulary(counts, max_features)
     kept = counts.join(F.broadcast(vocab.select("gram", "term", "term_index")), "gram").drop("gram")
     return kept, vocab
@@ -96,18 +134,24 @@ def kmeans_clusters(
 ) -> DataFrame:
     """Fit k-means on the count vectors and assign every document.
 
-    The vocabulary (max_features terms) is the only thing collected to the
-    driver; vectors are built JVM-side by a CountVectorizerModel over it and
-    k-means runs distributed (MLlib)."""
+    Features come from the kept sparse counts (at most ``max_features`` per
+    document, so the per-document gather is bounded) as a dense vector of the
+    vocabulary size; k-means runs distributed (MLlib)."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import CountVectorizerModel
+    from pyspark.ml.functions import array_to_vector
 
     doc_cols = list(doc_cols)
-    counts = term_counts(df, doc_cols, text_col)
-    vocab = [r["gram"] for r in vocabulary(counts, max_features).orderBy("term_index").collect()]
-    lo, hi = NGRAM_RANGE
-    grams = df.select(*doc_cols, substrings(F.col(text_col), lo, hi).alias("_grams"))
-    vectors = CountVectorizerModel.from_vocabulary(vocab, inputCol="_grams", outputCol="features").transform(grams)
+    kept, vocab = restricted_counts(df, doc_cols, text_col, max_features)
+    size = vocab.count()  # <= max_features
+    per_doc = kept.groupBy(*doc_cols).agg(
+        F.map_from_entries(F.collect_list(F.struct("term_index", "term_count"))).alias("_m")
+    )
+    docs = df.select(*doc_cols).join(per_doc, doc_cols, "left")
+    dense = F.transform(
+        F.sequence(F.lit(0), F.lit(max(size, 1) - 1)),
+        lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0)).cast("double"),
+    )
+    # read by every k-means iteration and by the final assignment
+    vectors = materialise(docs.select(*doc_cols, array_to_vector(dense).alias("features")), "features")
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
     return model.transform(vectors).select(*doc_cols, F.col("cluster").cast("int").alias("cluster"))
-
