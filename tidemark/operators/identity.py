@@ -25,13 +25,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.contacts import ts_literal
 from tidemark.operators.grouping import join_on_keys
-from tidemark.operators.ordering import By, with_global_rank, with_row_number
+from tidemark.operators.ordering import By, with_global_rank, with_prefix_sums, with_row_number
 from tidemark.session import materialise
 
 # Sentinels and attribute names of the original tables.
@@ -251,48 +251,72 @@ def run_days(
 def user_sessions(master: DataFrame) -> DataFrame:
     """``name_value_x_rank``: successive users inside a person.
 
-    Each value takes the smallest id, first insert and first-seen time of
-    its rows.  User rows are ranked (dense) by first-seen time inside the
-    person; every row carries the last rank at or before it on the person's
-    timeline (date_table, value), 1 if none.  user_id_rank numbers (person,
-    user in effect) pairs globally, and a returning user keeps the first rank
-    of its pair."""
+    Each value takes the smallest id, first insert and first-seen time of its
+    rows.  User rows are ranked (dense) by first-seen time inside the person;
+    every row carries the last rank at or before it on the person's timeline
+    (date_table, value; ties included), 1 if none.  user_id_rank numbers
+    (person, user in effect) pairs globally, and a returning user keeps the
+    first rank of its pair.
+
+    No per-person window: the carried rank is monotone along the timeline, so
+    it equals the number of user *dates* whose first user row lies at or
+    before the row, and the user in effect is the user row whose global index
+    equals the number of user rows at or before it.  Both counts come from
+    one distributed prefix sum over (person, date_table, value, kind), in
+    which a person holding a third of all rows spans many range partitions;
+    the person's starting counts come from a grouped minimum."""
     per_value = master.groupBy("value").agg(
         F.min("super_id").alias("_sid"),
         F.min("date_insert").alias("_di"),
         F.min("date_table").alias("_dt"),
     )
-    base = join_on_keys(master.select("name", "value"), per_value, ["value"], "left").select(
+    rows = join_on_keys(master.select("name", "value"), per_value, ["value"], "left").select(
         F.col("_sid").alias("super_id"),
         "name",
         "value",
         F.col("_di").alias("date_insert"),
         F.col("_dt").alias("date_table"),
+    ).distinct()
+    users = rows.filter(F.col("name") == NAME_USER).select("super_id", "date_table", "value").distinct()
+    first_at_date = users.groupBy("super_id", "date_table").agg(F.min("value").alias("_first"))
+    markers = users.join(first_at_date, ["super_id", "date_table"]).select(
+        "super_id",
+        "date_table",
+        "value",
+        F.lit(0).alias("_kind"),
+        (F.col("value") == F.col("_first")).cast("long").alias("_wd"),
+        F.lit(1).cast("long").alias("_wu"),
     )
-    is_user = F.col("name") == NAME_USER
-    user_days = base.filter(is_user).select("super_id", "date_table").distinct()
-    user_days = user_days.withColumn(
-        "_rank", F.dense_rank().over(Window.partitionBy("super_id").orderBy("date_table"))
-    )
-    base = base.join(
-        user_days.withColumn("_u", F.lit(True)),
-        ["super_id", "date_table"],
-        "left",
-    ).withColumn("_rank", F.when(is_user, F.col("_rank")))
-    timeline = Window.partitionBy("super_id").orderBy("date_table", "value").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
+    elements = rows.select(
+        "super_id", "date_table", "value", F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_wd"),
+        F.lit(0).cast("long").alias("_wu"), "name", "date_insert",
+    ).unionByName(markers, allowMissingColumns=True)
+    counted = materialise(
+        with_prefix_sums(
+            elements,
+            [By("super_id"), By("date_table"), By("value"), By("_kind")],
+            {"_bd": F.col("_wd"), "_bu": F.col("_wu")},
+        ),
+        "timeline",
     )
-    ff_rank = F.coalesce(F.last("_rank", ignorenulls=True).over(timeline), F.lit(1))
-    ff_user = F.last(F.when(is_user, F.col("value")), ignorenulls=True).over(timeline)
-    ranked = base.withColumns(
-        {"rank_of_super_id": F.when(ff_rank == 0, F.lit(1)).otherwise(ff_rank).cast("long"), "_user": ff_user}
+    start = counted.groupBy("super_id").agg(F.min("_bd").alias("_bd0"), F.min("_bu").alias("_bu0"))
+    user_index = counted.filter(F.col("_kind") == 0).select(
+        (F.col("_bu") + 1).alias("_idx"), F.col("value").alias("_user")
     )
-    ranked = with_global_rank(ranked, [By("super_id"), By("_user")], name="user_id_rank", dense=True)
-    rows = ranked.select(
+    timeline = join_on_keys(counted.filter(F.col("_kind") == 1), start, ["super_id"], "left")
+    dates_before = F.col("_bd") - F.col("_bd0")
+    timeline = timeline.withColumns(
+        {
+            "rank_of_super_id": F.when(dates_before == 0, F.lit(1)).otherwise(dates_before).cast("long"),
+            "_idx": F.when(F.col("_bu") > F.col("_bu0"), F.col("_bu")),
+        }
+    ).join(user_index, "_idx", "left")
+    ranked = with_global_rank(timeline, [By("super_id"), By("_user")], name="user_id_rank", dense=True)
+    out = ranked.select(
         "super_id", "name", "value", "date_insert", "date_table", "rank_of_super_id", "user_id_rank"
     ).distinct()
-    first = rows.groupBy("user_id_rank").agg(F.min("rank_of_super_id").alias("_first"))
-    return join_on_keys(rows, first, ["user_id_rank"], "left").select(
+    first = out.groupBy("user_id_rank").agg(F.min("rank_of_super_id").alias("_first"))
+    return join_on_keys(out, first, ["user_id_rank"], "left").select(
         "super_id",
         "name",
         "value",

@@ -67,63 +67,84 @@ def _norm(order: OrderSpec) -> list[By]:
     return out
 
 
-def _numbered_table(df: DataFrame, order: list[By], weight: Column | None) -> tuple[DataFrame, dict[int, int], int]:
+def _numbered_table(
+    df: DataFrame, order: list[By], weights: dict[str, Column] | None
+) -> tuple[DataFrame, dict[str, dict[int, int]], dict[str, int]]:
     """Sort with range partitioning; inside each sorted partition record the
-    partition id (``_pid``) and the exclusive running sum of the weight
-    (``_local``); write that as a table.  Positions are columns of the written
-    table, so nothing later depends on how files are read back.  Returns the
-    table, the exclusive prefix of partition totals and the grand total; the
-    driver only sees one row per partition (a bound fixed by the plan)."""
+    partition id (``_pid``) and, per weight, the exclusive running sum
+    (``_local_<name>``); write that as a table.  Positions are columns of the
+    written table, so nothing later depends on how files are read back.
+
+    Returns the table, per weight the exclusive prefix of partition totals,
+    and per weight the grand total.  The driver only sees one row per
+    partition (a bound fixed by the plan, not by the data)."""
     sorted_df = df.orderBy(*[b.sort() for b in order])
-    if weight is None:
+    if weights is None:
+        names = ["n"]
         mask = (1 << _ROW_BITS) - 1
         staged = sorted_df.withColumns(
             {
                 "_pid": F.spark_partition_id(),
-                "_local": F.monotonically_increasing_id().bitwiseAND(F.lit(mask)),
-                "_w": F.lit(1).cast("long"),
+                "_local_n": F.monotonically_increasing_id().bitwiseAND(F.lit(mask)),
+                "_w_n": F.lit(1).cast("long"),
             }
         )
     else:
-        weighted = sorted_df.withColumn("_w", weight.cast("long"))
+        names = list(weights)
+        weighted = sorted_df.withColumns({f"_w_{k}": w.cast("long") for k, w in weights.items()})
         schema = T.StructType(
             weighted.schema.fields
-            + [T.StructField("_pid", T.IntegerType(), False), T.StructField("_local", T.LongType(), False)]
+            + [T.StructField("_pid", T.IntegerType(), False)]
+            + [T.StructField(f"_local_{k}", T.LongType(), False) for k in names]
         )
 
         def running(batches):
             from pyspark import TaskContext
 
-            pid, acc = TaskContext.get().partitionId(), 0
+            pid = TaskContext.get().partitionId()
+            acc = dict.fromkeys(names, 0)
             for pdf in batches:
-                w = pdf["_w"].fillna(0).to_numpy(dtype=np.int64)
-                csum = np.cumsum(w)
                 pdf["_pid"] = pid
-                pdf["_local"] = csum - w + acc
-                if len(csum):
-                    acc += int(csum[-1])
+                for k in names:
+                    w = pdf[f"_w_{k}"].fillna(0).to_numpy(dtype=np.int64)
+                    csum = np.cumsum(w)
+                    pdf[f"_local_{k}"] = csum - w + acc[k]
+                    if len(csum):
+                        acc[k] += int(csum[-1])
                 yield pdf
 
         staged = weighted.mapInPandas(running, schema)
     table = materialise(staged, "numbered")
-    rows = table.groupBy("_pid").agg(F.sum("_w").alias("total")).collect()
-    totals = {r["_pid"]: int(r["total"] or 0) for r in rows}
-    offsets, acc = {}, 0
-    for pid in sorted(totals):
-        offsets[pid] = acc
-        acc += totals[pid]
-    return table, offsets, acc
-
-
-def _with_offsets(table: DataFrame, offsets: dict[int, int], name: str, start: int) -> DataFrame:
+    rows = table.groupBy("_pid").agg(*[F.sum(f"_w_{k}").alias(k) for k in names]).collect()
+    offsets: dict[str, dict[int, int]] = {k: {} for k in names}
+    totals = dict.fromkeys(names, 0)
+    for r in sorted(rows, key=lambda r: r["_pid"]):
+        for k in names:
+            offsets[k][r["_pid"]] = totals[k]
+            totals[k] += int(r[k] or 0)
+    return table, offsets, totals
+
+
+def _with_offsets(
+    table: DataFrame, offsets: dict[str, dict[int, int]], out: dict[str, str], start: int
+) -> DataFrame:
+    """Add ``out[name]`` = partition offset + in-partition running sum + start."""
     spark = table.sparkSession
-    offs = spark.createDataFrame([(pid, off) for pid, off in offsets.items()] or [(0, 0)], "_pid int, _off long")
-    return (
-        # one row per partition: size bounded by the plan, safe to broadcast
-        table.join(F.broadcast(offs), "_pid")
-        .withColumn(name, (F.col("_off") + F.col("_local") + F.lit(start)).cast("long"))
-        .drop("_pid", "_local", "_off", "_w")
+    names = list(offsets)
+    pids = sorted(set().union(*[set(o) for o in offsets.values()])) or [0]
+    offs = spark.createDataFrame(
+        [(pid, *[offsets[k].get(pid, 0) for k in names]) for pid in pids],
+        ", ".join(["_pid int"] + [f"_off_{k} long" for k in names]),
     )
+    # one row per partition: size bounded by the plan, safe to broadcast
+    joined = table.join(F.broadcast(offs), "_pid").withColumns(
+        {
+            out[k]: (F.col(f"_off_{k}") + F.col(f"_local_{k}") + F.lit(start)).cast("long")
+            for k in names
+        }
+    )
+    helpers = ["_pid"] + [f"{p}_{k}" for k in names for p in ("_off", "_local", "_w")]
+    return joined.drop(*helpers)
 
 
 def with_row_number(
@@ -134,18 +155,24 @@ def with_row_number(
     The order should be total (add a tie key); otherwise tied rows are numbered
     in the order the sort left them, as SQL does.  With ``with_total`` the row
     count (known from the partition totals) is returned too."""
-    table, offsets, total = _numbered_table(df, _norm(order), None)
-    out = _with_offsets(table, offsets, name, start)
-    return (out, total) if with_total else out
+    table, offsets, totals = _numbered_table(df, _norm(order), None)
+    out = _with_offsets(table, offsets, {"n": name}, start)
+    return (out, totals["n"]) if with_total else out
+
+
+def with_prefix_sums(df: DataFrame, order: OrderSpec, weights: dict[str, Column]) -> DataFrame:
+    """For each ``name -> weight``, add column ``name`` = sum of the weight
+    over all rows strictly before the row in the global order (exclusive
+    running sums), computed partition-parallel in one sort."""
+    table, offsets, _ = _numbered_table(df, _norm(order), dict(weights))
+    return _with_offsets(table, offsets, {k: k for k in weights}, 0)
 
 
 def with_prefix_sum(
     df: DataFrame, order: OrderSpec, weight: Column, name: str = "before"
 ) -> DataFrame:
-    """Add ``name`` = sum of ``weight`` over all rows strictly before each row in
-    the global order (an exclusive running sum), computed partition-parallel."""
-    table, offsets, _ = _numbered_table(df, _norm(order), weight)
-    return _with_offsets(table, offsets, name, 0)
+    """Exclusive running sum of one weight over the global order."""
+    return with_prefix_sums(df, order, {name: weight})
 
 
 def _key_join(df: DataFrame, keyed: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
