@@ -135,3 +135,12 @@ def test_stream_matches_batch_loop(spark):
     batch = I.run_days(ev, D1, D2, AS_OF)
     key = lambda r: (r["value"], r["name"], r["super_id"])
     assert sorted(map(key, streamed.collect())) == sorted(map(key, batch.collect()))
+
+
+def test_closure_long_chain_converges(spark):
+    # id i holds values v_i and v_{i+1}: one component of 200 ids, diameter ~400
+    n = 200
+    rows = [(i, "fingerprint", f"v{i + k}", AS_OF, i) for i in range(1, n + 1) for k in (0, 1)]
+    lab = spark.createDataFrame(rows, "super_id long, name string, value string, date_insert timestamp_ntz, date_table long")
+    out = I.merge_closure(lab, max_rounds=20)
+    assert {r["super_id"] for r in out.collect()} == {1}

@@ -328,26 +328,37 @@ def user_sessions(master: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ J1k
-def merge_closure(labelled: DataFrame, max_rounds: int = 50) -> DataFrame:
+def merge_closure(labelled: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Connected components of the id-value graph: every value gets the
     smallest id reachable through shared values (the fixpoint of
-    ``merge_day``).  Min-label propagation with partial aggregation; each
-    round's labels are written to the checkpoint folder and the loop stops when no
-    label changes (one count per round)."""
+    ``merge_day``).
+
+    Each round is one min-label hop through the values (partial
+    aggregation on both group-bys) followed by pointer jumping (an id adopts
+    its label's label), so long chains need about log2(diameter) rounds.
+    Labels are written to the checkpoint folder every round, and the loop
+    stops when no label changed (one bounded count per round)."""
     pairs = materialise(
         labelled.select("super_id", "value")
         .filter(F.col("super_id").isNotNull() & F.col("value").isNotNull())
         .distinct(),
         "pairs",
     )
-    labels = pairs.select("super_id").distinct().withColumn("label", F.col("super_id"))
+    labels = materialise(pairs.select("super_id").distinct().withColumn("label", F.col("super_id")), "labels")
     for _ in range(max_rounds):
         vlabel = pairs.join(labels, "super_id").groupBy("value").agg(F.min("label").alias("vlabel"))
-        new = pairs.join(vlabel, "value").groupBy("super_id").agg(F.min("vlabel").alias("label"))
-        new = materialise(new, "labels")
-        changed = new.join(labels.withColumnRenamed("label", "_old"), "super_id").filter(
-            F.col("label") != F.col("_old")
-        ).limit(1).count()
+        hop = pairs.join(vlabel, "value").groupBy("super_id").agg(F.min("vlabel").alias("label"))
+        parent = hop.select(F.col("super_id").alias("label"), F.col("label").alias("_grand"))
+        jumped = hop.join(parent, "label", "left").select(
+            "super_id", F.least(F.col("label"), F.coalesce(F.col("_grand"), F.col("label"))).alias("label")
+        )
+        new = materialise(jumped, "labels")
+        changed = (
+            new.join(labels.withColumnRenamed("label", "_old"), "super_id")
+            .filter(F.col("label") != F.col("_old"))
+            .limit(1)
+            .count()
+        )
         labels = new
         if changed == 0:
             break
