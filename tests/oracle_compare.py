@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import sys
 import time
 
@@ -85,7 +86,8 @@ def main(argv: list[str]) -> int:
 
     sf_dir = "/root/testdata/sf0.01"
     names = [a for a in argv if not a.startswith("--")]
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, extra_conf={"spark.sql.session.timeZone": os.environ.get("CHECK_TZ", "UTC")})
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("CHECK_TZ", "UTC"))
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0

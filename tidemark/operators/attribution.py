@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.time import utc_date_of_epoch_seconds
 from tidemark.operators.grouping import join_on_keys
 
 # channel_coeff -> weight_of_channel (others give NULL).
@@ -40,7 +41,8 @@ def time_decay(
     value: str = "value",
 ) -> DataFrame:
     d = "date_difference_click_reg"
-    days = F.datediff(F.to_date(F.col(registration)), F.to_date(F.timestamp_seconds(F.col(event_seconds))))
+    # the click's UTC date (BigQuery DATE() of a timestamp is UTC)
+    days = F.datediff(F.to_date(F.col(registration)), utc_date_of_epoch_seconds(F.col(event_seconds)))
     base = clicks.withColumns(
         {
             "weight_of_channel": _channel_weight(F.col(channel)),

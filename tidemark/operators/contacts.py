@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.time import ntz_literal
+
 # Fixed values (thresholds of the original job).
 UNREACHABLE_SECONDS = 20
 SUCCEEDED_SECONDS = 60
@@ -26,13 +28,7 @@ FINISH_WAIT_DAYS = 3
 
 def ts_literal(value: dt.datetime | dt.date | str) -> Column:
     """A TIMESTAMP_NTZ literal (the test tables' timestamp type)."""
-    if isinstance(value, dt.datetime):
-        text = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    elif isinstance(value, dt.date):
-        text = value.strftime("%Y-%m-%d 00:00:00")
-    else:
-        text = value
-    return F.expr(f"TIMESTAMP_NTZ '{text}'")
+    return ntz_literal(value)
 
 
 def pair_columns(a: str = "phone_from", b: str = "phone_to") -> tuple[Column, Column]:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.time import epoch_micros, epoch_seconds, ntz_literal
 from tidemark.sources.tables import table
 
 # ------------------------------------------------------------ J2 clicks
@@ -34,7 +35,7 @@ def clicks(spark: SparkSession, sf: str) -> DataFrame:
     return touches.join(signups, "user_id").filter(F.col("ts") <= F.col("registration_date")).select(
         F.col("user_id").alias("prospect_id"),
         "event_id",
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("event_timestamp"),
+        epoch_seconds(F.col("ts")).alias("event_timestamp"),
         "registration_date",
         channel.alias("channel_coeff"),
         F.col("conversion_value").alias("value"),
@@ -131,8 +132,8 @@ def paying_users(spark: SparkSession, sf: str) -> DataFrame:
     od = table(spark, sf, "orders")
     per = (
         od.filter(
-            (F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
-            & (F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+            (F.col("o_orderdate") >= ntz_literal("1997-01-01 00:00:00"))
+            & (F.col("o_orderdate") < ntz_literal("1998-01-01 00:00:00"))
             & (F.col("o_orderpriority") == "1-URGENT")
         )
         .groupBy("o_custkey")
@@ -224,15 +225,13 @@ def identity_events(spark: SparkSession, sf: str, start=None, end=None) -> DataF
 
         lo = _dt.datetime.combine(start, _dt.time())
         hi = _dt.datetime.combine(end + _dt.timedelta(days=1), _dt.time())
-        ev = ev.filter(
-            (F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
-        )
+        ev = ev.filter((F.col("ts") >= ntz_literal(lo)) & (F.col("ts") < ntz_literal(hi)))
     k = F.get_json_object(F.col("props"), "$.k").cast("long")
     uid = F.col("user_id").cast("string")
     et = F.col("event_type")
     return ev.select(
         F.to_date("ts").alias("event_date"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("event_timestamp"),
+        epoch_micros(F.col("ts")).alias("event_timestamp"),
         et.alias("event_name"),
         F.when(et.isin("signup", "purchase"), F.concat(F.lit("u"), uid))
         .when(et == "error", F.lit("undefined"))

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.time import ntz_literal
+
 # The load dispositions of the original uploader, mapped to
 # Spark save modes.
 WRITE_MODES = {
@@ -82,6 +84,6 @@ def load_window(
         raise ValueError("target is empty: give start_if_empty")
     end = as_of  # exclusive: the window ends the day before as_of
     col = F.col(date_col)
-    lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
-    hi = F.lit(dt.datetime.combine(end, dt.time())).cast("timestamp_ntz")
+    lo = ntz_literal(dt.datetime.combine(start, dt.time()))
+    hi = ntz_literal(dt.datetime.combine(end, dt.time()))
     return source.filter((col >= lo) & (col < hi))
