@@ -49,3 +49,29 @@ def test_next_load_date_and_window(spark):
     assert sorted(r["date"].day for r in w.collect()) == [11, 12, 13, 14]
     with pytest.raises(ValueError):
         io.load_window(src, empty, "date", dt.date(2024, 1, 15))
+
+
+def test_conform_insert_column_list(spark):
+    from tidemark import schemas
+
+    df = spark.createDataFrame([("a", "b")], "phone_1 string, phone_2 string")
+    out = io.conform(df, schemas.FACT_CONTACTS)
+    assert out.columns == schemas.FACT_CONTACTS.fieldNames()
+    row = out.first()
+    assert row["phone_1"] == "a" and row["Total_Calls_cnt"] is None
+    with pytest.raises(ValueError):
+        io.conform(spark.createDataFrame([(1,)], "nope int"), schemas.FACT_CONTACTS)
+
+
+def test_suffix_shards(spark):
+    from tidemark.sources.shards import read_suffix_shards
+
+    root = tempfile.mkdtemp(prefix="tidemark-test-")
+    for name, n in [("events_20240105", 2), ("events_intraday_20240105", 1), ("events_20240106", 3), ("events_v2_20240105", 4)]:
+        spark.range(n).write.parquet(os.path.join(root, name))
+    got = read_suffix_shards(spark, root, "events_", dt.date(2024, 1, 5), dt.date(2024, 1, 5))
+    suffixes = sorted(r["_table_suffix"] for r in got.collect())
+    # 'v2_20240105' extracts '2' as its first digit run, so it is outside the range
+    assert suffixes == ["20240105", "20240105", "intraday_20240105"]
+    both = read_suffix_shards(spark, root, "events_", dt.date(2024, 1, 5), dt.date(2024, 1, 6))
+    assert both.count() == 6

@@ -201,3 +201,25 @@ def test_page_elements_skip_script_and_comments(spark):
         (7, "div_ad", 0, "Buy <now>"),
         (7, "h1", 0, "Tom & Jerry"),
     ]
+
+
+def test_normalise_and_ngrams(spark):
+    from tidemark.functions.text import normalise, spaced, substrings
+    from tidemark.operators import text
+
+    df = spark.createDataFrame([(1, "Ab, c!"), (2, "")], "id long, t string")
+    assert df.select(normalise(F.col("t"))).first()[0] == "ab  c "
+    assert df.select(spaced(F.lit("abc"))).first()[0] == "a b c"
+    grams = df.filter("id = 1").select(substrings(F.col("t"), 1, 2)).first()[0]
+    assert grams[:6] == ["A", "b", ",", " ", "c", "!"] and grams[6:] == ["Ab", "b,", ", ", " c", "c!"]
+    # brute force: whole-text character n-gram counts as the reference analyzer builds them
+    docs = spark.createDataFrame([(1, 0, "abab a"), (2, 0, "bb"), (3, 0, "")], "conv_id long, turn long, text string")
+    got = {(r["conv_id"], r["term"]): r["term_count"] for r in text.restricted_counts(docs, ["conv_id", "turn"], "text", 1000)[0].collect()}
+    want = {}
+    for cid, _, t in docs.collect():
+        chars = list(t)
+        for n in range(1, 5):
+            for i in range(len(chars) - n + 1):
+                key = (cid, " ".join(chars[i : i + n]))
+                want[key] = want.get(key, 0) + 1
+    assert got == want

@@ -59,7 +59,8 @@ def _gram_counter(doc_cols: list[str], text_col: str, lo: int, hi: int):
                         keys[col].append(values[i])
                     grams.append(gram)
                     counts.append(c)
-            yield pd.DataFrame({**keys, "gram": grams, "term_count": pd.Series(counts, dtype="int64")})
+            if grams:  # a batch of empty texts has nothing to emit
+                yield pd.DataFrame({**keys, "gram": grams, "term_count": pd.Series(counts, dtype="int64")})
 
     return count
 

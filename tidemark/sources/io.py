@@ -87,3 +87,18 @@ def load_window(
     lo = ntz_literal(dt.datetime.combine(start, dt.time()))
     hi = ntz_literal(dt.datetime.combine(end, dt.time()))
     return source.filter((col >= lo) & (col < hi))
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """INSERT with a column list: the target's columns in its order, values
+    cast to its types, columns the source does not give as typed NULLs.
+    Source columns unknown to the target are an error."""
+    unknown = [c for c in df.columns if c not in schema.fieldNames()]
+    if unknown:
+        raise ValueError(f"columns not in the target: {unknown}")
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )

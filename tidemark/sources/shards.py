@@ -29,3 +29,31 @@ def read_day_shards(
     if end is not None:
         df = df.filter(F.col(date_col) <= F.lit(end))
     return df
+
+
+def read_suffix_shards(
+    spark: SparkSession,
+    root: str,
+    prefix: str,
+    start: dt.date,
+    end: dt.date,
+    suffix_col: str = "_table_suffix",
+) -> DataFrame:
+    """Wildcard table ``<prefix>*`` whose shard suffix's first run of digits
+    lies in [start, end] as yyyymmdd, so ``intraday_YYYYMMDD`` shards count
+    too.  A path glob over the requested days prunes the listing; the exact
+    digit rule is then applied to each row's shard folder name."""
+    days, day = [], start
+    while day <= end:
+        days.append(day.strftime("%Y%m%d"))
+        day += dt.timedelta(days=1)
+    if not days:
+        raise ValueError("empty day range")
+    pattern = f"{root.rstrip('/')}/{prefix}*{{{','.join(days)}}}"
+    df = spark.read.parquet(pattern)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/{prefix}([^/]*)/[^/]*$", 1)
+    digits = F.regexp_extract(folder, "[0-9]+", 0)
+    return (
+        df.withColumn(suffix_col, folder)
+        .filter(digits.between(F.lit(days[0]), F.lit(days[-1])))
+    )
