@@ -128,8 +128,7 @@ def label_day(app: DataFrame, as_of: dt.datetime) -> DataFrame:
     grouped = materialise(
         known_rows.unionByName(anon_rows).filter(F.col("value") != "").distinct(), "name_value"
     )
-    ranked = with_global_rank(grouped, [By("_kind"), By("_key")], name="super_id")
-    top = ranked.agg(F.max("super_id")).first()[0]  # one scalar
+    ranked, top = with_global_rank(grouped, [By("_kind"), By("_key")], name="super_id", with_max=True)
     numbered = with_row_number(singles, [By("value"), By("date_table")], name="_rn")
     singles_out = numbered.withColumn(
         "super_id", (F.col("_rn") + F.lit(top)).cast("long") if top is not None else F.lit(None).cast("long")

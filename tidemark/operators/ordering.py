@@ -184,13 +184,15 @@ def _key_join(df: DataFrame, keyed: DataFrame, keys: list[str], how: str = "inne
 
 
 def with_global_rank(
-    df: DataFrame, order: OrderSpec, name: str = "rank", dense: bool = False
-) -> DataFrame:
+    df: DataFrame, order: OrderSpec, name: str = "rank", dense: bool = False, with_max: bool = False
+):
     """``rank()`` / ``dense_rank()`` over a global order.
 
     Rows are first combined to distinct keys with their counts (partial
     aggregation), the keys are numbered with a weighted prefix sum
-    (rank = 1 + rows before), and the rank is joined back on the key."""
+    (rank = 1 + rows before), and the rank is joined back on the key.  With
+    ``with_max`` the largest rank (read from the small key table) is returned
+    too (None for an empty input)."""
     order = _norm(order)
     keys = [b.col for b in order]
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -200,7 +202,10 @@ def with_global_rank(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         (F.col("_before") + 1).cast("long").alias(name),
     )
-    return _key_join(df, ranked, keys)
+    out = _key_join(df, ranked, keys)
+    if with_max:
+        return out, ranked.agg(F.max(name)).first()[0]
+    return out
 
 
 def _runs(order: list[By]) -> list[list[By]]:
