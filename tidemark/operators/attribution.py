@@ -49,26 +49,32 @@ def time_decay(
             d: F.when(days == 0, F.lit(1)).otherwise(days).cast("long"),
         }
     )
-    # Per-prospect totals by partial aggregation.  The click weight total is
-    # sum(S - d) over non-null d = (n - 1) * S, plus one for each click whose
-    # own difference equals S (its weight is forced from 0 to 1).
-    per = base.groupBy(prospect).agg(
-        F.count(d).alias("_n"),
-        F.sum(d).alias("_s"),
-        F.sum("weight_of_channel").alias("summ_weight_of_channel_clicks"),
+    # Per-prospect totals without windows and without a second join: first
+    # combine clicks per (prospect, day gap) -- map-side partial aggregation,
+    # so a prospect holding a third of all clicks shrinks to one row per gap
+    # and task -- then gather each prospect's gaps (bounded by the number of
+    # distinct day gaps, not by its clicks).  From them: S = sum of gaps,
+    # n = clicks with a gap, and c = clicks whose gap equals S (their weight
+    # S - d = 0 is forced to 1), so sum of weights = (n - 1) * S + c.
+    per_gap = base.groupBy(prospect, d).agg(
+        F.count(F.lit(1)).alias("_m"), F.sum("weight_of_channel").alias("_cw")
     )
-    equal = (
-        base.groupBy(prospect, d)
-        .agg(F.count(F.lit(1)).alias("_m"))  # at most one row per distinct gap
-        .transform(lambda g: join_on_keys(g, per.select(prospect, "_s"), [prospect]))
-        .filter(F.col(d) == F.col("_s"))
-        .groupBy(prospect)
-        .agg(F.sum("_m").alias("_c"))
+    per = per_gap.groupBy(prospect).agg(
+        F.collect_list(F.struct(F.col(d).alias("d"), F.col("_m").alias("m"))).alias("_gaps"),
+        F.sum("_cw").alias("summ_weight_of_channel_clicks"),
     )
-    totals = join_on_keys(per, equal, [prospect], "left").withColumn(
+    gaps = F.filter(F.col("_gaps"), lambda g: g["d"].isNotNull())
+    total = F.aggregate(gaps, F.lit(0).cast("long"), lambda acc, g: acc + g["d"] * g["m"])
+    count = F.aggregate(gaps, F.lit(0).cast("long"), lambda acc, g: acc + g["m"])
+    totals = per.withColumns(
+        {"_s": F.when(F.size(gaps) > 0, total), "_n": count}
+    ).withColumn(
+        "_c",
+        F.aggregate(gaps, F.lit(0).cast("long"), lambda acc, g: acc + F.when(g["d"] == F.col("_s"), g["m"]).otherwise(0)),
+    ).withColumn(
         "summ_weight_of_clicks",
-        ((F.col("_n") - 1) * F.col("_s") + F.coalesce(F.col("_c"), F.lit(0))).cast("long"),
-    )
+        ((F.col("_n") - 1) * F.col("_s") + F.col("_c")).cast("long"),
+    ).drop("_gaps")
     out = join_on_keys(base, totals.drop("_n", "_c"), [prospect], "left")
     gap = F.col("_s") - F.col(d)
     value0 = F.coalesce(F.col(value), F.lit(0.0))

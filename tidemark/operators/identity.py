@@ -158,9 +158,15 @@ def merge_day(labelled: DataFrame) -> DataFrame:
     (name, value).  Not a closure: chains longer than two hops keep several
     ids (``merge_closure`` finishes them)."""
     pairs = labelled.select("super_id", "value").distinct()
+    # join_on_keys re-shuffles the grouped side under each join, which lets
+    # AQE split the partition of a hot value (a shared fingerprint)
     r = pairs.groupBy("value").agg(F.min("super_id").alias("_r"))
-    m = pairs.join(r, "value").groupBy("super_id").agg(F.min("_r").alias("_m"))
-    final = pairs.join(m, "super_id").groupBy("value").agg(F.min("_m").alias("super_id"))
+    m = join_on_keys(pairs, r, ["value"]).groupBy("super_id").agg(F.min("_r").alias("_m"))
+    final = (
+        join_on_keys(pairs.filter(F.col("super_id").isNotNull()), m, ["super_id"])
+        .groupBy("value")
+        .agg(F.min("_m").alias("super_id"))
+    )
     first_seen = labelled.groupBy("name", "value").agg(F.min("date_table").alias("date_table"))
     rows = labelled.select("name", "value", "date_insert").distinct()
     out = join_on_keys(rows, final, ["value"], "left")
@@ -346,7 +352,7 @@ def merge_closure(labelled: DataFrame, max_rounds: int = 64) -> DataFrame:
     labels = materialise(pairs.select("super_id").distinct().withColumn("label", F.col("super_id")), "labels")
     for _ in range(max_rounds):
         vlabel = pairs.join(labels, "super_id").groupBy("value").agg(F.min("label").alias("vlabel"))
-        hop = pairs.join(vlabel, "value").groupBy("super_id").agg(F.min("vlabel").alias("label"))
+        hop = join_on_keys(pairs, vlabel, ["value"]).groupBy("super_id").agg(F.min("vlabel").alias("label"))
         parent = hop.select(F.col("super_id").alias("label"), F.col("label").alias("_grand"))
         jumped = hop.join(parent, "label", "left").select(
             "super_id", F.least(F.col("label"), F.coalesce(F.col("_grand"), F.col("label"))).alias("label")
@@ -363,7 +369,7 @@ def merge_closure(labelled: DataFrame, max_rounds: int = 64) -> DataFrame:
             break
     else:
         raise RuntimeError("merge_closure did not converge")
-    comp = pairs.join(labels, "super_id").groupBy("value").agg(F.min("label").alias("super_id"))
+    comp = join_on_keys(pairs, labels, ["super_id"]).groupBy("value").agg(F.min("label").alias("super_id"))
     first_seen = labelled.groupBy("name", "value").agg(F.min("date_table").alias("date_table"))
     rows = labelled.select("name", "value", "date_insert").distinct()
     out = join_on_keys(rows, comp, ["value"], "left")
