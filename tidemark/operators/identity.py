@@ -185,7 +185,9 @@ def fold_into_master(day: DataFrame, master: DataFrame, as_of: dt.datetime) -> D
     fully known person linking two old persons is not merged here)."""
     top = master.agg(F.coalesce(F.max("super_id"), F.lit(1))).first()[0]  # one scalar
     day_values = day.select("value").filter(F.col("value").isNotNull()).distinct()
-    hits = master.join(day_values, "value", "left_semi").select(
+    # null-safe form: the day's values are re-shuffled right under the join,
+    # so AQE can split a hot value of the master (day values are never NULL)
+    hits = join_on_keys(master, day_values, ["value"], "left_semi").select(
         F.col("value").alias("value_old"), F.col("name").alias("name_old"), F.col("super_id").alias("super_id_old")
     )
     d = day.select(
@@ -195,7 +197,9 @@ def fold_into_master(day: DataFrame, master: DataFrame, as_of: dt.datetime) -> D
         F.col("date_insert").alias("date_insert_new"),
         F.col("date_table").alias("date_table_new"),
     )
-    grouped = materialise(d.join(hits, d.value_new == hits.value_old, "left").distinct())
+    grouped = materialise(
+        d.join(hits, F.col("value_new").eqNullSafe(F.col("value_old")), "left").distinct(), "fold_rows"
+    )
     per = grouped.groupBy("super_id_new").agg(
         F.count("super_id_new").alias("_total"),
         F.count("value_old").alias("_known"),
@@ -284,7 +288,7 @@ def user_sessions(master: DataFrame) -> DataFrame:
     ).distinct()
     users = rows.filter(F.col("name") == NAME_USER).select("super_id", "date_table", "value").distinct()
     first_at_date = users.groupBy("super_id", "date_table").agg(F.min("value").alias("_first"))
-    markers = users.join(first_at_date, ["super_id", "date_table"]).select(
+    markers = join_on_keys(users, first_at_date, ["super_id", "date_table"]).select(
         "super_id",
         "date_table",
         "value",
