@@ -223,3 +223,14 @@ def test_normalise_and_ngrams(spark):
                 key = (cid, " ".join(chars[i : i + n]))
                 want[key] = want.get(key, 0) + 1
     assert got == want
+
+
+def test_kmeans_fit_then_assign_new_lines(spark):
+    from tidemark.operators import text
+
+    rows = [(i, 0, ("comment " + str(i % 3)) if i % 2 else "zzz yyy xxx " * 3) for i in range(40)]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    fitted = text.fit_comment_clusters(docs, ["conv_id", "turn"], "text", max_features=50)
+    new = spark.createDataFrame([(1, 0, "comment 1"), (2, 0, "comment 2"), (3, 0, "zzz yyy xxx " * 3)], "conv_id long, turn long, text string")
+    got = {r["conv_id"]: r["cluster"] for r in fitted.assign(new, ["conv_id", "turn"], "text").collect()}
+    assert got[1] == got[2] != got[3]

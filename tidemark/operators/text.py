@@ -125,25 +125,14 @@ def tfidf(df: DataFrame, doc_cols: Sequence[str], text_col: str, max_features: i
     return weighted.select(*doc_cols, "term", (F.col("w") / norm).alias("tfidf"))
 
 
-def kmeans_clusters(
-    df: DataFrame,
-    doc_cols: Sequence[str],
-    text_col: str,
-    k: int = N_CLUSTERS,
-    seed: int = SEED,
-    max_features: int = MAX_FEATURES,
-) -> DataFrame:
-    """Fit k-means on the count vectors and assign every document.
-
-    Features come from the kept sparse counts (at most ``max_features`` per
-    document, so the per-document gather is bounded) as a dense vector of the
-    vocabulary size; k-means runs distributed (MLlib)."""
-    from pyspark.ml.clustering import KMeans
+def _count_vectors(df: DataFrame, doc_cols: list[str], text_col: str, vocab: DataFrame, size: int) -> DataFrame:
+    """Dense count vectors over the vocabulary (vocabulary size columns),
+    built from the sparse per-document counts (at most ``size`` entries per
+    document, so the per-document gather is bounded)."""
     from pyspark.ml.functions import array_to_vector
 
-    doc_cols = list(doc_cols)
-    kept, vocab = restricted_counts(df, doc_cols, text_col, max_features)
-    size = vocab.count()  # <= max_features
+    counts = term_counts(df, doc_cols, text_col)
+    kept = counts.join(F.broadcast(vocab.select("gram", "term_index")), "gram")
     per_doc = kept.groupBy(*doc_cols).agg(
         F.map_from_entries(F.collect_list(F.struct("term_index", "term_count"))).alias("_m")
     )
@@ -152,7 +141,52 @@ def kmeans_clusters(
         F.sequence(F.lit(0), F.lit(max(size, 1) - 1)),
         lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0)).cast("double"),
     )
-    # read by every k-means iteration and by the final assignment
-    vectors = materialise(docs.select(*doc_cols, array_to_vector(dense).alias("features")), "features")
+    return docs.select(*doc_cols, array_to_vector(dense).alias("features"))
+
+
+class CommentClusters:
+    """A fitted clustering: the vocabulary (``max_features`` rows at most, a
+    plan-bounded table) and the MLlib k-means model."""
+
+    def __init__(self, vocab: DataFrame, size: int, model):
+        self.vocab, self.size, self.model = vocab, size, model
+
+    def assign(self, df: DataFrame, doc_cols: Sequence[str], text_col: str) -> DataFrame:
+        """Cluster of each (new) document, vectorised with the fitted
+        vocabulary (n-grams outside it are ignored)."""
+        doc_cols = list(doc_cols)
+        vectors = _count_vectors(df, doc_cols, text_col, self.vocab, self.size)
+        return self.model.transform(vectors).select(*doc_cols, F.col("cluster").cast("int").alias("cluster"))
+
+
+def fit_comment_clusters(
+    df: DataFrame,
+    doc_cols: Sequence[str],
+    text_col: str,
+    k: int = N_CLUSTERS,
+    seed: int = SEED,
+    max_features: int = MAX_FEATURES,
+) -> CommentClusters:
+    """Fit k-means (MLlib, distributed) on the n-gram count vectors."""
+    from pyspark.ml.clustering import KMeans
+
+    doc_cols = list(doc_cols)
+    counts = materialise(term_counts(df, doc_cols, text_col), "term_counts")
+    vocab = materialise(vocabulary(counts, max_features), "vocabulary")
+    size = vocab.count()  # <= max_features
+    # read by every k-means iteration: written once
+    vectors = materialise(_count_vectors(df, doc_cols, text_col, vocab, size), "features")
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
-    return model.transform(vectors).select(*doc_cols, F.col("cluster").cast("int").alias("cluster"))
+    return CommentClusters(vocab, size, model)
+
+
+def kmeans_clusters(
+    df: DataFrame,
+    doc_cols: Sequence[str],
+    text_col: str,
+    k: int = N_CLUSTERS,
+    seed: int = SEED,
+    max_features: int = MAX_FEATURES,
+) -> DataFrame:
+    """Fit on the documents and assign every one of them."""
+    return fit_comment_clusters(df, doc_cols, text_col, k, seed, max_features).assign(df, doc_cols, text_col)
