@@ -175,7 +175,9 @@ def merge_day(labelled: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ J1h
-def fold_into_master(day: DataFrame, master: DataFrame, as_of: dt.datetime) -> DataFrame:
+def fold_into_master(
+    day: DataFrame, master: DataFrame, as_of: dt.datetime, master_bucketed_by_value: bool = False
+) -> DataFrame:
     """Rows the day appends to the master.
 
     Per day-person: total = distinct joined rows, known = rows whose value is
@@ -185,9 +187,15 @@ def fold_into_master(day: DataFrame, master: DataFrame, as_of: dt.datetime) -> D
     fully known person linking two old persons is not merged here)."""
     top = master.agg(F.coalesce(F.max("super_id"), F.lit(1))).first()[0]  # one scalar
     day_values = day.select("value").filter(F.col("value").isNotNull()).distinct()
-    # null-safe form: the day's values are re-shuffled right under the join,
-    # so AQE can split a hot value of the master (day values are never NULL)
-    hits = join_on_keys(master, day_values, ["value"], "left_semi").select(
+    if master_bucketed_by_value:
+        # plain key on the bucket column: the master is read bucket by bucket
+        # without a shuffle; only the day's values are shuffled to the buckets
+        hits = master.join(day_values, "value", "left_semi")
+    else:
+        # null-safe form: the day's values are re-shuffled right under the
+        # join, so AQE can split a hot value (day values are never NULL)
+        hits = join_on_keys(master, day_values, ["value"], "left_semi")
+    hits = hits.select(
         F.col("value").alias("value_old"), F.col("name").alias("name_old"), F.col("super_id").alias("super_id_old")
     )
     d = day.select(
@@ -239,14 +247,26 @@ def run_days(
     as_of: dt.datetime,
     master: DataFrame | None = None,
     date_col: str = "event_date",
+    bucket_master: int | bool | None = None,
 ) -> DataFrame:
     """Process days ``start..end`` in order, each folded into the master.
 
-    Each day's appended rows are written to the shared checkpoint folder
-    (they survive executor loss and cut the growing lineage); the master is
-    the union of those snapshots."""
+    Default: each day's appended rows are written to the shared checkpoint
+    folder (they survive executor loss and cut the growing lineage) and the
+    master is the union of those snapshots.  With ``bucket_master=N`` the
+    master is kept as a table bucketed by ``value`` in N buckets (files in
+    the checkpoint folder, metadata in the session catalog) and each day is
+    appended to it: the daily day-to-master match then shuffles only the
+    day's values, never the growing master.  N must be at least
+    ``spark.sql.shuffle.partitions`` (Spark re-shuffles a bucketed side with
+    fewer buckets); ``True`` takes that value."""
     spark = events.sparkSession
     master = master if master is not None else empty_master(spark)
+    if bucket_master:
+        buckets = bucket_master
+        if buckets is True:
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return _run_days_bucketed(events, start, end, as_of, master, date_col, int(buckets))
     day = start
     while day <= end:
         merged = day_pipeline(events, day, as_of, date_col)
@@ -256,6 +276,38 @@ def run_days(
     return master
 
 
+def _append_bucketed(df: DataFrame, table: str, path: str, buckets: int) -> None:
+    (
+        df.select(*MASTER_COLUMNS)
+        .write.mode("append")
+        .format("parquet")
+        .bucketBy(buckets, "value")
+        .sortBy("value")
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
+def _run_days_bucketed(events, start, end, as_of, master, date_col, buckets) -> DataFrame:
+    import uuid
+
+    from tidemark.session import scratch_path
+
+    spark = events.sparkSession
+    table = f"tidemark_master_{uuid.uuid4().hex}"
+    path = scratch_path(spark, table)
+    _append_bucketed(master, table, path, buckets)
+    day = start
+    while day <= end:
+        merged = day_pipeline(events, day, as_of, date_col)
+        # the appended rows come from written intermediates only, so the
+        # table can be appended to while this day's plan exists
+        appended = fold_into_master(merged, spark.table(table), as_of, master_bucketed_by_value=True)
+        _append_bucketed(appended, table, path, buckets)
+        day += dt.timedelta(days=1)
+    return spark.table(table).select(*MASTER_COLUMNS)
+
+
 # ------------------------------------------------------------------ J1j
 def user_sessions(master: DataFrame) -> DataFrame:
     """``name_value_x_rank``: successive users inside a person.
