@@ -234,3 +234,25 @@ def test_kmeans_fit_then_assign_new_lines(spark):
     new = spark.createDataFrame([(1, 0, "comment 1"), (2, 0, "comment 2"), (3, 0, "zzz yyy xxx " * 3)], "conv_id long, turn long, text string")
     got = {r["conv_id"]: r["cluster"] for r in fitted.assign(new, ["conv_id", "turn"], "text").collect()}
     assert got[1] == got[2] != got[3]
+
+
+def test_page_parser_mode(spark):
+    from tests.conftest import SF01
+
+    html = (
+        "<html><body><div class='x ad'>outer <div>inner</div> tail</div>"
+        '<a title="t" href="/q?a=1&amp;b=2">x</a><h1>A <b>bold</b> title</h1>'
+        "<script>var s='<h1>no</h1>';</script></body></html>"
+    )
+    df = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    out = sorted(map(tuple, pages.page_elements_parsed(df).collect()))
+    assert out == [
+        (1, "a_href", 0, "/q?a=1&b=2"),
+        (1, "div_ad", 0, "outer inner tail"),
+        (1, "h1", 0, "A bold title"),
+    ]
+    # on the generated pages both modes agree
+    real = spark.read.parquet(f"{SF01}/pages.parquet")
+    a = sorted(map(tuple, pages.page_elements(real).collect()))
+    b = sorted(map(tuple, pages.page_elements_parsed(real).collect()))
+    assert a == b

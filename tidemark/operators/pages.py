@@ -46,3 +46,102 @@ def page_elements(
     return per_element.select(
         id_col, "element", F.posexplode("values").alias("pos", "raw")
     ).select(id_col, "element", F.col("pos").cast("long").alias("pos"), unescape_basic(F.col("raw")).alias("value"))
+
+
+# Element name -> (tag, required class or None, attribute to
+# read or None for the element's text), the parser form of ELEMENTS.
+PARSED_ELEMENTS = {
+    "a_href": ("a", None, "href"),
+    "h1": ("h1", None, None),
+    "div_ad": ("div", "ad", None),
+}
+
+
+def _page_parser(id_col: str, html_col: str, elements: dict):
+    """Per Arrow batch: parse each page with the standard-library HTML parser
+    (nesting-aware; script/style bodies and comments are not markup) and emit
+    one row per matching element, in document order per element name."""
+
+    def parse(batches):
+        from html.parser import HTMLParser
+
+        import pandas as pd
+
+        class Collector(HTMLParser):
+            def __init__(self):
+                super().__init__(convert_charrefs=True)
+                self.found = {name: [] for name in elements}
+                self.open = []  # stack of [tag, name or None, text parts]
+
+            def handle_starttag(self, tag, attrs):
+                attrs = dict(attrs)
+                classes = (attrs.get("class") or "").split()
+                for name, (want_tag, want_class, attr) in elements.items():
+                    if tag == want_tag and (want_class is None or want_class in classes):
+                        if attr is not None:
+                            if attr in attrs:
+                                self.found[name].append(attrs[attr] or "")
+                        else:
+                            self.open.append([tag, name, []])
+                            return
+                self.open.append([tag, None, None])
+
+            def handle_endtag(self, tag):
+                for i in range(len(self.open) - 1, -1, -1):
+                    if self.open[i][0] == tag:
+                        for t, name, parts in self.open[i:][::-1]:
+                            if name is not None:
+                                self.found[name].append("".join(parts))
+                        del self.open[i:]
+                        return
+
+            def handle_data(self, data):
+                if self.lasttag in ("script", "style") and self.open and self.open[-1][0] in ("script", "style"):
+                    return
+                for _, name, parts in self.open:
+                    if name is not None:
+                        parts.append(data)
+
+        for pdf in batches:
+            ids, names, poss, values = [], [], [], []
+            for page_id, html in zip(pdf[id_col].tolist(), pdf[html_col].tolist()):
+                if html is None:
+                    continue
+                c = Collector()
+                c.feed(html)
+                c.close()
+                for name, vals in c.found.items():
+                    for pos, v in enumerate(vals):
+                        ids.append(page_id)
+                        names.append(name)
+                        poss.append(pos)
+                        values.append(v)
+            if ids:
+                yield pd.DataFrame(
+                    {id_col: ids, "element": names, "pos": pd.Series(poss, dtype="int64"), "value": values}
+                )
+
+    return parse
+
+
+def page_elements_parsed(
+    pages: DataFrame, elements: dict | None = None, id_col: str = "page_id", html_col: str = "html"
+) -> DataFrame:
+    """``page_elements`` with a real HTML parser (nested same-tag elements,
+    any attribute order or quoting, all character references), run per page
+    inside the task that holds it."""
+    from pyspark.sql import types as T
+
+    from tidemark.session import spread
+
+    elements = elements or PARSED_ELEMENTS
+    schema = T.StructType(
+        [
+            pages.schema[id_col],
+            T.StructField("element", T.StringType()),
+            T.StructField("pos", T.LongType()),
+            T.StructField("value", T.StringType()),
+        ]
+    )
+    src = spread(pages.select(id_col, html_col))
+    return src.mapInPandas(_page_parser(id_col, html_col, elements), schema)
