@@ -125,13 +125,15 @@ def tfidf(df: DataFrame, doc_cols: Sequence[str], text_col: str, max_features: i
     return weighted.select(*doc_cols, "term", (F.col("w") / norm).alias("tfidf"))
 
 
-def _count_vectors(df: DataFrame, doc_cols: list[str], text_col: str, vocab: DataFrame, size: int) -> DataFrame:
+def _count_vectors(
+    df: DataFrame, doc_cols: list[str], text_col: str, vocab: DataFrame, size: int, counts: DataFrame | None = None
+) -> DataFrame:
     """Dense count vectors over the vocabulary (vocabulary size columns),
     built from the sparse per-document counts (at most ``size`` entries per
     document, so the per-document gather is bounded)."""
     from pyspark.ml.functions import array_to_vector
 
-    counts = term_counts(df, doc_cols, text_col)
+    counts = counts if counts is not None else term_counts(df, doc_cols, text_col)
     kept = counts.join(F.broadcast(vocab.select("gram", "term_index")), "gram")
     per_doc = kept.groupBy(*doc_cols).agg(
         F.map_from_entries(F.collect_list(F.struct("term_index", "term_count"))).alias("_m")
@@ -148,8 +150,9 @@ class CommentClusters:
     """A fitted clustering: the vocabulary (``max_features`` rows at most, a
     plan-bounded table) and the MLlib k-means model."""
 
-    def __init__(self, vocab: DataFrame, size: int, model):
+    def __init__(self, vocab: DataFrame, size: int, model, training_vectors: DataFrame | None = None):
         self.vocab, self.size, self.model = vocab, size, model
+        self.training_vectors = training_vectors
 
     def assign(self, df: DataFrame, doc_cols: Sequence[str], text_col: str) -> DataFrame:
         """Cluster of each (new) document, vectorised with the fitted
@@ -175,9 +178,9 @@ def fit_comment_clusters(
     vocab = materialise(vocabulary(counts, max_features), "vocabulary")
     size = vocab.count()  # <= max_features
     # read by every k-means iteration: written once
-    vectors = materialise(_count_vectors(df, doc_cols, text_col, vocab, size), "features")
+    vectors = materialise(_count_vectors(df, doc_cols, text_col, vocab, size, counts), "features")
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
-    return CommentClusters(vocab, size, model)
+    return CommentClusters(vocab, size, model, vectors)
 
 
 def kmeans_clusters(
@@ -188,5 +191,9 @@ def kmeans_clusters(
     seed: int = SEED,
     max_features: int = MAX_FEATURES,
 ) -> DataFrame:
-    """Fit on the documents and assign every one of them."""
-    return fit_comment_clusters(df, doc_cols, text_col, k, seed, max_features).assign(df, doc_cols, text_col)
+    """Fit on the documents and assign every one of them (their feature
+    vectors are already written, so they are not counted again)."""
+    fitted = fit_comment_clusters(df, doc_cols, text_col, k, seed, max_features)
+    return fitted.model.transform(fitted.training_vectors).select(
+        *doc_cols, F.col("cluster").cast("int").alias("cluster")
+    )
