@@ -13,7 +13,7 @@ Data flow per day (names follow the original tables):
 
 Scale notes.  The original numbers rows with windows that have no PARTITION
 BY (a single task).  Here every such rank is a distributed rank
-(``with_global_rank`` / ``with_row_number``), and ``rank() over (order by
+(``with_global_rank`` / ``with_prefix_sums``), and ``rank() over (order by
 user_id)`` / ``max(rank) over (partition by client)`` are replaced by the
 order-equivalent keys themselves (only their order reaches the output).
 Per-value minima are ``groupBy`` + join (partial aggregation absorbs a hot
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.contacts import ts_literal
 from tidemark.operators.grouping import join_on_keys
-from tidemark.operators.ordering import By, with_global_rank, with_prefix_sums, with_row_number
+from tidemark.operators.ordering import By, with_global_rank, with_prefix_sums
 from tidemark.session import materialise
 
 # Sentinels and attribute names of the original tables.
@@ -128,10 +128,30 @@ def label_day(app: DataFrame, as_of: dt.datetime) -> DataFrame:
     grouped = materialise(
         known_rows.unionByName(anon_rows).filter(F.col("value") != "").distinct(), "name_value"
     )
-    ranked, top = with_global_rank(grouped, [By("_kind"), By("_key")], name="super_id", with_max=True)
-    numbered = with_row_number(singles, [By("value"), By("date_table")], name="_rn")
-    singles_out = numbered.withColumn(
-        "super_id", (F.col("_rn") + F.lit(top)).cast("long") if top is not None else F.lit(None).cast("long")
+    # One distributed sort numbers both: group keys (kinds 0/1, weighted by
+    # their row counts, so id = 1 + rows before = rank) and then singletons
+    # (kind 2, by value and date_table, weight 1: row_number).
+    keys = grouped.groupBy("_kind", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    elements = keys.select(
+        "_kind", "_key", F.lit(None).cast("string").alias("value"), F.lit(None).cast("long").alias("date_table"),
+        "_n", F.lit(None).cast("int").alias("user_id_flg"), F.lit(None).cast("string").alias("name"),
+    ).unionByName(singles.select(F.lit(2).alias("_kind"), F.lit(None).cast("string").alias("_key"), "value",
+                                 "date_table", F.lit(0).cast("long").alias("_n"), "user_id_flg", "name"))
+    # (the result reads the written, numbered table: cheap to read twice)
+    numbered = with_prefix_sums(
+        elements,
+        [By("_kind"), By("_key"), By("value"), By("date_table")],
+        {"_bk": F.col("_n"), "_bs": (F.col("_kind") == 2).cast("long")},
+    )
+    key_ids = numbered.filter(F.col("_kind") < 2).select(
+        F.col("_kind").alias("_k0"), F.col("_key").alias("_k1"), (F.col("_bk") + 1).alias("super_id")
+    )
+    top = key_ids.agg(F.max("super_id")).first()[0]  # one scalar from the small key table
+    ranked = grouped.join(key_ids, [F.col("_kind").eqNullSafe(F.col("_k0")), F.col("_key").eqNullSafe(F.col("_k1"))]).drop(
+        "_k0", "_k1"
+    )
+    singles_out = numbered.filter(F.col("_kind") == 2).withColumn(
+        "super_id", (F.col("_bs") + 1 + F.lit(top)).cast("long") if top is not None else F.lit(None).cast("long")
     )
     now = ts_literal(as_of)
     cols = [
