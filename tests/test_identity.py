@@ -166,3 +166,20 @@ def test_bucketed_master_matches_and_skips_master_shuffle(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "tidemark_master" in line]
     assert scan and "SelectedBucketsCount" in scan[0]
+
+
+def test_stream_batch_retry_is_idempotent(spark):
+    from tidemark.streaming import daily_identity
+
+    ev = _events(spark)
+    root = tempfile.mkdtemp(prefix="tidemark-test-")
+    master_root = os.path.join(root, "master")
+    fold = daily_identity.batch_folder(master_root, AS_OF)
+    fold(ev.filter(F.col("event_date") == D1), 0)
+    fold(ev.filter(F.col("event_date") == D2), 1)
+    once = sorted(map(tuple, daily_identity.read_master(spark, master_root).collect()))
+    fold(ev.filter(F.col("event_date") == D2), 1)  # epoch 1 replayed after a failure
+    again = sorted(map(tuple, daily_identity.read_master(spark, master_root).collect()))
+    assert once == again
+    batch = sorted(map(tuple, I.run_days(ev, D1, D2, AS_OF).select(*I.MASTER_COLUMNS).collect()))
+    assert [r[:3] for r in once] == [r[:3] for r in batch]

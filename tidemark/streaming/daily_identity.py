@@ -26,38 +26,34 @@ from tidemark.operators import identity
 from tidemark.session import materialise
 
 
-def read_master(spark: SparkSession, master_root: str) -> DataFrame:
-    """The master as written by the stream (empty before the first batch)."""
+def read_master(spark: SparkSession, master_root: str, with_batch: bool = False) -> DataFrame:
+    """The master as written by the stream (empty before the first batch);
+    ``with_batch`` keeps the writing epoch."""
     try:
         df = spark.read.parquet(master_root)
     except Exception as err:  # no batch committed yet
         if "PATH_NOT_FOUND" in str(err) or "UNABLE_TO_INFER_SCHEMA" in str(err):
             return identity.empty_master(spark)
         raise
-    return df.select(*identity.MASTER_COLUMNS)
+    return df.select(*identity.MASTER_COLUMNS, *(["batch"] if with_batch else []))
 
 
-def start(
-    spark: SparkSession,
-    shards_root: str,
-    schema: T.StructType,
-    master_root: str,
-    checkpoint_location: str,
-    as_of: dt.datetime,
-    date_col: str = "event_date",
-    files_per_batch: int | None = None,
-    available_now: bool = True,
-) -> StreamingQuery:
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    stream = reader.parquet(shards_root)
+def batch_folder(master_root: str, as_of: dt.datetime, date_col: str = "event_date"):
+    """The ``foreachBatch`` body: fold each day of a micro-batch into the
+    master.  Output goes to ``batch=<epoch>/day=<date>`` with dynamic
+    partition overwrite, so running an epoch again (a retry after a lost
+    executor or driver restart) replaces its own rows instead of adding
+    them twice."""
 
     def fold_batch(batch: DataFrame, epoch_id: int) -> None:
         batch = materialise(batch)
         # distinct days of one micro-batch: a few dates, bounded by the batch
         days = sorted(r[0] for r in batch.select(date_col).distinct().collect())
-        master = read_master(batch.sparkSession, master_root)
+        spark = batch.sparkSession
+        master = read_master(spark, master_root, with_batch=True)
+        if "batch" in master.columns:
+            master = master.filter(F.col("batch") != epoch_id)
+        master = master.select(*identity.MASTER_COLUMNS)
         for day in days:
             merged = identity.day_pipeline(batch, day, as_of, date_col)
             appended = materialise(identity.fold_into_master(merged, master, as_of))
@@ -71,6 +67,27 @@ def start(
             )
             master = master.unionByName(appended)
 
+    return fold_batch
+
+
+def start(
+    spark: SparkSession,
+    shards_root: str,
+    schema: T.StructType,
+    master_root: str,
+    checkpoint_location: str,
+    as_of: dt.datetime,
+    date_col: str = "event_date",
+    files_per_batch: int | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(shards_root)
+
+    fold_batch = batch_folder(master_root, as_of, date_col)
+
     writer = stream.writeStream.foreachBatch(fold_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
