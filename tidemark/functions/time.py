@@ -3,7 +3,7 @@
 The test tables hold TIMESTAMP_NTZ values (wall-clock UTC).  Converting them
 through a zoned TIMESTAMP would shift them by the session zone, so epoch
 values are computed as differences between NTZ timestamps, and epoch values
-are turned into UTC dates arithmetically (as BigQuery's DATE() of a
+are turned into UTC dates arithmetically (as the original SQL's DATE() of a
 timestamp does)."""
 
 from __future__ import annotations

@@ -41,7 +41,7 @@ def time_decay(
     value: str = "value",
 ) -> DataFrame:
     d = "date_difference_click_reg"
-    # the click's UTC date (BigQuery DATE() of a timestamp is UTC)
+    # the click's UTC date (the original takes DATE() of a timestamp in UTC)
     days = F.datediff(F.to_date(F.col(registration)), utc_date_of_epoch_seconds(F.col(event_seconds)))
     base = clicks.withColumns(
         {
