@@ -94,3 +94,27 @@ def materialise(df, name: str = "table"):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    Shuffles start with enough partitions for ~``target_partition_bytes``
+    each (so a task's shuffle block fits executor memory and spills little),
+    at least two waves of the cluster's cores; AQE then coalesces small ones
+    and splits skewed ones.  Scans read splits of the same size."""
+    cores = executors * cores_per_executor
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # runtime broadcast only of sides measured below this size
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
