@@ -183,3 +183,15 @@ def test_stream_batch_retry_is_idempotent(spark):
     assert once == again
     batch = sorted(map(tuple, I.run_days(ev, D1, D2, AS_OF).select(*I.MASTER_COLUMNS).collect()))
     assert [r[:3] for r in once] == [r[:3] for r in batch]
+
+
+def test_day_loop_removes_its_intermediates(spark):
+    from tidemark.session import checkpoint_dir
+
+    root = checkpoint_dir(spark).replace("file:", "")
+    tables = os.path.join(root, "tables")
+    before = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    master = I.run_days(_events(spark), D1, D2, AS_OF)
+    assert master.count() > 0  # kept day tables are still readable
+    new = set(os.listdir(tables)) - before
+    assert new and all(name.startswith("appended-") for name in new), sorted(new)

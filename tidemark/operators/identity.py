@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from tidemark.operators.contacts import ts_literal
 from tidemark.operators.grouping import join_on_keys
 from tidemark.operators.ordering import By, with_global_rank, with_prefix_sums
-from tidemark.session import materialise
+from tidemark.session import materialise, scratch_scope
 
 # Sentinels and attribute names of the original tables.
 UNDEFINED = "undefined"
@@ -289,8 +289,10 @@ def run_days(
         return _run_days_bucketed(events, start, end, as_of, master, date_col, int(buckets))
     day = start
     while day <= end:
-        merged = day_pipeline(events, day, as_of, date_col)
-        appended = materialise(fold_into_master(merged, master, as_of))
+        # the day's intermediate tables are deleted once its rows are written
+        with scratch_scope(spark):
+            merged = day_pipeline(events, day, as_of, date_col)
+            appended = materialise(fold_into_master(merged, master, as_of), "appended", keep=True)
         master = master.unionByName(appended)
         day += dt.timedelta(days=1)
     return master
@@ -319,11 +321,12 @@ def _run_days_bucketed(events, start, end, as_of, master, date_col, buckets) ->
     _append_bucketed(master, table, path, buckets)
     day = start
     while day <= end:
-        merged = day_pipeline(events, day, as_of, date_col)
-        # the appended rows come from written intermediates only, so the
-        # table can be appended to while this day's plan exists
-        appended = fold_into_master(merged, spark.table(table), as_of, master_bucketed_by_value=True)
-        _append_bucketed(appended, table, path, buckets)
+        with scratch_scope(spark):
+            merged = day_pipeline(events, day, as_of, date_col)
+            # the appended rows come from written intermediates only, so the
+            # table can be appended to while this day's plan exists
+            appended = fold_into_master(merged, spark.table(table), as_of, master_bucketed_by_value=True)
+            _append_bucketed(appended, table, path, buckets)
         day += dt.timedelta(days=1)
     return spark.table(table).select(*MASTER_COLUMNS)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -86,16 +87,46 @@ def spread(df):
     return df
 
 
-def materialise(df, name: str = "table"):
+# Open scratch scopes (innermost last); materialise() records written tables.
+_SCOPES: list[list[str]] = []
+
+
+def materialise(df, name: str = "table", keep: bool = False):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: later passes read the written table instead of recomputing the
     lineage, the data survives the loss of an executor, and the planner sees
-    its real size.  One job."""
+    its real size.  One job.  Inside a ``scratch_scope`` the table is deleted
+    when the scope ends unless ``keep``."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark, path: str) -> None:
+    """Recursive delete through the Hadoop FileSystem of the path (works for
+    local, HDFS and object-store folders alike)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_scope(spark):
+    """Delete the intermediate tables written inside the block when it ends.
+    Use it only around work whose results were written with ``keep=True``
+    (or elsewhere) before the block closes."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.pop()
+        for path in made:
+            delete_path(spark, path)
+
+
 def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4,
                  target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run sized from the input volume.

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import identity
-from tidemark.session import materialise
+from tidemark.session import materialise, scratch_scope
 
 
 def read_master(spark: SparkSession, master_root: str, with_batch: bool = False) -> DataFrame:
@@ -46,7 +46,11 @@ def batch_folder(master_root: str, as_of: dt.datetime, date_col: str = "event_da
     them twice."""
 
     def fold_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch = materialise(batch)
+        with scratch_scope(batch.sparkSession):
+            _fold(batch, epoch_id)
+
+    def _fold(batch: DataFrame, epoch_id: int) -> None:
+        batch = materialise(batch, "micro_batch")
         # distinct days of one micro-batch: a few dates, bounded by the batch
         days = sorted(r[0] for r in batch.select(date_col).distinct().collect())
         spark = batch.sparkSession
@@ -56,7 +60,7 @@ def batch_folder(master_root: str, as_of: dt.datetime, date_col: str = "event_da
         master = master.select(*identity.MASTER_COLUMNS)
         for day in days:
             merged = identity.day_pipeline(batch, day, as_of, date_col)
-            appended = materialise(identity.fold_into_master(merged, master, as_of))
+            appended = materialise(identity.fold_into_master(merged, master, as_of), "appended")
             (
                 appended.withColumn("batch", F.lit(epoch_id))
                 .withColumn("day", F.lit(day.isoformat()))
