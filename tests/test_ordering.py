@@ -96,3 +96,15 @@ def test_no_single_partition_exchange(spark):
     df = _data(spark)
     plan = with_global_rank(df, ["x"], "r")._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_distinct_on_mixed_directions_brute_force(spark):
+    df = _data(spark, n=1500).filter(F.col("x").isNotNull())
+    order = [By("x", desc=True), By("y")]  # descending then ascending
+    got = {r["g"]: (r["x"], r["y"]) for r in distinct_on(df, ["g"], order).collect()}
+    want = {}
+    for r in df.collect():
+        key = (-r["x"], r["y"])
+        if r["g"] not in want or key < want[r["g"]][0]:
+            want[r["g"]] = (key, (r["x"], r["y"]))
+    assert got == {g: v for g, (_, v) in want.items()}
