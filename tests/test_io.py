@@ -75,3 +75,12 @@ def test_suffix_shards(spark):
     assert suffixes == ["20240105", "20240105", "intraday_20240105"]
     both = read_suffix_shards(spark, root, "events_", dt.date(2024, 1, 5), dt.date(2024, 1, 6))
     assert both.count() == 6
+
+
+def test_cluster_conf_sizes_partitions():
+    from tidemark.session import cluster_conf
+
+    big = cluster_conf(100 * 2**40)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    small = cluster_conf(10 << 20, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80  # two waves of the cores

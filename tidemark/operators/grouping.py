@@ -1,11 +1,13 @@
-"""Grouped totals attached back to rows, without per-key windows.
+"""Joining grouped totals back to rows, without per-key windows.
 
 ``sum(x) over (partition by k)`` buffers every row of a key in one task; a key
 holding a third of the data would run as one task.  Here totals come from a
 ``groupBy`` (partial aggregation on the map side, so a hot key is combined
 before the shuffle) and are joined back.  The join-back side has one row per
 key; AQE turns it into a broadcast when its runtime size is small and splits a
-hot key's partition of the row side otherwise (skew join).
+hot key's partition of the row side otherwise (skew join).  The null-safe key
+form also places a fresh shuffle of the grouped side directly under the join,
+which AQE's skew split needs.
 """
 
 from __future__ import annotations
@@ -32,8 +34,3 @@ def join_on_keys(
     out = left.join(renamed, cond, how)
     return out.drop(*[f"_jk{i}" for i in range(len(keys))])
 
-
-def with_group_aggs(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
-    """Attach grouped aggregates to every row of their group."""
-    totals = df.groupBy(*keys).agg(*aggs)
-    return join_on_keys(df, totals, keys, "left")
