@@ -375,13 +375,11 @@ def user_sessions(master: DataFrame) -> DataFrame:
         "super_id", "date_table", "value", F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_wd"),
         F.lit(0).cast("long").alias("_wu"), "name", "date_insert",
     ).unionByName(markers, allowMissingColumns=True)
-    counted = materialise(
-        with_prefix_sums(
-            elements,
-            [By("super_id"), By("date_table"), By("value"), By("_kind")],
-            {"_bd": F.col("_wd"), "_bu": F.col("_wu")},
-        ),
-        "timeline",
+    # the result reads the written, numbered table (cheap to read three times)
+    counted = with_prefix_sums(
+        elements,
+        [By("super_id"), By("date_table"), By("value"), By("_kind")],
+        {"_bd": F.col("_wd"), "_bu": F.col("_wu")},
     )
     start = counted.groupBy("super_id").agg(F.min("_bd").alias("_bd0"), F.min("_bu").alias("_bu0"))
     user_index = counted.filter(F.col("_kind") == 0).select(
