@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from tidemark.operators.contacts import ts_literal
 from tidemark.operators.grouping import join_on_keys
 from tidemark.operators.ordering import By, with_global_rank, with_prefix_sums
-from tidemark.session import materialise, scratch_scope
+from tidemark.session import delete_path, materialise, materialise_at, scratch_scope
 
 # Sentinels and attribute names of the original tables.
 UNDEFINED = "undefined"
@@ -426,7 +426,10 @@ def merge_closure(labelled: DataFrame, max_rounds: int = 64) -> DataFrame:
         .distinct(),
         "pairs",
     )
-    labels = materialise(pairs.select("super_id").distinct().withColumn("label", F.col("super_id")), "labels")
+    spark = labelled.sparkSession
+    labels, labels_path = materialise_at(
+        pairs.select("super_id").distinct().withColumn("label", F.col("super_id")), "labels", keep=True
+    )
     for _ in range(max_rounds):
         vlabel = pairs.join(labels, "super_id").groupBy("value").agg(F.min("label").alias("vlabel"))
         hop = join_on_keys(pairs, vlabel, ["value"]).groupBy("super_id").agg(F.min("vlabel").alias("label"))
@@ -434,14 +437,15 @@ def merge_closure(labelled: DataFrame, max_rounds: int = 64) -> DataFrame:
         jumped = hop.join(parent, "label", "left").select(
             "super_id", F.least(F.col("label"), F.coalesce(F.col("_grand"), F.col("label"))).alias("label")
         )
-        new = materialise(jumped, "labels")
+        new, new_path = materialise_at(jumped, "labels", keep=True)
         changed = (
             new.join(labels.withColumnRenamed("label", "_old"), "super_id")
             .filter(F.col("label") != F.col("_old"))
             .limit(1)
             .count()
         )
-        labels = new
+        delete_path(spark, labels_path)  # the previous round's labels are no longer read
+        labels, labels_path = new, new_path
         if changed == 0:
             break
     else:

@@ -91,17 +91,22 @@ def spread(df):
 _SCOPES: list[list[str]] = []
 
 
+def materialise_at(df, name: str = "table", keep: bool = False):
+    """``materialise`` that also returns the written folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def materialise(df, name: str = "table", keep: bool = False):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: later passes read the written table instead of recomputing the
     lineage, the data survives the loss of an executor, and the planner sees
     its real size.  One job.  Inside a ``scratch_scope`` the table is deleted
     when the scope ends unless ``keep``."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    if _SCOPES and not keep:
-        _SCOPES[-1].append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return materialise_at(df, name, keep)[0]
 
 
 def delete_path(spark, path: str) -> None:
