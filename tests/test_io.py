@@ -84,3 +84,17 @@ def test_cluster_conf_sizes_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
     small = cluster_conf(10 << 20, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80  # two waves of the cores
+
+
+def test_ingest_csv_end_to_end(spark):
+    d = tempfile.mkdtemp(prefix="tidemark-test-")
+    p = os.path.join(d, "in.csv")
+    with open(p, "w") as fh:
+        fh.write('a,b,c\n1,2,3\n4,5\n6,7,8,9\n10,11,12\n"q,r",2,3\n')
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
+    target, nv = os.path.join(d, "t"), os.path.join(d, "nv")
+    loaded = io.ingest_csv(spark, p, schema, target, name_value_target=nv)
+    assert loaded.count() == 4
+    assert spark.read.parquet(nv).count() == 11
+    io.ingest_csv(spark, p, schema, target)  # drop-then-load: still 4 rows
+    assert spark.read.parquet(target).count() == 4

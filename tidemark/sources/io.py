@@ -102,3 +102,26 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             for f in schema.fields
         ]
     )
+
+
+def ingest_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    target: str,
+    disposition: str = "WRITE_TRUNCATE",
+    name_value_target: str | None = None,
+    sep: str = ",",
+) -> DataFrame:
+    """J10 end to end: read a CSV with bad lines skipped, load it into
+    ``target`` (drop-then-load by default), and optionally also load its
+    (column_name, column_value) form with NULLs dropped.  Returns the loaded
+    table as read back from ``target``."""
+    from tidemark.operators.reshape import melt_name_value
+
+    df = read_csv_skip_bad_lines(spark, path, schema, sep=sep)
+    write_table(df, target, disposition)
+    loaded = spark.read.schema(schema).parquet(target)
+    if name_value_target:
+        write_table(melt_name_value(loaded), name_value_target, disposition)
+    return loaded
