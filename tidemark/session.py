@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -87,16 +88,24 @@ def spread(df):
     return df
 
 
-# Open scratch scopes (innermost last); materialise() records written tables.
-_SCOPES: list[list[str]] = []
+# Open scratch scopes per driver thread (innermost last); materialise()
+# records the tables it writes in the innermost one.
+_LOCAL = threading.local()
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
 
 
 def materialise_at(df, name: str = "table", keep: bool = False):
     """``materialise`` that also returns the written folder."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    if _SCOPES and not keep:
-        _SCOPES[-1].append(path)
+    scopes = _scopes()
+    if scopes and not keep:
+        scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -123,11 +132,11 @@ def scratch_scope(spark):
     Use it only around work whose results were written with ``keep=True``
     (or elsewhere) before the block closes."""
     made: list[str] = []
-    _SCOPES.append(made)
+    _scopes().append(made)
     try:
         yield made
     finally:
-        _SCOPES.pop()
+        _scopes().pop()
         for path in made:
             delete_path(spark, path)
 
