@@ -318,7 +318,13 @@ def _run_days_bucketed(events, start, end, as_of, master, date_col, buckets) ->
     spark = events.sparkSession
     table = f"tidemark_master_{uuid.uuid4().hex}"
     path = scratch_path(spark, table)
-    _append_bucketed(master, table, path, buckets)
+    try:
+        _append_bucketed(master, table, path, buckets)
+    except Exception as err:  # a session whose catalog cannot hold the table
+        import warnings
+
+        warnings.warn(f"bucketed master unavailable ({type(err).__name__}); using written day snapshots")
+        return run_days(events, start, end, as_of, master, date_col)
     day = start
     while day <= end:
         with scratch_scope(spark):
