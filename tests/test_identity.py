@@ -147,7 +147,7 @@ def test_closure_long_chain_converges(spark):
 
 def test_bucketed_master_matches_and_skips_master_shuffle(spark):
     ev = _events(spark)
-    plain = I.run_days(ev, D1, D2, AS_OF)
+    plain = I.run_days(ev, D1, D2, AS_OF, bucket_master=False)
     bucketed = I.run_days(ev, D1, D2, AS_OF, bucket_master=True)
     key = lambda r: (r["value"], r["name"], r["super_id"])
     assert sorted(map(key, bucketed.collect())) == sorted(map(key, plain.collect()))
@@ -190,7 +190,7 @@ def test_day_loop_removes_its_intermediates(spark):
     root = checkpoint_dir(spark).replace("file:", "")
     tables = os.path.join(root, "tables")
     before = set(os.listdir(tables)) if os.path.isdir(tables) else set()
-    master = I.run_days(_events(spark), D1, D2, AS_OF)
+    master = I.run_days(_events(spark), D1, D2, AS_OF, bucket_master=False)
     assert master.count() > 0  # kept day tables are still readable
     new = set(os.listdir(tables)) - before
     assert new and all(name.startswith("appended-") for name in new), sorted(new)

@@ -267,19 +267,19 @@ def run_days(
     as_of: dt.datetime,
     master: DataFrame | None = None,
     date_col: str = "event_date",
-    bucket_master: int | bool | None = None,
+    bucket_master: int | bool | None = True,
 ) -> DataFrame:
     """Process days ``start..end`` in order, each folded into the master.
 
-    Default: each day's appended rows are written to the shared checkpoint
-    folder (they survive executor loss and cut the growing lineage) and the
-    master is the union of those snapshots.  With ``bucket_master=N`` the
-    master is kept as a table bucketed by ``value`` in N buckets (files in
-    the checkpoint folder, metadata in the session catalog) and each day is
-    appended to it: the daily day-to-master match then shuffles only the
-    day's values, never the growing master.  N must be at least
-    ``spark.sql.shuffle.partitions`` (Spark re-shuffles a bucketed side with
-    fewer buckets); ``True`` takes that value."""
+    Default (``bucket_master=True``): the master is kept as a table bucketed
+    by ``value`` (files in the checkpoint folder, metadata in the session
+    catalog) and each day is appended to it, so the daily day-to-master match
+    shuffles only the day's values, never the growing master.  A number sets
+    the bucket count; it must be at least ``spark.sql.shuffle.partitions``
+    (Spark re-shuffles a bucketed side with fewer buckets), ``True`` takes
+    that value.  With ``bucket_master=False`` (or when the catalog cannot
+    hold the table) each day's appended rows are written as a snapshot and
+    the master is their union."""
     spark = events.sparkSession
     master = master if master is not None else empty_master(spark)
     if bucket_master:
