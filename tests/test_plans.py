@@ -39,3 +39,10 @@ def test_identity_labelling_has_no_single_partition_exchange(spark):
     for df in (lab, merged):
         plan = _plan(df)
         assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_user_sessions_has_no_window(spark):
+    ev = inputs.identity_events(spark, SF001, dt.date(2024, 1, 5), dt.date(2024, 1, 6))
+    master = identity.run_days(ev, dt.date(2024, 1, 5), dt.date(2024, 1, 6), dt.datetime(2024, 2, 1))
+    plan = _plan(identity.user_sessions(master))
+    assert "Window" not in plan and "SinglePartition" not in plan
