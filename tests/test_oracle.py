@@ -17,7 +17,8 @@ def con():
 
 
 def test_every_query_has_sql_or_is_iterative():
-    assert set(QUERIES) - set(SQL) == {"comment_kmeans"}
+    corpus = {name for name in QUERIES if name == "pipeline" or name.startswith("op")}
+    assert set(QUERIES) - set(SQL) - corpus == {"comment_kmeans"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
