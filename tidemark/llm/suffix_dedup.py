@@ -52,9 +52,9 @@ LONGER = (80, 94, LENGTH)
 #: Bytes of contexts that are sorted as one string.
 STRING = 4096
 #: Symbols that are sorted together, in many strings.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 19
 #: Bytes of text that a task looks at together.
-PIECE = 4 << 20
+PIECE = 1 << 20
 #: Bytes of text per hash bucket.
 BUCKET = 8 << 20
 NO_ID = np.int64(2**63 - 1)
