@@ -153,7 +153,22 @@ def disclosing_terms(
         .agg(F.count(F.lit(1)).alias("together"))
         .filter(F.col("together") >= min_together)
     )
-    pairs = materialise(together.join(entity_texts, "entity"), "pii-pairs")
+    log = lambda c: F.log2(c.cast("double"))
+    content = log(F.lit(texts)) - log(F.col("entity_texts"))
+
+    def share(term_texts: Column) -> Column:
+        pmi = log(F.lit(texts)) + log(F.col("together")) - log(F.col("entity_texts")) - log(term_texts)
+        return F.when(content > 0, pmi / content).otherwise(0.0)
+
+    # a term is in at least the texts that have it near some entity: common words
+    # fall below the threshold by that bound alone
+    near_texts = (
+        held.select("text_hash", F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("near_texts"))
+    )
+    pairs = materialise(
+        together.join(entity_texts, "entity").join(near_texts, "term").filter(share(F.col("near_texts")) >= threshold).drop("near_texts"),
+        "pii-pairs",
+    )
     if pairs.isEmpty():  # no term to weigh, so no term counts are needed
         return pairs.select("entity", "term", "together", "entity_texts", F.lit(0).cast("long").alias("term_texts"), F.lit(0.0).alias("share"))
     wanted = pairs.select("term").distinct()
@@ -161,12 +176,9 @@ def disclosing_terms(
     distinct = docs.select(F.lower(text_of()).alias("t")).groupBy("t").agg(F.lit(1).alias("one"))
     words = distinct.select(F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(TERM_PATTERN), F.lit(0)))).alias("term"))
     term_texts = words.groupBy("term").agg(F.count(F.lit(1)).alias("term_texts")).join(wanted, "term", "left_semi")
-    log = lambda c: F.log2(c.cast("double"))
-    pmi = log(F.lit(texts)) + log(F.col("together")) - log(F.col("entity_texts")) - log(F.col("term_texts"))
-    content = log(F.lit(texts)) - log(F.col("entity_texts"))
     return (
         pairs.join(term_texts, "term")
-        .withColumn("share", F.when(content > 0, pmi / content).otherwise(0.0))
+        .withColumn("share", share(F.col("term_texts")))
         .filter(F.col("share") >= threshold)
         .select("entity", "term", "together", "entity_texts", "term_texts", "share")
     )
