@@ -117,57 +117,56 @@ def successors(values: DataFrame, fan: int = 4096) -> DataFrame:
     )
 
 
-def with_next(rows: DataFrame, payload: list[str], block: int = 256) -> DataFrame:
-    """Adds ``next_<c>`` for every payload column: its value in the row with the
-    next doc_id (after the last: the first; null ids come last; rows of equal id by
-    ``tie``).  Rows meet in blocks of consecutive ids, so texts are shuffled once;
-    only the first row of a block is also sent to the last one of the block before
-    (a block of which the ids leave holes is short, never lost)."""
-    null_block = (1 << 62) // block
-    at = F.floor(F.col("doc_id") / F.lit(block).cast("decimal(20,0)")).cast("long")
-    keyed = rows.withColumn("_block", F.coalesce(at, F.lit(null_block)))
-    ordered = Window.partitionBy("_block").orderBy(F.col("doc_id").asc_nulls_last(), F.col("tie"))
-    both = F.struct(*payload)
-    inner = keyed.withColumn("_next", F.lead(both).over(ordered)).withColumn("_rank", F.row_number().over(ordered))
-    blocks = materialise(rows.select(F.coalesce(at, F.lit(null_block)).alias("v")).distinct(), "id-blocks")
-    first_block = blocks.agg(F.min("v")).head()[0]
-    chain = materialise(
-        successors(blocks).select(F.col("v").alias("_to"), F.coalesce("next_v", F.lit(first_block).cast("long")).alias("_from")),
-        "block-chain",
-    )
-    heads = (
-        inner.filter("_rank = 1")
-        .select(F.col("_block").alias("_head_block"), both.alias("_head"))
-        .join(chain, F.col("_head_block") == F.col("_from"))
-        .select("_to", "_head")
-    )
-    out = [*rows.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in payload]]
-    inside = inner.filter(F.col("_next").isNotNull()).select(*out)
-    tails = inner.filter(F.col("_next").isNull()).drop("_next")
-    across = tails.join(heads, F.col("_block") == F.col("_to")).withColumnRenamed("_head", "_next").select(*out)
-    return inside.unionByName(across)
+RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
-def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, w: int = W) -> DataFrame:
-    """Fingerprints of every text and of its edited text: the last half of its code
-    points replaced by the first as many (or all) of the next document."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    rows = fingerprint(rows.withColumn("tie", F.xxhash64("text")), "text", "kept", k, w)
-    rows = rows.withColumn("grams", gram_set(F.col("kept"))).drop("kept")
-    pairs = with_next(rows, ["text", "grams"]).withColumn("n_chars", F.length("text").cast("long"))
+def _measured(pairs: DataFrame, keep: list[str], k: int, w: int) -> DataFrame:
+    """The result columns from text and next_text, and the columns to keep."""
+    pairs = pairs.withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    pairs = pairs.withColumn(
-        "edited",
-        F.concat(F.left("text", F.col("n_chars").cast("int") - half), F.left("next_text", half)),
-    ).drop("text", "next_text")
-    pairs = fingerprint(pairs, "edited", "edited_kept", k, w)
-    pairs = pairs.withColumn("edited_grams", gram_set(F.col("edited_kept"))).drop("edited_kept")
+    own_part = F.left("text", F.col("n_chars").cast("int") - half)
+    pairs = pairs.withColumn("edited", F.concat(own_part, F.left("next_text", half)))
+    for text, grams in (("text", "own_g"), ("next_text", "next_g"), ("edited", "edited_g")):
+        pairs = fingerprint(pairs, text, "kept", k, w).withColumn(grams, gram_set(F.col("kept"))).drop("kept")
     return pairs.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        digest(F.col("grams")).alias("fingerprint"),
-        digest(F.col("edited_grams")).alias("edited_fingerprint"),
-        likeness(F.col("grams"), F.col("edited_grams")).alias("near_edited"),
-        likeness(F.col("grams"), F.col("next_grams")).alias("near_next"),
+        digest(F.col("own_g")).alias("fingerprint"),
+        digest(F.col("edited_g")).alias("edited_fingerprint"),
+        likeness(F.col("own_g"), F.col("edited_g")).alias("near_edited"),
+        likeness(F.col("own_g"), F.col("next_g")).alias("near_next"),
+        *keep,
+    )
+
+
+def edited_likeness(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, w: int = W, block: int = 256
+) -> DataFrame:
+    """Fingerprints of every text and of its edited text: the last half of its code
+    points replaced by the first as many (or all) of the next document (ascending
+    id, null ids last, rows of equal id by text hash; after the last: the first).
+
+    Rows meet in blocks of consecutive ids, so the texts are shuffled once and no
+    window is longer than a block (a block of which the ids leave holes is short,
+    never lost).  The last row of a block waits, with its text, for the first one
+    of the next block that there is."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    null_block = (1 << 62) // block
+    at = F.floor(F.col("doc_id") / F.lit(block).cast("decimal(20,0)")).cast("long")
+    rows = rows.withColumn("block", F.coalesce(at, F.lit(null_block))).withColumn("tie", F.xxhash64("text"))
+    ordered = Window.partitionBy("block").orderBy(F.col("doc_id").asc_nulls_last(), F.col("tie"))
+    inner = rows.withColumn("next_text", F.lead("text").over(ordered)).withColumn("place", F.row_number().over(ordered))
+    last, first = F.col("next_text").isNull(), F.col("place") == 1
+    inner = inner.withColumn("waits", last).withColumn("wait_text", F.when(last, F.col("text")))
+    inner = inner.withColumn("head_text", F.when(first, F.col("text"))).withColumn("next_text", F.coalesce("next_text", F.lit("")))
+    staged = materialise(_measured(inner, ["block", "waits", "wait_text", "head_text"], k, w), "winnowed-blocks")
+    blocks = materialise(staged.select(F.col("block").alias("v")).distinct(), "id-blocks")
+    first_block = blocks.agg(F.min("v")).head()[0]
+    chain = successors(blocks).select(
+        F.col("v").alias("to"), F.coalesce("next_v", F.lit(first_block).cast("long")).alias("block")
     )
+    heads = staged.filter("head_text IS NOT NULL").select("block", F.col("head_text").alias("next_text"))
+    heads = heads.join(chain, "block").select(F.col("to").alias("block"), "next_text")
+    waiting = staged.filter("waits").select("doc_id", F.col("wait_text").alias("text"), "block").join(heads, "block")
+    return staged.filter("NOT waits").select(*RESULT).unionByName(_measured(waiting, [], k, w))
