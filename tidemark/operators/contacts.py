@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -212,7 +213,13 @@ def upsert(
     target rows are kept.  NULL keys never match."""
     keys = list(keys)
     others = [c for c in staging.columns if c not in keys]
-    staged = staging.distinct().groupBy(*keys).agg(
+    # rows with a NULL key match nothing and are inserted as they are
+    whole = staging.distinct()
+    no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    loose = whole.filter(~no_null).select(
+        *[F.col(c) if c in staging.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+    )
+    staged = whole.filter(no_null).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in others]
     )
     guard = F.when(F.col("s._n") > 1, F.raise_error(F.lit("MERGE: several staging rows for one key")))
@@ -236,4 +243,4 @@ def upsert(
             out_cols.append(F.when(matched | t_only, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
         else:
             out_cols.append(F.col(f"t.{c}").alias(c))
-    return joined.select(*out_cols)
+    return joined.select(*out_cols).unionByName(loose)

@@ -85,7 +85,9 @@ def recall_by_bucket(df: DataFrame, score: str, target: str, tie: str) -> DataFr
     out = buckets.withColumn("sum_target_percentile", F.sum("sum_of_target").over(w).cast("long"))
     return out.withColumn(
         "recall",
-        F.round(F.lit(100.0) * F.col("sum_target_percentile") / F.sum("sum_of_target").over(everything), 2),
+        F.round(
+            F.try_divide(F.lit(100.0) * F.col("sum_target_percentile"), F.sum("sum_of_target").over(everything).cast("double")), 2
+        ),
     )
 
 

@@ -57,11 +57,11 @@ def empty_master(spark) -> DataFrame:
 # ------------------------------------------------------------------ J1a / J1b
 def click_events(events: DataFrame, day: dt.date | None = None, date_col: str = "event_date") -> DataFrame:
     """Distinct (event_timestamp, event_name, user_id, user_pseudo_id,
-    fingerprint) of one day.  The param array is exploded first, so events
-    without params drop out (inner unnest).  ``day=None`` keeps every day."""
+    fingerprint) of one day.  Events without params drop out, as in an inner
+    unnest of the array.  ``day=None`` keeps every day."""
     src = events if day is None else events.filter(F.col(date_col) == F.lit(day))
     return (
-        src.select("*", F.explode("event_params").alias("_param"))
+        src.filter(F.size("event_params") > 0)
         .select("event_timestamp", "event_name", "user_id", "user_pseudo_id", "fingerprint")
         .distinct()
     )
@@ -217,7 +217,7 @@ def fold_into_master(
         hits = join_on_keys(master, day_values, ["value"], "left_semi")
     hits = hits.select(
         F.col("value").alias("value_old"), F.col("name").alias("name_old"), F.col("super_id").alias("super_id_old")
-    )
+    ).distinct()
     d = day.select(
         F.col("super_id").alias("super_id_new"),
         F.col("name").alias("name_new"),
@@ -275,18 +275,15 @@ def run_days(
     by ``value`` (files in the checkpoint folder, metadata in the session
     catalog) and each day is appended to it, so the daily day-to-master match
     shuffles only the day's values, never the growing master.  A number sets
-    the bucket count; it must be at least ``spark.sql.shuffle.partitions``
-    (Spark re-shuffles a bucketed side with fewer buckets), ``True`` takes
-    that value.  With ``bucket_master=False`` (or when the catalog cannot
-    hold the table) each day's appended rows are written as a snapshot and
-    the master is their union."""
+    the bucket count, up to ``spark.sql.sources.bucketing.maxBuckets``; with
+    fewer buckets than ``spark.sql.shuffle.partitions`` Spark may shuffle the
+    bucketed side as well.  ``True`` takes the smaller of the two settings.
+    With ``bucket_master=False`` each day's appended rows are written as a
+    snapshot and the master is their union."""
     spark = events.sparkSession
     master = master if master is not None else empty_master(spark)
     if bucket_master:
-        buckets = bucket_master
-        if buckets is True:
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return _run_days_bucketed(events, start, end, as_of, master, date_col, int(buckets))
+        return _run_days_bucketed(events, start, end, as_of, master, date_col, bucket_count(spark, bucket_master))
     day = start
     while day <= end:
         # the day's intermediate tables are deleted once its rows are written
@@ -298,33 +295,30 @@ def run_days(
     return master
 
 
-def _append_bucketed(df: DataFrame, table: str, path: str, buckets: int) -> None:
-    (
+def bucket_count(spark, asked: int | bool) -> int:
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    if asked is True:
+        return min(int(spark.conf.get("spark.sql.shuffle.partitions")), most)
+    if not 0 < int(asked) <= most:
+        raise ValueError(f"{asked} buckets; spark.sql.sources.bucketing.maxBuckets is {most}")
+    return int(asked)
+
+
+def _append_bucketed(df: DataFrame, table: str, path: str | None, buckets: int) -> None:
+    """Append with the rows of a bucket in one task: a file per bucket at most."""
+    writer = (
         df.select(*MASTER_COLUMNS)
+        .repartition(buckets, "value")
         .write.mode("append")
         .format("parquet")
         .bucketBy(buckets, "value")
         .sortBy("value")
-        .option("path", path)
-        .saveAsTable(table)
     )
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
-def _run_days_bucketed(events, start, end, as_of, master, date_col, buckets) -> DataFrame:
-    import uuid
-
-    from tidemark.session import scratch_path
-
+def _fold_days(events, start, end, as_of, table, path, date_col, buckets) -> None:
     spark = events.sparkSession
-    table = f"tidemark_master_{uuid.uuid4().hex}"
-    path = scratch_path(spark, table)
-    try:
-        _append_bucketed(master, table, path, buckets)
-    except Exception as err:  # a session whose catalog cannot hold the table
-        import warnings
-
-        warnings.warn(f"bucketed master unavailable ({type(err).__name__}); using written day snapshots")
-        return run_days(events, start, end, as_of, master, date_col)
     day = start
     while day <= end:
         with scratch_scope(spark):
@@ -334,9 +328,50 @@ def _run_days_bucketed(events, start, end, as_of, master, date_col, buckets) ->
             appended = fold_into_master(merged, spark.table(table), as_of, master_bucketed_by_value=True)
             _append_bucketed(appended, table, path, buckets)
         day += dt.timedelta(days=1)
+
+
+def _run_days_bucketed(events, start, end, as_of, master, date_col, buckets) -> DataFrame:
+    import uuid
+
+    from tidemark.session import scratch_path
+
+    spark = events.sparkSession
+    table = f"tidemark_master_{uuid.uuid4().hex}"
+    path = scratch_path(spark, table)
+    _append_bucketed(master, table, path, buckets)
+    _fold_days(events, start, end, as_of, table, path, date_col, buckets)
     return spark.table(table).select(*MASTER_COLUMNS)
 
 
+def advance_master(
+    events: DataFrame,
+    table: str,
+    as_of: dt.datetime,
+    first_day: dt.date | None = None,
+    date_col: str = "event_date",
+    buckets: int | bool = True,
+) -> tuple[dt.date, dt.date] | None:
+    """Fold every unprocessed day into the persistent master ``table``, in place.
+
+    The days run from the one after the master's latest (its high-water mark,
+    the day of max(date_table)) to the last day of ``events``; ``first_day`` is
+    only for a master without rows, which is created if it is not there (default:
+    the first day of ``events``).  Returns the days folded, or None."""
+    spark = events.sparkSession
+    if not spark.catalog.tableExists(table):
+        _append_bucketed(empty_master(spark), table, None, bucket_count(spark, buckets))
+    count = next(
+        int(r["data_type"]) for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect() if r["col_name"] == "Num Buckets"
+    )
+    mark = spark.table(table).agg(F.max(F.to_date(F.timestamp_micros("date_table")))).head()[0]
+    lo, hi = events.agg(F.min(date_col), F.max(date_col)).head()
+    start = mark + dt.timedelta(days=1) if mark else first_day or lo
+    if hi is None or start > hi:
+        return None
+    _fold_days(events, start, hi, as_of, table, None, date_col, count)
+    return start, hi
+
+
 # ------------------------------------------------------------------ J1j
 def user_sessions(master: DataFrame) -> DataFrame:
     """``name_value_x_rank``: successive users inside a person.

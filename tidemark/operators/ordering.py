@@ -99,21 +99,22 @@ def _numbered_table(
         )
 
         def running(batches):
+            import pyarrow as pa
             from pyspark import TaskContext
 
             pid = TaskContext.get().partitionId()
             acc = dict.fromkeys(names, 0)
-            for pdf in batches:
-                pdf["_pid"] = pid
+            for batch in batches:  # Arrow columns pass through untouched
+                added = [pa.array(np.full(batch.num_rows, pid, np.int32))]
                 for k in names:
-                    w = pdf[f"_w_{k}"].fillna(0).to_numpy(dtype=np.int64)
-                    csum = np.cumsum(w)
-                    pdf[f"_local_{k}"] = csum - w + acc[k]
+                    w = batch.column(batch.schema.get_field_index(f"_w_{k}")).fill_null(0).to_numpy(zero_copy_only=False)
+                    csum = np.cumsum(w, dtype=np.int64)
+                    added.append(pa.array(csum - w + acc[k]))
                     if len(csum):
                         acc[k] += int(csum[-1])
-                yield pdf
+                yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=schema.names)
 
-        staged = weighted.mapInPandas(running, schema)
+        staged = weighted.mapInArrow(running, schema)
     table = materialise(staged, "numbered")
     rows = table.groupBy("_pid").agg(*[F.sum(f"_w_{k}").alias(k) for k in names]).collect()
     offsets: dict[str, dict[int, int]] = {k: {} for k in names}

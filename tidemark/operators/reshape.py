@@ -33,11 +33,13 @@ def melt_name_value(
     name_col: str = "column_name",
     value_col: str = "column_value",
 ) -> DataFrame:
-    """Wide -> (column_name, column_value) with NULL values dropped.  Values
+    """Wide -> (column_name, column_value) with NULL and NaN values dropped.  Values
     are cast to string first so columns of different types can share one
     value column."""
     cols = list(columns or df.columns)
-    as_text = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    floats = {c for c, kind in df.dtypes if kind in ("float", "double")}
+    present = {c: F.nullif(F.col(c), F.lit(float("nan"))) if c in floats else F.col(c) for c in cols}
+    as_text = df.select(*[present[c].cast("string").alias(c) for c in cols])
     long = as_text.unpivot([], cols, name_col, value_col)
     return long.filter(F.col(value_col).isNotNull())
 

@@ -1,7 +1,5 @@
-"""DuckDB twins of the identity jobs, in the original window-function style
-(global ``rank()``/``row_number()``, ``min() over (partition by value)``),
-with the repairs listed in SURVEY section 8 applied.  Each function returns
-CTE bodies; ``t`` is a suffix that keeps CTE names unique per day."""
+"""DuckDB twins of the identity jobs, written from the semantics of SURVEY 7.5
+with groupings and joins.  Each function returns CTE bodies; ``t`` is a suffix that keeps CTE names unique per day."""
 
 from __future__ import annotations
 
@@ -34,94 +32,83 @@ def clicks(t: str, start: dt.date | None, end: dt.date | None) -> str:
     where = "" if start is None else f"WHERE event_date BETWEEN {_d(start)} AND {_d(end)}"
     return f"""
 clicks_{t} AS (
-  SELECT DISTINCT event_timestamp, event_name, user_id, user_pseudo_id, fingerprint
-  FROM idev, unnest(json_keys(props)) AS p(param_key) {where})"""
+  SELECT event_timestamp, event_name, user_id, user_pseudo_id, fingerprint
+  FROM (SELECT * FROM idev {where}) WHERE len(json_keys(props)) > 0 GROUP BY ALL)"""
 
 
 def app(t: str) -> str:
     return f"""
 app_{t} AS (
-  SELECT fgp, CASE WHEN user_id = 'undefined' THEN '' ELSE user_id END AS user_id, client_id, date_table
-  FROM (SELECT CASE WHEN fingerprint = '' THEN NULL ELSE fingerprint END AS fgp, user_id,
-               user_pseudo_id AS client_id, event_timestamp AS date_table FROM clicks_{t})
-  WHERE client_id != 'undefined')"""
+  SELECT nullif(fingerprint, '') AS fgp, if(user_id = 'undefined', '', user_id) AS user_id,
+         user_pseudo_id AS client_id, event_timestamp AS date_table
+  FROM clicks_{t} WHERE user_pseudo_id <> 'undefined')"""
 
 
 def labelled(t: str, as_of: str) -> str:
+    """A person of the day is (kind, key): kind 0 a known user by user id, kind 1
+    anonymous clients by the greatest fingerprint of the client.  A person's id is
+    one more than the rows of all persons before; clients of kind 2 (no
+    fingerprint) follow, one id each."""
     return f"""
-afu_{t} AS (
-  SELECT CASE WHEN fgp = 'undefined' THEN '' ELSE fgp END AS fgp, user_id, client_id, date_table,
-         rank() OVER (ORDER BY user_id) AS pid
-  FROM app_{t} WHERE user_id != 'undefined' AND user_id != '' AND user_id IS NOT NULL),
-frk_{t} AS (
-  SELECT fgp, user_id, client_id, date_table, rank() OVER (ORDER BY fgp NULLS FIRST) AS rank_fgp
-  FROM (SELECT CASE WHEN fgp = 'undefined' THEN '' ELSE fgp END AS fgp, user_id, client_id, date_table
-        FROM app_{t}
-        WHERE (user_id = 'undefined' OR user_id = '' OR user_id IS NULL) AND client_id != 'undefined')),
-anu_{t} AS (SELECT *, max(rank_fgp) OVER (PARTITION BY client_id) AS max_rank_fgp FROM frk_{t}),
-nvu_{t} AS (
-  SELECT DISTINCT -2 AS id, pid, 'user_id' AS name, user_id AS value, 1 AS user_id_flg, date_table FROM afu_{t}
-  UNION ALL SELECT DISTINCT -2, pid, 'client_id', client_id, 1, date_table FROM afu_{t}
-  UNION ALL SELECT DISTINCT -2, pid, 'fingerprint', fgp, 1, date_table FROM afu_{t}),
-nvn_{t} AS (
-  SELECT DISTINCT max_rank_fgp AS id, -2 AS pid, 'client_id' AS name, client_id AS value, 0 AS user_id_flg,
-         date_table
-  FROM anu_{t} WHERE client_id IS NOT NULL AND fgp != ''
-  UNION ALL SELECT DISTINCT max_rank_fgp, -2, 'fingerprint', fgp, 0, date_table FROM anu_{t} WHERE fgp != ''
-  UNION ALL SELECT DISTINCT -1, -2, 'client_id', client_id, 0, date_table FROM anu_{t}
-            WHERE coalesce(fgp, '') = ''),
-alls_{t} AS (SELECT * FROM nvn_{t} UNION ALL SELECT * FROM nvu_{t}),
-s1_{t} AS (
-  SELECT id, pid, name, value, user_id_flg, rank() OVER (ORDER BY id, pid) AS super_id, date_table
-  FROM alls_{t} WHERE id + pid > -3 AND value != ''),
-s2_{t} AS (
-  SELECT id, pid, name, value, user_id_flg,
-         row_number() OVER (ORDER BY value, date_table) + (SELECT max(super_id) FROM s1_{t}) AS super_id,
-         date_table
-  FROM alls_{t} WHERE id + pid = -3),
+who_{t} AS (
+  SELECT client_id, date_table, CASE fgp WHEN 'undefined' THEN '' ELSE fgp END AS print,
+         CASE WHEN coalesce(user_id, '') NOT IN ('', 'undefined') THEN user_id END AS known
+  FROM app_{t}),
+best_{t} AS (SELECT client_id, max(print) AS best FROM who_{t} WHERE known IS NULL GROUP BY client_id),
+person_{t} AS (
+  SELECT w.*, CASE WHEN known IS NOT NULL THEN 0 WHEN coalesce(print, '') <> '' THEN 1 ELSE 2 END AS kind,
+         coalesce(known, best) AS key
+  FROM who_{t} w LEFT JOIN best_{t} USING (client_id)),
+cell_{t} AS (
+  SELECT DISTINCT kind, key, c.name, c.value, date_table
+  FROM person_{t}, unnest([{{'name': 'user_id', 'value': known}}, {{'name': 'client_id', 'value': client_id}},
+                           {{'name': 'fingerprint', 'value': print}}]) AS u(c)
+  WHERE kind < 2 AND c.value <> ''),
+size_{t} AS (SELECT kind, key, count(*) AS n FROM cell_{t} GROUP BY kind, key),
+number_{t} AS (
+  SELECT kind, key, CAST(1 + sum(n) OVER (ORDER BY kind, key) - n AS BIGINT) AS super_id FROM size_{t}),
+alone_{t} AS (
+  SELECT client_id AS value, date_table, row_number() OVER (ORDER BY client_id, date_table) AS place
+  FROM (SELECT DISTINCT client_id, date_table FROM person_{t} WHERE kind = 2)),
 lab_{t} AS (
-  SELECT super_id, user_id_flg, name, value, TIMESTAMP '{as_of}' AS date_insert, date_table
-  FROM s1_{t} WHERE value IS NOT NULL
+  SELECT super_id, 1 - kind AS user_id_flg, name, value, TIMESTAMP '{as_of}' AS date_insert, date_table
+  FROM cell_{t} JOIN number_{t} USING (kind, key)
   UNION ALL
-  SELECT super_id, user_id_flg, name, value, TIMESTAMP '{as_of}' AS date_insert, date_table
-  FROM s2_{t} WHERE value IS NOT NULL)"""
+  SELECT place + (SELECT max(super_id) FROM number_{t}), 0, 'client_id', value, TIMESTAMP '{as_of}', date_table
+  FROM alone_{t})"""
 
 
 def last_day(t: str) -> str:
+    """Two hops of the smallest id: over the values, and over the ids of a value."""
     return f"""
-uc_{t} AS (
-  SELECT super_id, real_super_id FROM (
-    SELECT super_id,
-           CASE WHEN min(super_id) OVER (PARTITION BY rank_value) < super_id
-                THEN min(super_id) OVER (PARTITION BY rank_value) ELSE super_id END AS real_super_id
-    FROM (SELECT super_id, rank() OVER (ORDER BY value) AS rank_value FROM lab_{t}))
-  GROUP BY 1, 2),
+low_{t} AS (SELECT value, min(super_id) AS low FROM lab_{t} GROUP BY value),
+hop_{t} AS (SELECT super_id, min(low) AS hop FROM lab_{t} JOIN low_{t} USING (value) GROUP BY super_id),
+home_{t} AS (SELECT value, min(hop) AS super_id FROM lab_{t} LEFT JOIN hop_{t} USING (super_id) GROUP BY value),
+early_{t} AS (SELECT name, value, date_insert, min(date_table) AS date_table FROM lab_{t} GROUP BY ALL),
 ld_{t} AS (
-  SELECT DISTINCT min(t2.real_super_id) OVER (PARTITION BY value) AS super_id, name, value, date_insert,
-         min(date_table) OVER (PARTITION BY name, value) AS date_table
-  FROM lab_{t} t1 LEFT JOIN uc_{t} t2 ON t2.super_id = t1.super_id)"""
+  SELECT home_{t}.super_id, name, value, date_insert, date_table FROM early_{t} JOIN home_{t} USING (value))"""
 
 
 def fold(t: str, day_cte: str, master_cte: str, as_of: str) -> str:
+    """Rows the day adds, from the state of each of its persons: rows in all, rows
+    whose value the master knows, and the smallest id it knows them by."""
     return f"""
-mx_{t} AS (SELECT coalesce(max(super_id), 1) AS max_super_id FROM {master_cte}),
-nv_{t} AS (
-  SELECT t1.super_id AS super_id_new, t1.name AS name_new, t1.value AS value_new,
-         t1.date_insert AS date_insert_new, t1.date_table AS date_table_new, max_super_id,
-         t2.name AS name_old, t2.value AS value_old, t2.super_id AS super_id_old,
-         CASE WHEN t2.name IS NOT NULL THEN 1 ELSE 0 END AS name_exists_flg,
-         count(t1.super_id) OVER (PARTITION BY t1.super_id) AS total,
-         sum(CASE WHEN t2.value IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY t1.super_id) AS sum_exists_flg
-  FROM {day_cte} t1 LEFT JOIN {master_cte} t2 ON t2.value = t1.value, mx_{t} t3
-  GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10),
+match_{t} AS (
+  SELECT DISTINCT d.super_id AS person, d.name, d.value, d.date_table, m.name AS old_name, m.value AS old_value,
+         m.super_id AS old_id
+  FROM {day_cte} d LEFT JOIN {master_cte} m ON m.value = d.value),
+state_{t} AS (
+  SELECT person, count(*) AS n, count(old_value) AS known, min(old_id) AS old_id FROM match_{t} GROUP BY person),
+fresh_{t} AS (
+  SELECT person, CAST(sum(n) OVER (ORDER BY person) - n + 1
+                      + (SELECT coalesce(max(super_id), 1) FROM {master_cte}) AS BIGINT) AS new_id
+  FROM state_{t} WHERE known = 0),
+goal_{t} AS (
+  SELECT person, coalesce(new_id, old_id) AS super_id
+  FROM state_{t} LEFT JOIN fresh_{t} USING (person) WHERE known < n),
 ap_{t} AS (
-  SELECT min(super_id_old) OVER (PARTITION BY super_id_new) AS super_id, name_new AS name, value_new AS value,
-         TIMESTAMP '{as_of}' AS date_insert, date_table_new AS date_table
-  FROM nv_{t} WHERE total > sum_exists_flg AND sum_exists_flg > 0
-  UNION ALL
-  SELECT max_super_id + rank() OVER (ORDER BY super_id_new) AS super_id, name_new AS name, value_new AS value,
-         TIMESTAMP '{as_of}' AS date_insert, date_table_new AS date_table
-  FROM nv_{t} WHERE sum_exists_flg = 0)"""
+  SELECT super_id, name, value, TIMESTAMP '{as_of}' AS date_insert, date_table
+  FROM match_{t} JOIN goal_{t} USING (person))"""
 
 
 def day_chain(t: str, day: dt.date, as_of: str) -> list[str]:
@@ -129,33 +116,31 @@ def day_chain(t: str, day: dt.date, as_of: str) -> list[str]:
 
 
 def session_rank(master_cte: str) -> str:
+    """Every value once with its smallest id and times; a row belongs to the last
+    user of its person at or before it (by time, then value)."""
     return f"""
-sr1 AS (
-  SELECT min(super_id) OVER (PARTITION BY value) AS super_id, name, value,
-         min(date_insert) OVER (PARTITION BY value) AS date_insert,
-         min(date_table) OVER (PARTITION BY value) AS date_table
-  FROM {master_cte}),
-sr2 AS (
-  SELECT *, max(CASE WHEN name = 'user_id' THEN 1 ELSE 0 END) OVER (PARTITION BY super_id) AS user_id_exists_flg
-  FROM sr1),
-sr3 AS (
-  SELECT *,
-    CASE WHEN name = 'user_id' AND user_id_exists_flg = 1 THEN
-      dense_rank() OVER (PARTITION BY super_id,
-                                      CASE WHEN name = 'user_id' AND user_id_exists_flg = 1 THEN 1 ELSE 0 END
-                         ORDER BY date_table) END AS rank_
-  FROM sr2),
-sr4 AS (
-  SELECT *, coalesce(last_value(rank_ IGNORE NULLS) OVER w, 1) AS r0,
-         last_value(CASE WHEN name = 'user_id' THEN value END IGNORE NULLS) OVER w AS cur_user
-  FROM sr3
-  WINDOW w AS (PARTITION BY super_id ORDER BY date_table, value
-               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+once AS (
+  SELECT value, min(super_id) AS super_id, min(date_insert) AS date_insert, min(date_table) AS date_table
+  FROM {master_cte} GROUP BY value),
+named AS (SELECT DISTINCT m.name, once.* FROM {master_cte} m JOIN once USING (value)),
+turns AS (
+  SELECT super_id, date_table, row_number() OVER (PARTITION BY super_id ORDER BY date_table) AS turn
+  FROM (SELECT DISTINCT super_id, date_table FROM named WHERE name = 'user_id')),
+users AS (
+  SELECT super_id, {{'at': date_table, 'who': value, 'turn': turn}} AS u
+  FROM named JOIN turns USING (super_id, date_table) WHERE name = 'user_id'),
+owned AS (
+  SELECT n.super_id, n.name, n.value, n.date_insert, n.date_table, max(u) AS last_user
+  FROM named n LEFT JOIN users ON users.super_id = n.super_id
+    AND (u.at < n.date_table OR (u.at = n.date_table AND u.who <= n.value))
+  GROUP BY ALL),
+visit AS (
+  SELECT super_id, who, row_number() OVER (ORDER BY super_id, who NULLS FIRST) AS user_id_rank
+  FROM (SELECT DISTINCT super_id, last_user.who AS who FROM owned)),
 sr5 AS (
-  SELECT DISTINCT super_id, name, value, date_insert, date_table,
-         CASE WHEN r0 = 0 THEN 1 ELSE r0 END AS rank_of_super_id,
-         dense_rank() OVER (ORDER BY super_id, cur_user NULLS FIRST) AS user_id_rank
-  FROM sr4)"""
+  SELECT o.super_id, o.name, o.value, o.date_insert, o.date_table, coalesce(last_user.turn, 1) AS rank_of_super_id,
+         user_id_rank
+  FROM owned o JOIN visit v ON v.super_id = o.super_id AND v.who IS NOT DISTINCT FROM o.last_user.who)"""
 
 
 def closure(t: str) -> str:

@@ -21,27 +21,39 @@ WRITE_MODES = {
 }
 
 _EXTRA = "_extra_field"
+# stands for NULL where no text can: nothing in a file equals it
+_NO_VALUE = "\x00\x01"
 
 
 def read_csv_skip_bad_lines(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True, multi_line: bool = True
 ) -> DataFrame:
     """CSV read that drops rows with *more* fields than the schema and keeps
     rows with fewer (missing fields become NULL), as a pandas reader with bad
-    lines skipped does.
+    lines skipped does.  Quotes inside quoted fields are doubled.
 
-    Spark's DROPMALFORMED also drops short rows and is bypassed by column
-    pruning, so instead one trailing string column catches any surplus field
-    and rows where it is set are filtered out."""
+    One trailing string column catches a surplus field.  A field that is there
+    but empty is read as '' and not as NULL, so ``1,2,3,`` is seen to have four
+    fields; empty strings of the schema's own columns become NULL afterwards.
+    With ``multi_line`` a quoted field may hold line ends, for which a file is
+    read by one task; without it files are split."""
     probe = T.StructType(list(schema.fields) + [T.StructField(_EXTRA, T.StringType(), True)])
     df = (
         spark.read.option("header", header)
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("nullValue", _NO_VALUE)
+        .option("emptyValue", "")
+        .option("enforceSchema", True)
         .schema(probe)
         .csv(path)
     )
-    return df.filter(F.col(_EXTRA).isNull()).drop(_EXTRA)
+    good = df.filter(F.col(_EXTRA).isNull())
+    return good.select(
+        *[F.nullif(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in schema]
+    )
 
 
 def save_mode(disposition: str) -> str:

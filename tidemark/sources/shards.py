@@ -6,6 +6,7 @@ folders of the requested days are listed and read)."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,20 +41,23 @@ def read_suffix_shards(
     suffix_col: str = "_table_suffix",
 ) -> DataFrame:
     """Wildcard table ``<prefix>*`` whose shard suffix's first run of digits
-    lies in [start, end] as yyyymmdd, so ``intraday_YYYYMMDD`` shards count
-    too.  A path glob over the requested days prunes the listing; the exact
-    digit rule is then applied to each row's shard folder name."""
-    days, day = [], start
-    while day <= end:
-        days.append(day.strftime("%Y%m%d"))
-        day += dt.timedelta(days=1)
-    if not days:
+    lies in [start, end] as yyyymmdd, wherever it stands in the suffix
+    (``intraday_YYYYMMDD``, ``YYYYMMDD_fresh``).  The folder names are listed
+    and judged first, so only shards of the range are read; a range without
+    any gives no rows (in the schema of the shards there are)."""
+    if end < start:
         raise ValueError("empty day range")
-    pattern = f"{root.rstrip('/')}/{prefix}*{{{','.join(days)}}}"
-    df = spark.read.parquet(pattern)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/{prefix}([^/]*)/[^/]*$", 1)
-    digits = F.regexp_extract(folder, "[0-9]+", 0)
-    return (
-        df.withColumn(suffix_col, folder)
-        .filter(digits.between(F.lit(days[0]), F.lit(days[-1])))
-    )
+    first, last = start.strftime("%Y%m%d"), end.strftime("%Y%m%d")
+    base = f"{root.rstrip('/')}/"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    shards = [n for n in names if n.startswith(prefix)]
+    if not shards:
+        raise FileNotFoundError(f"no shard {prefix}* under {root}")
+    digits = {n: re.search("[0-9]+", n[len(prefix):]) for n in shards}
+    wanted = [n for n in shards if digits[n] and first <= digits[n][0] <= last]
+    df = spark.read.parquet(*[base + n for n in wanted or shards[:1]])
+    folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/{re.escape(prefix)}([^/]*)/[^/]*$", 1)
+    df = df.withColumn(suffix_col, folder)
+    return df if wanted else df.limit(0)
