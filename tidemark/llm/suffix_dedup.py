@@ -135,9 +135,10 @@ def contexts(buffer: np.ndarray, ends: np.ndarray, gram: int) -> tuple[np.ndarra
     return h[a], c, t[first], start, m
 
 
-def collapse(h, c, doc, key, pos) -> tuple[np.ndarray, np.ndarray]:
-    """Which contexts are the earliest of equal ones, and which of those stand with
-    others under their anchor."""
+def collapse(h, c, doc, key, pos) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which contexts are the earliest of equal ones, which of those stand with
+    others under their anchor, and which come later than an equal one (rows that
+    repeat an id and text are no later)."""
     n = len(h)
     by = np.lexsort((pos, key, doc, c, h))
     hs, cs = h[by], c[by]
@@ -148,9 +149,13 @@ def collapse(h, c, doc, key, pos) -> tuple[np.ndarray, np.ndarray]:
     heads = np.flatnonzero(new_h)
     several = np.add.reduceat(new, heads) > 1 if n else np.empty(0, bool)
     several = np.repeat(several, np.diff(np.append(heads, n)))
-    first, among = np.empty(n, bool), np.empty(n, bool)
-    first[by], among[by] = new, new & several
-    return first, among
+    head = np.maximum.accumulate(np.where(new, np.arange(n), 0)) if n else by
+    same = np.ones(n, bool)
+    for x in (doc, key, pos):
+        same &= x[by] == x[by][head]
+    first, among, again = np.empty(n, bool), np.empty(n, bool), np.empty(n, bool)
+    first[by], among[by], again[by] = new, new & several, ~same
+    return first, among, again
 
 
 def merge(doc, key, start, end) -> tuple[np.ndarray, ...]:
@@ -235,8 +240,7 @@ def list_contexts(buckets: int):
             h, c, t, start, m = contexts(np.frombuffer(b"".join(s[3] for s in some), np.uint8), ends, GRAM)
             pos = start - (ends - lens)[t] + offset[t]
             doc, key = docs[t], keys[t]
-            first, _ = collapse(h, c, doc, key, pos)
-            again = ~first
+            first, _, again = collapse(h, c, doc, key, pos)
             spans = merge(doc[again], key[again], pos[again], pos[again] + m[again] + LENGTH - 1)
             if len(spans[0]):
                 yield _by_bucket("span", SPAN, _bucket_of(spans[0], buckets), spans)
@@ -262,8 +266,7 @@ def settle_contexts(buckets: int):
         same[:-1] |= hs[1:] == hs[:-1]
         at = order[same]  # anchors seen once have nothing to say
         h, c, doc, key, pos, m = (x[at] for x in (h, c, doc, key, pos, m))
-        first, among = collapse(h, c, doc, key, pos)
-        again = ~first
+        _, among, again = collapse(h, c, doc, key, pos)
         width = m[again].astype(np.int64) + LENGTH - 1
         spans = merge(doc[again], key[again], pos[again], pos[again] + width)
         want = [x[among] for x in (h, doc, key, pos, m)]
@@ -340,8 +343,7 @@ def _split(buffer, starts, lens, group, doc, key, pos, large, longer) -> list[tu
     h, c, t, start, m = contexts(own, ends, longer[0])
     h = _mix(h + group[at][t].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     doc, key, pos = doc[at][t], key[at][t], pos[at][t] + (start - (ends - lens[at])[t])
-    first, among = collapse(h, c, doc, key, pos)
-    again = ~first
+    _, among, again = collapse(h, c, doc, key, pos)
     out = [(doc[again], key[again], pos[again], pos[again] + m[again] + LENGTH - 1)]
     keep = np.flatnonzero(among)
     keep = keep[np.argsort(h[keep], kind="stable")]
