@@ -28,8 +28,9 @@ def _d(day: dt.date) -> str:
     return f"DATE '{day.isoformat()}'"
 
 
-def clicks(t: str, start: dt.date | None, end: dt.date | None) -> str:
-    where = "" if start is None else f"WHERE event_date BETWEEN {_d(start)} AND {_d(end)}"
+def clicks(t: str, start: dt.date | None, end: dt.date | None, where: str = "") -> str:
+    if start is not None:
+        where = f"WHERE event_date BETWEEN {_d(start)} AND {_d(end)}"
     return f"""
 clicks_{t} AS (
   SELECT event_timestamp, event_name, user_id, user_pseudo_id, fingerprint
@@ -111,8 +112,8 @@ ap_{t} AS (
   FROM match_{t} JOIN goal_{t} USING (person))"""
 
 
-def day_chain(t: str, day: dt.date, as_of: str) -> list[str]:
-    return [clicks(t, day, day), app(t), labelled(t, as_of), last_day(t)]
+def day_chain(t: str, day: dt.date | None, as_of: str, where: str = "") -> list[str]:
+    return [clicks(t, day, day, where), app(t), labelled(t, as_of), last_day(t)]
 
 
 def session_rank(master_cte: str) -> str:

@@ -4,6 +4,7 @@ incremental windows (J10 ingest, J11, SNK-1..4)."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,7 @@ WRITE_MODES = {
     "append": "append",
 }
 
-_EXTRA = "_extra_field"
-# stands for NULL where no text can: nothing in a file equals it
-_NO_VALUE = "\x00\x01"
+_RECORD = "_record_of_other_length"
 
 
 def read_csv_skip_bad_lines(
@@ -32,28 +31,24 @@ def read_csv_skip_bad_lines(
     rows with fewer (missing fields become NULL), as a pandas reader with bad
     lines skipped does.  Quotes inside quoted fields are doubled.
 
-    One trailing string column catches a surplus field.  A field that is there
-    but empty is read as '' and not as NULL, so ``1,2,3,`` is seen to have four
-    fields; empty strings of the schema's own columns become NULL afterwards.
-    With ``multi_line`` a quoted field may hold line ends, for which a file is
-    read by one task; without it files are split."""
-    probe = T.StructType(list(schema.fields) + [T.StructField(_EXTRA, T.StringType(), True)])
+    A record whose number of fields is not the schema's comes back whole in an
+    extra column; its separators outside quotes are counted, so ``1,2,3,`` is
+    seen to have four fields.  With ``multi_line`` a quoted field may hold line
+    ends, for which a file is read by one task; without it files are split."""
+    probe = T.StructType(list(schema.fields) + [T.StructField(_RECORD, T.StringType(), True)])
     df = (
         spark.read.option("header", header)
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .option("nullValue", _NO_VALUE)
-        .option("emptyValue", "")
-        .option("enforceSchema", True)
+        .option("columnNameOfCorruptRecord", _RECORD)
         .schema(probe)
         .csv(path)
     )
-    good = df.filter(F.col(_EXTRA).isNull())
-    return good.select(
-        *[F.nullif(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in schema]
-    )
+    unquoted = F.regexp_replace(F.col(_RECORD), '"[^"]*"', "")
+    fields = F.size(F.split(unquoted, re.escape(sep), -1))
+    return df.filter(F.col(_RECORD).isNull() | (fields <= len(schema.fields))).drop(_RECORD)
 
 
 def save_mode(disposition: str) -> str:
