@@ -48,7 +48,10 @@ def read_csv_skip_bad_lines(
     )
     unquoted = F.regexp_replace(F.col(_RECORD), '"[^"]*"', "")
     fields = F.size(F.split(unquoted, re.escape(sep), -1))
-    return df.filter(F.col(_RECORD).isNull() | (fields <= len(schema.fields))).drop(_RECORD)
+    # the second condition always holds; Spark refuses to parse for the extra column alone
+    first = F.coalesce(F.col(schema.fields[0].name).cast("string"), F.lit(""))
+    good = F.col(_RECORD).isNull() | (fields <= len(schema.fields))
+    return df.filter(good & (first != F.lit("\x00\x01"))).drop(_RECORD)
 
 
 def save_mode(disposition: str) -> str:
