@@ -204,13 +204,13 @@ def test_page_elements_skip_script_and_comments(spark):
 
 
 def test_normalise_and_ngrams(spark):
-    from tidemark.functions.text import normalise, spaced, substrings
+    from tidemark.functions.text import characters, normalise, spaced, substrings
     from tidemark.operators import text
 
     df = spark.createDataFrame([(1, "Ab, c!"), (2, "")], "id long, t string")
     assert df.select(normalise(F.col("t"))).first()[0] == "ab  c "
     assert df.select(spaced(F.lit("abc"))).first()[0] == "a b c"
-    grams = df.filter("id = 1").select(substrings(F.col("t"), 1, 2)).first()[0]
+    grams = df.filter("id = 1").select(substrings(characters(F.col("t")), 1, 2)).first()[0]
     assert grams[:6] == ["A", "b", ",", " ", "c", "!"] and grams[6:] == ["Ab", "b,", ", ", " c", "c!"]
     # brute force: whole-text character n-gram counts as the reference analyzer builds them
     docs = spark.createDataFrame([(1, 0, "abab a"), (2, 0, "bb"), (3, 0, "")], "conv_id long, turn long, text string")
@@ -251,6 +251,12 @@ def test_page_parser_mode(spark):
         (1, "div_ad", 0, "outer inner tail"),
         (1, "h1", 0, "A bold title"),
     ]
+    # nested matches in document order; an element never closed runs to the end
+    odd = "<div class=ad>a<div class='ad'>b</div></div><P><IMG src=x>t</P><h1>open <br>only"
+    df = spark.createDataFrame([(2, "u", odd), (3, "u", None), (4, "u", "")], "page_id long, url string, html string")
+    both = {"h1": ("h1", None, None), "head": ("h1", None, None), "div_ad": ("div", "ad", None)}
+    out = sorted(map(tuple, pages.page_elements_parsed(df, both).collect()))
+    assert out == [(2, "div_ad", 0, "ab"), (2, "div_ad", 1, "b"), (2, "h1", 0, "open only"), (2, "head", 0, "open only")]
     # on the generated pages both modes agree
     real = spark.read.parquet(f"{SF01}/pages.parquet")
     a = sorted(map(tuple, pages.page_elements(real).collect()))

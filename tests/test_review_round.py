@@ -13,7 +13,7 @@ from tidemark.operators import contacts, evaluation, identity, reshape
 from tidemark.operators.ordering import By, with_global_rank, with_prefix_sums
 from tidemark.plans import inputs
 from tidemark.sources import io, shards
-from tests.conftest import SF001
+from tests.conftest import SF001, SF01
 
 BIG = 2**53
 
@@ -81,3 +81,23 @@ def test_persistent_master_takes_new_days_only(spark, tmp_path):
         assert key(spark.table("review_master")) == key(whole)
     finally:
         spark.sql("DROP TABLE IF EXISTS review_master")
+
+
+def test_contact_thresholds_are_arguments(spark):
+    calls = spark.createDataFrame(
+        [(1, "a", "b", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 9), 40)],
+        "call_id long, phone_from string, phone_to string, created timestamp_ntz, call_start timestamp_ntz, duration int",
+    )
+    as_of = dt.datetime(2024, 1, 3)
+    assert [r["is_finished"] for r in contacts.contact_facts(calls, as_of).collect()] == [0]
+    limits = contacts.Thresholds(unreachable_seconds=10, succeeded_seconds=30, finish_wait_days=1)
+    row = contacts.contact_facts(calls, as_of, limits).head()
+    assert (row["is_finished"], row["is_succeeded"], row["is_unreachable"]) == (1, 1, 0)
+
+
+def test_text_plan_stays_on_the_jvm(spark):
+    from tidemark.operators import text
+
+    docs = text.documents(spark.read.parquet(f"{SF01}/conversations.parquet"), "text")
+    plan = text.term_counts(docs, ["conv_id", "turn"], "text")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "InPandas" not in plan and "partial_count" in plan

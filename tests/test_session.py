@@ -1,8 +1,8 @@
-"""Session guard rails: shared checkpoint folder, spreading small inputs."""
+"""Session guard rails: shared checkpoint folder."""
 
 import pytest
 
-from tidemark.session import checkpoint_dir, spread
+from tidemark.session import checkpoint_dir
 
 
 class _Conf:
@@ -39,11 +39,3 @@ def test_cluster_without_checkpoint_dir_is_refused():
 
 def test_configured_checkpoint_dir_wins():
     assert checkpoint_dir(_Spark(_SC("yarn", "hdfs:///shared/ckpt"))) == "hdfs:///shared/ckpt"
-
-
-def test_spread_only_small_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    many = spark.range(100).repartition(cores + 3)
-    assert spread(many).rdd.getNumPartitions() == cores + 3

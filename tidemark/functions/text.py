@@ -17,38 +17,20 @@ def characters(col: Column) -> Column:
     return F.when(F.length(col) == 0, F.array().cast("array<string>")).otherwise(F.split(col, ""))
 
 
-def char_ngrams(chars: Column, min_n: int = 1, max_n: int = 4) -> Column:
-    """All character n-grams of an array of characters (use ``characters``
-    and keep the array as its own column first, so it is not recomputed per
-    position), n in [min_n, max_n], each written as its characters joined by
-    one space (a word analyzer fed character tokens).  Order: all 1-grams,
-    then 2-grams, ...; JVM-side, no Python."""
-
-    def grams_of(n):
-        size = F.size(chars)
-        if n == 1:
-            return chars
-        starts = F.sequence(F.lit(1), size - F.lit(n) + 1)
-        return F.when(
-            size >= n,
-            F.transform(starts, lambda i: F.concat_ws(" ", *[F.element_at(chars, i + k) for k in range(n)])),
-        ).otherwise(F.array().cast("array<string>"))
+def substrings(chars: Column, min_n: int = 1, max_n: int = 4) -> Column:
+    """All runs of n elements of an array of characters, n in [min_n, max_n],
+    joined (1-grams first).  Taking them from the array keeps a long text linear:
+    a substring by position walks the text from its start.
 
-    return F.flatten(F.array(*[grams_of(n) for n in range(min_n, max_n + 1)]))
-
-
-def substrings(text: Column, min_n: int = 1, max_n: int = 4) -> Column:
-    """All substrings of n code points, n in [min_n, max_n] (1-grams first).
-    A character n-gram is such a substring with spaces between its
-    characters; since that spacing preserves lexicographic order, counting and
-    ranking can run on the cheap substrings and only the kept terms need
-    ``spaced``."""
-    length = F.length(text)
+    A character n-gram is such a run with spaces between its characters; since
+    that spacing preserves lexicographic order, counting and ranking can run on
+    the raw runs and only the kept terms need ``spaced``."""
+    size = F.size(chars)
 
     def of(n):
-        starts = F.sequence(F.lit(1), length - F.lit(n) + 1)
+        starts = F.sequence(F.lit(1), size - F.lit(n) + 1)
         return F.when(
-            length >= n, F.transform(starts, lambda i: text.substr(i, F.lit(n)))
+            size >= n, F.transform(starts, lambda i: F.concat(*[F.element_at(chars, i + k) for k in range(n)]))
         ).otherwise(F.array().cast("array<string>"))
 
     return F.flatten(F.array(*[of(n) for n in range(min_n, max_n + 1)]))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.time import utc_date_of_epoch_seconds
 from tidemark.operators.grouping import join_on_keys
+from tidemark.session import materialise
 
 # channel_coeff -> weight_of_channel (others give NULL).
 CHANNEL_WEIGHTS = {0: 1.0 / 6.0, 1: 2.0 / 6.0, 2: 3.0 / 6.0}
@@ -49,6 +50,8 @@ def time_decay(
             d: F.when(days == 0, F.lit(1)).otherwise(days).cast("long"),
         }
     )
+    # read twice, for the totals and for the rows: written once
+    base = materialise(base, "clicks")
     # Per-prospect totals without windows and without a second join: first
     # combine clicks per (prospect, day gap) -- map-side partial aggregation,
     # so a prospect holding a third of all clicks shrinks to one row per gap

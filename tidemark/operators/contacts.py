@@ -15,16 +15,25 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import ntz_literal
 
-# Fixed values (thresholds of the original job).
-UNREACHABLE_SECONDS = 20
-SUCCEEDED_SECONDS = 60
-FINISH_WAIT_DAYS = 3
+
+class Thresholds(NamedTuple):
+    """A call longer than ``succeeded_seconds`` succeeded, one of at most
+    ``unreachable_seconds`` did not reach anybody, and a contact is finished
+    ``finish_wait_days`` after its last call.  The defaults are fixed values."""
+
+    unreachable_seconds: int = 20
+    succeeded_seconds: int = 60
+    finish_wait_days: int = 3
+
+
+THRESHOLDS = Thresholds()
 
 
 def ts_literal(value: dt.datetime | dt.date | str) -> Column:
@@ -43,7 +52,7 @@ def _plus_seconds(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, ts)
 
 
-def _pair_aggregates(calls: DataFrame) -> DataFrame:
+def _pair_aggregates(calls: DataFrame, limits: Thresholds) -> DataFrame:
     p1, p2 = pair_columns()
     order = F.struct(F.col("call_start"), F.col("call_id"))
     dur = F.col("duration")
@@ -52,9 +61,9 @@ def _pair_aggregates(calls: DataFrame) -> DataFrame:
         .groupBy("phone_1", "phone_2")
         .agg(
             F.count(F.lit(1)).alias("_total"),
-            F.count_if(dur > SUCCEEDED_SECONDS).alias("_n_succ"),
-            F.count_if(dur > UNREACHABLE_SECONDS).alias("_n_reach"),
-            F.count_if(dur <= UNREACHABLE_SECONDS).alias("_n_unreach"),
+            F.count_if(dur > limits.succeeded_seconds).alias("_n_succ"),
+            F.count_if(dur > limits.unreachable_seconds).alias("_n_reach"),
+            F.count_if(dur <= limits.unreachable_seconds).alias("_n_unreach"),
             # last call by start time, call_id breaks ties
             F.max_by(F.struct(F.col("call_start"), dur), order).alias("_last"),
             F.min(dur).alias("_min_dur"),
@@ -77,9 +86,9 @@ def _pair_aggregates(calls: DataFrame) -> DataFrame:
     )
 
 
-def _finished_if(duration: Column, as_of: Column) -> Column:
+def _finished_if(duration: Column, as_of: Column, limits: Thresholds) -> Column:
     """1 when last start + duration + wait < as_of (NULL counts as not)."""
-    when = F.timestamp_add("DAY", F.lit(FINISH_WAIT_DAYS), _plus_seconds(F.col("_last.call_start"), duration))
+    when = F.timestamp_add("DAY", F.lit(limits.finish_wait_days), _plus_seconds(F.col("_last.call_start"), duration))
     return F.coalesce(when < as_of, F.lit(False))
 
 
@@ -135,7 +144,7 @@ CALLS_WINDOW_COLUMNS = [
 ]
 
 
-def contact_calls(calls: DataFrame, as_of) -> DataFrame:
+def contact_calls(calls: DataFrame, as_of, limits: Thresholds = THRESHOLDS) -> DataFrame:
     """J3a, as written: ``is_finished`` uses each call's own duration with the
     last call's start, then ``DISTINCT`` over the contact-level columns, so a
     contact yields one row per distinct ``is_finished`` value (1 or 2 rows).
@@ -143,9 +152,9 @@ def contact_calls(calls: DataFrame, as_of) -> DataFrame:
     Which values occur follows from the pair's min/max duration (the test is
     monotone in the duration), so the rows come straight from the aggregate."""
     now = ts_literal(as_of)
-    agg = _pair_aggregates(calls)
-    has_finished = _finished_if(F.col("_min_dur"), now) & F.col("_min_dur").isNotNull()
-    has_open = (F.col("_n_null_dur") > 0) | ~_finished_if(F.col("_max_dur"), now)
+    agg = _pair_aggregates(calls, limits)
+    has_finished = _finished_if(F.col("_min_dur"), now, limits) & F.col("_min_dur").isNotNull()
+    has_open = (F.col("_n_null_dur") > 0) | ~_finished_if(F.col("_max_dur"), now, limits)
     rows = agg.withColumn(
         "is_finished",
         F.explode(F.array_compact(F.array(F.when(has_open, F.lit(0)), F.when(has_finished, F.lit(1))))),
@@ -187,11 +196,11 @@ CONTACT_FACT_COLUMNS = [
 ]
 
 
-def contact_facts(calls: DataFrame, as_of) -> DataFrame:
+def contact_facts(calls: DataFrame, as_of, limits: Thresholds = THRESHOLDS) -> DataFrame:
     """J3c: one row per contact; finished is judged on the last call."""
     now = ts_literal(as_of)
-    agg = _pair_aggregates(calls).withColumn(
-        "is_finished", _finished_if(F.col("_last.duration"), now).cast("int")
+    agg = _pair_aggregates(calls, limits).withColumn(
+        "is_finished", _finished_if(F.col("_last.duration"), now, limits).cast("int")
     )
     return _outcomes(agg).select(*CONTACT_FACT_COLUMNS)
 

@@ -451,7 +451,7 @@ def user_sessions(master: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ J1k
-def merge_closure(labelled: DataFrame, max_rounds: int = 64) -> DataFrame:
+def merge_closure(labelled: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """Connected components of the id-value graph: every value gets the
     smallest id reachable through shared values (the fixpoint of
     ``merge_day``).
@@ -459,8 +459,9 @@ def merge_closure(labelled: DataFrame, max_rounds: int = 64) -> DataFrame:
     Each round is one min-label hop through the values (partial
     aggregation on both group-bys) followed by pointer jumping (an id adopts
     its label's label), so long chains need about log2(diameter) rounds.
-    Labels are written to the checkpoint folder every round, and the loop
-    stops when no label changed (one bounded count per round)."""
+    Labels are written to the checkpoint folder every round.  A label never
+    grows, so the loop stops when their sum stays.  ``max_rounds``, if given,
+    raises beyond that many rounds."""
     pairs = materialise(
         labelled.select("super_id", "value")
         .filter(F.col("super_id").isNotNull() & F.col("value").isNotNull())
@@ -471,7 +472,15 @@ def merge_closure(labelled: DataFrame, max_rounds: int = 64) -> DataFrame:
     labels, labels_path = materialise_at(
         pairs.select("super_id").distinct().withColumn("label", F.col("super_id")), "labels", keep=True
     )
-    for _ in range(max_rounds):
+
+    def total(of: DataFrame):
+        return of.agg(F.sum(F.col("label").cast("decimal(38,0)"))).head()[0]
+
+    before, rounds = total(labels), 0
+    while True:
+        if max_rounds is not None and rounds >= max_rounds:
+            raise RuntimeError("merge_closure did not converge")
+        rounds += 1
         vlabel = pairs.join(labels, "super_id").groupBy("value").agg(F.min("label").alias("vlabel"))
         hop = join_on_keys(pairs, vlabel, ["value"]).groupBy("super_id").agg(F.min("vlabel").alias("label"))
         parent = hop.select(F.col("super_id").alias("label"), F.col("label").alias("_grand"))
@@ -479,18 +488,12 @@ def merge_closure(labelled: DataFrame, max_rounds: int = 64) -> DataFrame:
             "super_id", F.least(F.col("label"), F.coalesce(F.col("_grand"), F.col("label"))).alias("label")
         )
         new, new_path = materialise_at(jumped, "labels", keep=True)
-        changed = (
-            new.join(labels.withColumnRenamed("label", "_old"), "super_id")
-            .filter(F.col("label") != F.col("_old"))
-            .limit(1)
-            .count()
-        )
+        after = total(new)
         delete_path(spark, labels_path)  # the previous round's labels are no longer read
         labels, labels_path = new, new_path
-        if changed == 0:
+        if after == before:
             break
-    else:
-        raise RuntimeError("merge_closure did not converge")
+        before = after
     comp = join_on_keys(pairs, labels, ["super_id"]).groupBy("value").agg(F.min("label").alias("super_id"))
     first_seen = labelled.groupBy("name", "value").agg(F.min("date_table").alias("date_table"))
     rows = labelled.select("name", "value", "date_insert").distinct()

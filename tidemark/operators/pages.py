@@ -57,10 +57,18 @@ PARSED_ELEMENTS = {
 }
 
 
+# Elements of HTML that have no end tag.
+VOID_TAGS = {
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr",
+}
+
+
 def _page_parser(id_col: str, html_col: str, elements: dict):
     """Per Arrow batch: parse each page with the standard-library HTML parser
     (nesting-aware; script/style bodies and comments are not markup) and emit
-    one row per matching element, in document order per element name."""
+    one row per matching element, in document order per element name.  An
+    element that matches several names is a row of each; one that is never
+    closed runs to the end of its parent or of the page."""
 
     def parse(batches):
         from html.parser import HTMLParser
@@ -70,36 +78,36 @@ def _page_parser(id_col: str, html_col: str, elements: dict):
         class Collector(HTMLParser):
             def __init__(self):
                 super().__init__(convert_charrefs=True)
+                # text parts of each match, listed when it opens (document order)
                 self.found = {name: [] for name in elements}
-                self.open = []  # stack of [tag, name or None, text parts]
+                self.open = []  # stack of (tag, text parts of the matches it made)
 
             def handle_starttag(self, tag, attrs):
                 attrs = dict(attrs)
                 classes = (attrs.get("class") or "").split()
+                made = []
                 for name, (want_tag, want_class, attr) in elements.items():
                     if tag == want_tag and (want_class is None or want_class in classes):
                         if attr is not None:
                             if attr in attrs:
-                                self.found[name].append(attrs[attr] or "")
+                                self.found[name].append([attrs[attr] or ""])
                         else:
-                            self.open.append([tag, name, []])
-                            return
-                self.open.append([tag, None, None])
+                            made.append([])
+                            self.found[name].append(made[-1])
+                if tag not in VOID_TAGS:
+                    self.open.append((tag, made))
 
             def handle_endtag(self, tag):
                 for i in range(len(self.open) - 1, -1, -1):
                     if self.open[i][0] == tag:
-                        for t, name, parts in self.open[i:][::-1]:
-                            if name is not None:
-                                self.found[name].append("".join(parts))
                         del self.open[i:]
                         return
 
             def handle_data(self, data):
                 if self.lasttag in ("script", "style") and self.open and self.open[-1][0] in ("script", "style"):
                     return
-                for _, name, parts in self.open:
-                    if name is not None:
+                for _, made in self.open:
+                    for parts in made:
                         parts.append(data)
 
         for pdf in batches:
@@ -115,7 +123,7 @@ def _page_parser(id_col: str, html_col: str, elements: dict):
                         ids.append(page_id)
                         names.append(name)
                         poss.append(pos)
-                        values.append(v)
+                        values.append("".join(v))
             if ids:
                 yield pd.DataFrame(
                     {id_col: ids, "element": names, "pos": pd.Series(poss, dtype="int64"), "value": values}
@@ -132,8 +140,6 @@ def page_elements_parsed(
     inside the task that holds it."""
     from pyspark.sql import types as T
 
-    from tidemark.session import spread
-
     elements = elements or PARSED_ELEMENTS
     schema = T.StructType(
         [
@@ -143,5 +149,4 @@ def page_elements_parsed(
             T.StructField("value", T.StringType()),
         ]
     )
-    src = spread(pages.select(id_col, html_col))
-    return src.mapInPandas(_page_parser(id_col, html_col, elements), schema)
+    return pages.select(id_col, html_col).mapInPandas(_page_parser(id_col, html_col, elements), schema)

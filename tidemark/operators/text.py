@@ -10,15 +10,13 @@ what makes broadcasting it safe.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.text import normalise, spaced
-from tidemark.session import materialise, spread
+from tidemark.functions.text import characters, normalise, spaced, substrings
+from tidemark.session import materialise
 
 # Vocabulary size, n-gram range and cluster count of the job.
 MAX_FEATURES = 250
@@ -27,58 +25,29 @@ N_CLUSTERS = 2
 SEED = 42
 
 
-def documents(df: DataFrame, text_col: str, normalise_text: bool = False) -> DataFrame:
-    """Rows with a non-NULL text (NULL comments are dropped first), spread
-    over the cores when the input has few splits (n-gram generation is the
-    CPU-heavy step)."""
-    out = spread(df.filter(F.col(text_col).isNotNull()))
+def documents(df: DataFrame, text_col: str, normalise_text: bool = False, partitions: int | None = None) -> DataFrame:
+    """Rows with a non-NULL text (NULL comments are dropped first).
+    ``partitions`` spreads an input of few file splits before the n-grams."""
+    out = df.filter(F.col(text_col).isNotNull())
+    if partitions:
+        out = out.repartition(partitions)
     if normalise_text:
         out = out.withColumn(text_col, normalise(F.col(text_col)))
     return out
 
 
-def _gram_counter(doc_cols: list[str], text_col: str, lo: int, hi: int):
-    """Per Arrow batch: count each whole document's substrings of lo..hi code
-    points (one document at a time, so memory is bounded by the longest
-    document, never by a group of documents)."""
-
-    def count(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            keys = {c: [] for c in doc_cols}
-            grams, counts = [], []
-            doc_values = [pdf[c].tolist() for c in doc_cols]
-            for i, text in enumerate(pdf[text_col].tolist()):
-                found = Counter()
-                size = len(text)
-                for n in range(lo, hi + 1):
-                    found.update(text[j : j + n] for j in range(size - n + 1))
-                for gram, c in found.items():
-                    for col, values in zip(doc_cols, doc_values):
-                        keys[col].append(values[i])
-                    grams.append(gram)
-                    counts.append(c)
-            if grams:  # a batch of empty texts has nothing to emit
-                yield pd.DataFrame({**keys, "gram": grams, "term_count": pd.Series(counts, dtype="int64")})
-
-    return count
-
-
-def term_counts(df: DataFrame, doc_cols: Sequence[str], text_col: str) -> DataFrame:
+def term_counts(
+    df: DataFrame, doc_cols: Sequence[str], text_col: str, ngram_range: tuple[int, int] = NGRAM_RANGE
+) -> DataFrame:
     """(doc..., gram, term_count) for every n-gram present in a document,
     with the n-gram still as its raw substring (see ``substrings``).
 
-    Counting happens inside the task that holds the document (Arrow batches
-    through ``mapInPandas``), so rows leave the task already combined per
-    (document, gram); ``substrings`` is the JVM expression of the same grams."""
+    A row per occurrence, combined per (document, gram) before the shuffle."""
     doc_cols = list(doc_cols)
-    lo, hi = NGRAM_RANGE
-    fields = [df.schema[c] for c in doc_cols] + [
-        T.StructField("gram", T.StringType()),
-        T.StructField("term_count", T.LongType()),
-    ]
-    return df.select(*doc_cols, text_col).mapInPandas(_gram_counter(doc_cols, text_col, lo, hi), T.StructType(fields))
+    # the characters are a column of their own, cut once per document
+    chars = df.select(*doc_cols, characters(F.col(text_col)).alias("_chars"))
+    grams = chars.select(*doc_cols, F.explode(substrings(F.col("_chars"), *ngram_range)).alias("gram"))
+    return grams.groupBy(*doc_cols, "gram").agg(F.count(F.lit(1)).alias("term_count"))
 
 
 def vocabulary(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:

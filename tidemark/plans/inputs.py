@@ -126,19 +126,16 @@ scores AS (
 
 
 # ------------------------------------------------------------ J8 users
-def paying_users(spark: SparkSession, sf: str) -> DataFrame:
-    """Every customer with the count and value of their urgent 1997 orders."""
+def paying_users(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Every customer with the count and value of their orders; ``start`` and
+    ``end`` (exclusive) bound the order time, by default all orders count."""
     cust = table(spark, sf, "customer").select("c_custkey")
     od = table(spark, sf, "orders")
-    per = (
-        od.filter(
-            (F.col("o_orderdate") >= ntz_literal("1997-01-01 00:00:00"))
-            & (F.col("o_orderdate") < ntz_literal("1998-01-01 00:00:00"))
-            & (F.col("o_orderpriority") == "1-URGENT")
-        )
-        .groupBy("o_custkey")
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("revenue"))
-    )
+    if start is not None:
+        od = od.filter(F.col("o_orderdate") >= ntz_literal(start))
+    if end is not None:
+        od = od.filter(F.col("o_orderdate") < ntz_literal(end))
+    per = od.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("revenue"))
     return cust.join(per, cust.c_custkey == per.o_custkey, "left").select(
         F.col("c_custkey").alias("user_id"),
         F.coalesce(F.col("orders"), F.lit(0)).alias("orders"),
@@ -148,10 +145,7 @@ def paying_users(spark: SparkSession, sf: str) -> DataFrame:
 
 USERS_SQL = """
 per AS (
-  SELECT o_custkey, count(*) AS orders, sum(o_totalprice) AS revenue FROM orders
-  WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
-    AND o_orderpriority = '1-URGENT'
-  GROUP BY o_custkey),
+  SELECT o_custkey, count(*) AS orders, sum(o_totalprice) AS revenue FROM orders GROUP BY o_custkey),
 users AS (
   SELECT c.c_custkey AS user_id, coalesce(p.orders, 0) AS orders, coalesce(p.revenue, 0.0) AS revenue
   FROM customer c LEFT JOIN per p ON c.c_custkey = p.o_custkey)

@@ -78,16 +78,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df):
-    """Round-robin a frame that arrives in fewer partitions than the cluster
-    has cores (a small file is one split) before CPU-heavy per-row work.
-    Large inputs already have many splits and are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 # Open scratch scopes per driver thread (innermost last); materialise()
 # records the tables it writes in the innermost one.
 _LOCAL = threading.local()
