@@ -32,4 +32,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tidemark.plans import queries  # noqa: F401
+    from tidemark.plans import queries, round_trips  # noqa: F401
