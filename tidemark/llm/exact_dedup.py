@@ -147,7 +147,8 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     stay = groups.filter("kept").select(
         F.col("doc_id").alias("_k_id"), F.col("text_sha256").alias("_k_sha"), F.col("copies").alias("_k_copies")
     )
-    keyed = docs.withColumn("_d_sha", F.sha2(normalised(text_col), 256))
+    # coalesced, so that the join adds no null filter that would digest every text twice
+    keyed = docs.withColumn("_d_sha", F.coalesce(F.sha2(normalised(text_col), 256), F.lit("")))
     same_id = keyed[id_col].cast("long").eqNullSafe(F.col("_k_id"))
     joined = keyed.join(stay, same_id & (F.col("_d_sha") == F.col("_k_sha")))
     single = joined.filter("_k_copies = 1").select(*[docs[c] for c in docs.columns])
