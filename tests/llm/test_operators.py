@@ -3,6 +3,7 @@ texts, ties, repeated rows, clashing column names and empty tables."""
 
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -230,6 +231,40 @@ def test_pii_terms_and_sanitising(spark, docs, none):
     assert pii.find_spans(docs).count() == docs.count() and pii.find_spans(none).count() == 0
 
 
+def test_pii_terms_equal_plain_counts(spark):
+    """An entity of one text, terms far from it, copies that differ in case."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 4))) for _ in range(400)]
+    mails = ["solo@x.org", "two@x.org", "two@x.org", "Three@x.org", "three@x.org", "three@x.org"]
+    texts = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(200)]
+    for i, mail in enumerate(mails):
+        tail = " ".join(rng.choice(words) for _ in range(40))
+        texts[i] = f"{mail} {texts[i]} {tail} mark{'abc'[min(i, 2)]}here"
+    texts[0] += " unheardof"
+    texts += [texts[0].upper(), texts[3], None, ""]
+    low = {(t or "").lower() for t in texts}
+    holds = {t: set(re.findall(r"[a-z]+@x\.org", t)) for t in low}
+    terms = {t: set(re.findall("[a-z]{3,}", t)) for t in low}
+    n_c = collections.Counter(e for t in low for e in holds[t])
+    n_t = collections.Counter(w for t in low for w in terms[t])
+    n_ct = collections.Counter((e, w) for t in low for e in holds[t] for w in terms[t])
+    n = len(low)
+    passed = {
+        (e, w) for (e, w), k in n_ct.items()
+        if math.log2(n * k / (n_c[e] * n_t[w])) >= pii.THRESHOLD * math.log2(n / n_c[e]) - 1e-12
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_spans(df).collect():
+        t = texts[r.doc_id] or ""
+        want = {w for e in holds[t.lower()] for w in terms[t.lower()] if (e, w) in passed}
+        base = [(s.start, s.end) for s in r.base]
+        at = {(m.start(), m.end()) for m in re.finditer("[a-z]{3,}", t.lower()) if m[0] in want}
+        at = {(a, b) for a, b in at if not any(a < y and x < b for x, y in base)}
+        assert {(s.start, s.end) for s in r.spans if s.kind == pii.TERM} == at, r.doc_id
+        if r.doc_id in (0, 200):
+            assert "unheardof" in want
+
+
 def test_byte_bpe_quality_and_pages(spark, docs, rows, none):
     import public_tokenizers
 

@@ -8,15 +8,17 @@ documents of the corpus, reaches the entity's own information content::
 
     PMI(c; t) = log2(n * n_ct / (n_c * n_t)),   IC(c) = log2(n / n_c)
 
-with n texts in all, n_c that hold the entity, n_t that hold the term, n_ct where
-the term stands within ``NEAR`` words of the entity.  In documents that hold c,
-terms with PMI >= ``THRESHOLD`` * IC and n_ct >= ``MIN_TOGETHER`` are spans of kind
-``term`` as well, wherever they stand outside a base span.  ``sanitise`` replaces
-base spans by their kind (generalised) and terms by nothing (removed).
-
-Counts run over distinct texts, so copies of a document are no evidence.  Context
-terms are a bounded number per span, so no document or entity makes pairs with all
-its words; counts are pre-aggregated before each shuffle.
+with n texts in all, n_c that hold the entity, n_t that hold the term, n_ct that
+hold both, anywhere in the text.  In documents that hold c, terms with
+PMI >= ``THRESHOLD`` * IC and n_ct >= ``MIN_TOGETHER`` are spans of kind ``term`` as
+well, wherever they stand outside a base span.  ``sanitise`` replaces base spans by
+their kind (generalised) and terms by nothing (removed).
+
+All counts run over the distinct lower-cased texts, so copies of a document are no
+evidence.  As n_ct <= n_c, a term can only pass if
+n_t <= n_c * (n / n_c) ** (1 - ``THRESHOLD``): terms are joined with their n_t first
+and those above the bound make no pairs.  Counts are pre-aggregated before each
+shuffle.
 
 Defined results: a null text is empty and has no spans (the digest is that of the
 empty string); rows with equal ids or texts have equal spans each; a span of one
@@ -33,10 +35,7 @@ from tidemark.llm.common import materialise, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-#: Words on either side of an entity that count as near it.
-NEAR = 5
-CONTEXT_CHARS = 120
-MIN_TOGETHER = 3
+MIN_TOGETHER = 1
 THRESHOLD = 0.9
 
 # The patterns find what the stated ones find, leftmost and without overlap, in
@@ -122,65 +121,54 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], value)
 
 
-def _near(text: Column, span: Column) -> Column:
-    """Terms among the ``NEAR`` words on either side of a span, lower case.  A word
-    at the outer edge of the context may be cut and is left out."""
-    first = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-    before = F.split(F.substring(text, first + 1, span["start"] - first), r"\s+")
-    before = F.when(first > 0, F.slice(before, 2, F.greatest(F.size(before) - 1, F.lit(0)))).otherwise(before)
-    before = F.slice(before, F.greatest(F.size(before) - NEAR, F.lit(0)) + 1, F.lit(NEAR + 1))
-    after = F.split(F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS)), r"\s+")
-    whole = span["end"] + CONTEXT_CHARS >= F.length(text)
-    after = F.when(whole, after).otherwise(F.slice(after, 1, F.greatest(F.size(after) - 1, F.lit(0))))
-    after = F.slice(after, 1, NEAR + 1)
-    words = F.array_join(F.concat(before, F.array(F.lit(" ")), after), " ")
-    return F.array_distinct(F.regexp_extract_all(F.lower(words), F.lit(TERM_PATTERN), F.lit(0)))
+def _terms(text: Column) -> Column:
+    """The terms of a lower-cased text, each once."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM_PATTERN), F.lit(0)))
 
 
 def disclosing_terms(
     docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD, min_together: int = MIN_TOGETHER
 ) -> DataFrame:
-    """(entity, term, together, entity_texts, term_texts, share): the terms whose
-    PMI with an entity is at least ``threshold`` of its information content.
-    ``rows`` has text_hash, spans and near (entity, terms) of every document."""
-    texts = rows.select("text_hash").distinct().count()
-    held = rows.select("text_hash", F.explode("near").alias("n")).select("text_hash", "n.entity", "n.terms")
-    entity_texts = held.select("entity", "text_hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("entity_texts"))
-    together = (
-        held.select("entity", "text_hash", F.explode("terms").alias("term"))
-        .distinct()
-        .groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("together"))
-        .filter(F.col("together") >= min_together)
-    )
+    """(low, entity, term, together, entity_texts, term_texts, share): for every
+    distinct text the terms in it whose PMI with an entity in it is at least
+    ``threshold`` of the entity's information content.  ``rows`` has low (digest of
+    the lower-cased text), entities and, where there are any, text."""
+    texts = rows.select("low").distinct().count()
+    held = rows.filter(F.size("entities") > 0)
+    entities = held.select("low", F.explode("entities").alias("entity")).distinct()
+    entity_texts = materialise(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_texts")), "pii-entities")
+    most = entity_texts.agg(F.max("entity_texts")).head()[0] or 0
     log = lambda c: F.log2(c.cast("double"))
     content = log(F.lit(texts)) - log(F.col("entity_texts"))
 
-    def share(term_texts: Column) -> Column:
-        pmi = log(F.lit(texts)) + log(F.col("together")) - log(F.col("entity_texts")) - log(term_texts)
-        return F.when(content > 0, pmi / content).otherwise(0.0)
+    def bound(entity_texts: Column) -> Column:
+        """The most texts that a term of an entity may be in (rounding allowed for)."""
+        return F.pow(entity_texts.cast("double"), F.lit(threshold)) * F.pow(F.lit(float(texts)), F.lit(1 - threshold)) * (1 + 1e-9)
 
-    # a term is in at least the texts that have it near some entity: common words
-    # fall below the threshold by that bound alone
-    near_texts = (
-        held.select("text_hash", F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("near_texts"))
-    )
+    # every text of the corpus, once: which of its words are terms
+    distinct = docs.select(F.lower(text_of()).alias("t")).groupBy("t").agg(F.lit(1).alias("one"))
+    words = distinct.select(F.explode(_terms(F.col("t"))).alias("term"))
+    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("term_texts"))
+    counted = materialise(counted.filter(F.col("term_texts") <= bound(F.lit(most))), "pii-term-texts")
+    own = held.groupBy("low").agg(F.first(F.lower("text")).alias("t")).select("low", F.explode(_terms(F.col("t"))).alias("term"))
+    of_texts = materialise(entities.join(entity_texts, "entity"), "pii-held")
+    # of the terms of a text, those rare enough for an entity in it
     pairs = materialise(
-        together.join(entity_texts, "entity").join(near_texts, "term").filter(share(F.col("near_texts")) >= threshold).drop("near_texts"),
+        materialise(own.join(counted, "term"), "pii-rare")
+        .join(of_texts, "low")
+        .filter(F.col("term_texts") <= bound(F.col("entity_texts"))),
         "pii-pairs",
     )
-    if pairs.isEmpty():  # no term to weigh, so no term counts are needed
-        return pairs.select("entity", "term", "together", "entity_texts", F.lit(0).cast("long").alias("term_texts"), F.lit(0.0).alias("share"))
-    wanted = pairs.select("term").distinct()
-    # every text of the corpus, once: which of its words are terms
-    distinct = docs.select(F.lower(text_of()).alias("t")).groupBy("t").agg(F.lit(1).alias("one"))
-    words = distinct.select(F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(TERM_PATTERN), F.lit(0)))).alias("term"))
-    term_texts = words.groupBy("term").agg(F.count(F.lit(1)).alias("term_texts")).join(wanted, "term", "left_semi")
-    return (
-        pairs.join(term_texts, "term")
-        .withColumn("share", share(F.col("term_texts")))
-        .filter(F.col("share") >= threshold)
-        .select("entity", "term", "together", "entity_texts", "term_texts", "share")
+    pmi = log(F.lit(texts)) + log(F.col("together")) - log(F.col("entity_texts")) - log(F.col("term_texts"))
+    passed = materialise(
+        pairs.groupBy("entity", "term", "entity_texts", "term_texts")
+        .agg(F.count(F.lit(1)).alias("together"))
+        .withColumn("share", F.when(content > 0, pmi / content).otherwise(0.0))
+        .filter((F.col("together") >= min_together) & (F.col("share") >= threshold)),
+        "pii-terms",
+    )
+    return pairs.select("low", "entity", "term").join(passed, ["entity", "term"]).select(
+        "low", "entity", "term", "together", "entity_texts", "term_texts", "share"
     )
 
 
@@ -194,39 +182,27 @@ def find_spans(
     """doc_id, text_hash, base (array of base spans), spans (with the term spans)
     of every row."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    plain = plain.withColumn("text_hash", F.xxhash64("text"))
-    near = F.transform("spans", lambda s: F.struct(_entity(s).alias("entity"), _near(F.col("text"), s).alias("terms")))
-    rows = materialise(base_spans(plain).select("doc_id", "text_hash", "spans", near.alias("near")), "pii-base")
-    terms = materialise(
-        disclosing_terms(plain.select("text"), rows, threshold, min_together), "pii-terms"
+    entities = F.array_distinct(F.transform("spans", _entity))
+    # of the texts only those that hold an entity are written
+    rows = materialise(
+        base_spans(plain).select(
+            "doc_id", F.xxhash64("text").alias("text_hash"), F.unhex(F.md5(F.lower("text"))).alias("low"), F.col("spans").alias("base"),
+            entities.alias("entities"), F.when(F.size("spans") > 0, F.col("text")).alias("text"),
+        ),
+        "pii-base",
     )
-    base = rows.select("doc_id", "text_hash", F.col("spans").alias("base"))
-    if terms.isEmpty():
-        return base.withColumn("spans", F.col("base"))
-    # per document: the terms that disclose what it holds
-    flagged = (
-        rows.select("doc_id", "text_hash", F.explode("near.entity").alias("entity"))
-        .distinct()
-        .join(terms.select("entity", "term"), "entity")
-        .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set("term").alias("terms"))
-    )
-    f = materialise(
-        flagged.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "terms"), "pii-flagged"
-    )
-    marked = plain.join(f, plain["doc_id"].eqNullSafe(F.col("_id")) & (plain["text_hash"] == F.col("_hash")))
+    found = disclosing_terms(plain.select("text"), rows, threshold, min_together)
+    flagged = materialise(found.groupBy("low").agg(F.collect_set("term").alias("terms")), "pii-flagged")
+    # a text without an entity has no terms to remove
+    none = rows.filter(F.size("entities") == 0).select("doc_id", "text_hash", "base", F.col("base").alias("spans"))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
-    own = (
-        marked.select("_id", "_hash", match_spans(F.col("text"), pattern, TERM, len(KINDS)).alias("term_spans"))
-        .groupBy("_id", "_hash")
-        .agg(F.first("term_spans").alias("term_spans"))
-    )
-    joined = base.join(own, base["doc_id"].eqNullSafe(F.col("_id")) & (base["text_hash"] == F.col("_hash")), "left")
+    own = F.when(F.col("terms").isNotNull(), match_spans(F.col("text"), pattern, TERM, len(KINDS)))
+    marked = rows.filter(F.size("entities") > 0).join(flagged, "low", "left").withColumn("own", own)
     added = F.filter(
-        F.coalesce("term_spans", F.slice("base", 1, 0)),
+        F.coalesce("own", F.slice("base", 1, 0)),
         lambda t: ~F.exists("base", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])),
     )
-    return joined.select("doc_id", "text_hash", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+    return none.unionByName(marked.select("doc_id", "text_hash", "base", F.array_sort(F.concat("base", added)).alias("spans")))
 
 
 def sanitise(text: Column, spans: Column) -> Column:
