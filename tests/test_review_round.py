@@ -101,3 +101,20 @@ def test_text_plan_stays_on_the_jvm(spark):
     docs = text.documents(spark.read.parquet(f"{SF01}/conversations.parquet"), "text")
     plan = text.term_counts(docs, ["conv_id", "turn"], "text")._jdf.queryExecution().toString()
     assert "Python" not in plan and "InPandas" not in plan and "partial_count" in plan
+
+
+def test_registered_day_loop_has_a_turn_per_day(spark):
+    """Three turns of the registered loop against their twin; the same days in two
+    turns give other rows."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF001
+    from tests.oracle_compare import compare, duck
+    from tidemark.plans import queries as q
+
+    con = duck(SF001)
+    sql = q._with(*q._all_days_sql(3)) + "SELECT * FROM m3"
+    res = compare(spark, con, "identity_all_days", lambda s, d: entry.queries()["identity_all_days"](s, d, days=3), sql, SF001)
+    assert res["match"], res
+    whole = con.execute(entry.oracle_sql()["identity_all_days"]).df()
+    two = con.execute(entry.oracle_sql()["identity_two_days"]).df()
+    assert len(whole) != len(two)
