@@ -187,6 +187,24 @@ def test_mixing_budgets(spark, docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_repeats_short_sources(spark):
+    """With the registered number of passes a short language reaches its weight, and
+    the rows of the mixture are those copies, by leaf."""
+    rows = [(i, f"t{i} " * 10, "en" if i < 100 else "de", "s0") for i in range(300)]
+    rows += [(i, rows[i][1], "de", "s0") for i in range(5)]  # equal id and text, other leaf
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    weights = {"lang": {"en": 5, "de": 1}}
+    taken = mixing.mix(df, weights=weights)
+    shares = {r.lang: r for r in mixing.reached_shares(df, taken, weights).filter("level = 'lang'").collect()}
+    assert shares["en"].target == pytest.approx(5 / 6)
+    assert shares["en"].reached == pytest.approx(5 / 6, abs=0.01)
+    want = collections.Counter()
+    for r in taken.collect():
+        want[r.doc_id, r.lang] += r.copies
+    got = mixing.mixed_documents(df, weights=weights).select("doc_id", "lang").collect()
+    assert collections.Counter(map(tuple, got)) == want and {want[i, "en"] for i in range(100)} == {2, 3}
+
+
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

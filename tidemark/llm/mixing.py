@@ -50,7 +50,8 @@ WEIGHTS = {
 }
 #: Budget as a share of the tokens there are, in hundredths.
 BUDGET_PERCENT = 80
-MAX_EPOCHS = 1
+#: Passes over a source at most: short ones are repeated to reach their weight.
+MAX_EPOCHS = 4
 
 
 def domain_of(source: Column) -> Column:
@@ -177,14 +178,36 @@ def mix(
     )
 
 
+def reached_shares(docs: DataFrame, taken: DataFrame, weights: dict[str, dict[str, int]] = WEIGHTS, **columns) -> DataFrame:
+    """level, domain, lang, source, target, reached of every node of the tree: its
+    part of its parent by weight, and of the tokens that ``taken`` (of ``mix``) has
+    of the parent."""
+    leaf = list(LEVELS)
+    got = taken.groupBy(*leaf).agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"))
+    leaves = measured(docs, **columns).select(*leaf).distinct().join(got, leaf, "left").fillna(0, ["tokens"])
+    out = None
+    for depth, level in enumerate(LEVELS):
+        path = leaf[: depth + 1]
+        nodes = leaves.groupBy(*path).agg(F.sum("tokens").alias("tokens")).withColumn("w", weight_of(level, weights))
+        whole = Window.partitionBy(*path[:-1]) if depth else Window.partitionBy(F.lit(0))
+        names = [F.col(c) if c in path else F.lit(None).cast("string").alias(c) for c in leaf]
+        parts = [F.try_divide(F.col(c), F.sum(c).over(whole)).alias(n) for c, n in (("w", "target"), ("tokens", "reached"))]
+        nodes = nodes.select(F.lit(level).alias("level"), *names, *parts)
+        out = nodes if out is None else out.unionByName(nodes)
+    return out
+
+
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that the mixture takes, each as often as it is taken;
     columns unchanged."""
     taken = mix(docs, id_col=id_col, text_col=text_col, **options).groupBy(
-        F.col("doc_id").alias("_k_id"), F.col("text_hash").alias("_k_h")
+        F.col("doc_id").alias("_k_id"), F.col("text_hash").alias("_k_h"), F.col("lang").alias("_k_l"), F.col("source").alias("_k_s")
     ).agg(F.max("copies").alias("_k_n"))
     keyed = docs.withColumn("_d_h", F.xxhash64(text_of(text_col)))
     same = keyed[id_col].cast("long").eqNullSafe(F.col("_k_id")) & (F.col("_d_h") == F.col("_k_h"))
+    # rows equal in both may be of leaves with other numbers of copies
+    for name, key in (("lang", "_k_l"), ("source", "_k_s")):
+        same = same & (F.coalesce(keyed[name].cast("string"), F.lit(NONE)) == F.col(key))
     joined = keyed.join(taken, same)
     if options.get("max_epochs", MAX_EPOCHS) > 1:
         joined = joined.withColumn("_k_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k_n"))))
