@@ -115,6 +115,22 @@ def test_main_text_of_a_page():
     assert html_mincut.main_text("") == html_mincut.main_text("<p>") == html_mincut.main_text("<script>x") == ""
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='single has-sidebar'><div>{}</div></body>",
+        "<div class='page no-sidebar'><article>{}</article></div>",
+        "<article class='post comments-open'>{}</article>",
+        "<div class='page no-sidebar'>{}</div>",
+    ],
+)
+def test_names_of_the_page_drop_no_article(page):
+    text = ["The first sentence of a story that has some words in it.", "A second one follows here, and it has as many words."]
+    html = page.format("".join(f"<p>{t}</p>" for t in text) + "<div class='share-buttons'>Share this with friends</div>")
+    html += "<section id='comments'><article class='comment'><p>I like it.</p></article></section>"
+    assert html_mincut.main_text(html) == "\n".join(text)
+
+
 def test_quality_learns_held_out_rows():
     rng = random.Random(5)
     words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)]

@@ -65,7 +65,8 @@ ASIDE_WORDS = frozenset(
     "widget widgets".split()
 )
 MAIN_WORDS = frozenset("article articlebody body content entry main maincontent post story text".split())
-OUTSIDE, STRONG = 4.0, 14.0
+#: What an element costs that is no article by its tag, or only by its names.
+OUTSIDE, STRONG, NAMED = 4.0, 14.0, 8.0
 
 
 @dataclass
@@ -73,9 +74,12 @@ class Element:
     name: str
     parent: "Element | None"
     depth: int
-    aside: bool
+    tagged: bool
+    named: bool
+    barred: bool
     main: bool
-    words: int = 0
+    chars: int = 0
+    against: float = 0.0
 
 
 @dataclass
@@ -91,29 +95,55 @@ def _names(value: str) -> set[str]:
 
 
 def _element(name: str, attrs: str, parent: Element | None) -> Element:
-    within = parent is not None and parent.main
-    aside = name in ASIDE_TAGS or (name == "header" and not within)
+    tagged, named, barred = name in ASIDE_TAGS, False, False
     main = name in ("article", "main")
     if attrs and not attrs.isspace():
         found = {}
         for m in _ATTR.finditer(attrs):
             found.setdefault((m[1] or m[5]).lower(), m[2] or m[3] or m[4] or "")
         words = _names(found.get("class", "") + " " + found.get("id", ""))
-        aside = aside or bool(words & ASIDE_WORDS) or found.get("role", "").lower() in ASIDE_ROLES
-        aside = aside or (not within and bool(words & {"header", "bar", "top"}) and name not in HEADINGS)
-        aside = aside or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-        aside = aside or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I) is not None
+        named = bool(words & ASIDE_WORDS)
+        barred = bool(words & {"header", "bar", "top"}) and name not in HEADINGS
+        tagged = tagged or found.get("role", "").lower() in ASIDE_ROLES
+        tagged = tagged or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
+        tagged = tagged or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I) is not None
         main = main or found.get("role", "").lower() in ("main", "article") or bool(words & MAIN_WORDS)
-    return Element(
-        name, parent, 0 if parent is None else parent.depth + 1,
-        aside or (parent is not None and parent.aside), (main or within) and not aside,
-    )
+    return Element(name, parent, 0 if parent is None else parent.depth + 1, tagged, named, barred, main)
+
+
+def _judge(elements: list[Element], blocks: list[Block]) -> None:
+    """Sets main and against, from the root down.  Names say nothing of the page
+    itself, nor of an element that holds a main element or the longest article (of a
+    quarter of the text or more); where there are none, of one that holds most of the text."""
+    for b in blocks:
+        b.element.chars += len(b.text)
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.chars += e.chars
+    spared = {id(e) for e in elements if e.name in ("html", "body")}
+    # a comment can be an article element as well: it has little of the page's text
+    articles = [e for e in elements if e.name == "article" and 4 * e.chars > elements[0].chars]
+    held = [e for e in elements if e.name == "main" and e.chars] + sorted(articles, key=lambda e: -e.chars)[:1]
+    for e in held:
+        while e is not None and id(e) not in spared:
+            spared.add(id(e))
+            e = e.parent
+    if not held:
+        spared |= {id(e) for e in elements if 2 * e.chars > elements[0].chars}
+    for e in elements:
+        within = e.parent is not None and e.parent.main
+        tagged = e.tagged or (e.name == "header" and not within)
+        named = id(e) not in spared and (e.named or (e.barred and not within))
+        own = STRONG if tagged else NAMED if named else 0.0
+        e.main = (e.main or within) and not own
+        e.against = max(own, e.parent.against if e.parent is not None else 0.0)
 
 
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page that have text, in page order."""
-    root = Element("html", None, 0, False, False)
+    root = Element("html", None, 0, False, False, False, False)
     stack, out, current = [root], [], Block(root)
+    elements = [root]
     links = 0
 
     def flush() -> None:
@@ -169,18 +199,20 @@ def blocks_of(html: str) -> list[Block]:
             add(" ")
         elif name not in VOID:
             stack.append(_element(name, m["attrs"] or "", stack[-1]))
+            elements.append(stack[-1])
             links += name == "a"
         if name in BLOCK:
             flush()
     if at < len(html):
         add(html[at:])
     flush()
+    _judge(elements, out)
     return out
 
 
 def scores(blocks: list[Block]) -> list[float]:
     """Log-odds that a block is content."""
-    in_main = sum(len(b.text) for b in blocks if b.element.main and not b.element.aside)
+    in_main = sum(len(b.text) for b in blocks if b.element.main and not b.element.against)
     has_main = in_main > 0
     out = []
     for b in blocks:
@@ -194,8 +226,8 @@ def scores(blocks: list[Block]) -> list[float]:
             s += 0.5
         elif b.element.name in ("li", "td", "th", "dt", "dd"):
             s -= 0.3
-        if b.element.aside:
-            s -= STRONG
+        if b.element.against:
+            s -= b.element.against
         elif b.element.main:
             s += 5.0
         elif has_main:
@@ -223,7 +255,7 @@ def edges(blocks: list[Block]) -> list[tuple[int, int, float]]:
         if i:
             x, y = blocks[i - 1].element, b.element
             shared = _depth_in_common(x, y) / max(1, x.depth, y.depth)
-            out.append((i - 1, i, 1.2 * shared * shared if x.aside == y.aside else 0.05))
+            out.append((i - 1, i, 1.2 * shared * shared))
         parent = id(b.element.parent)
         if parent in last and last[parent] != i - 1:
             j = last[parent]
