@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, html_mincut, mixing, pii, quality, sharding, simhash, suffix_dedup, winnowing
+from tidemark.llm import alignment, byte_bpe, exact_dedup, html_mincut, mixing, pii, quality, sharding, simhash
+from tidemark.llm import suffix_dedup, url_rules, whitening, winnowing
 from tidemark.llm.common import documents
 from tidemark.sources.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SHARDS = 24
 
 
@@ -71,11 +73,28 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align_documents(
+        documents(spark, sf_dir), public_tokenizers.path(TOKENIZER_A), public_tokenizers.path(TOKENIZER_B)
+    )
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_quality_classifier, op3_sharding, op4_simhash, op5_html_extraction, op6_winnowing,
-        op7_mixing, op8_exact_dedup, op9_pii, op10_byte_bpe,
+        op7_mixing, op8_exact_dedup, op9_pii, op10_byte_bpe, op11_embedding_whitening, op12_tokenizer_alignment,
+        op13_url_filters,
     )
 }
 
