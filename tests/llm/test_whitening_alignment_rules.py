@@ -178,26 +178,34 @@ def test_align_documents_equals_plain(spark, monkeypatch):
     assert alignment.align_documents(spark.createDataFrame([], schema), *_paths()).count() == 0
 
 
-def test_chunks_and_pieces_change_nothing(monkeypatch):
-    import public_tokenizers  # noqa: F401
-
+def test_pieces_and_chunks_change_nothing(monkeypatch):
     a_path, b_path = _paths()
     with open(a_path, encoding="utf-8") as f, open(b_path, "rb") as g:
         aligner = alignment.Aligner(f.read(), g.read())
     assert aligner.cuts
     rng = random.Random(13)
-    text = "".join(rng.choice(["ab", "don't", " ", "  ", "\n ", " é", "7", ".", " \t", "日", "'s "]) for _ in range(3000))
-    whole = aligner.encode([text])
-    for stretch in (1, 7, 100):
-        monkeypatch.setattr(alignment, "STRETCH", stretch)
-        assert aligner.encode([text]) == whole
-        assert len(list(alignment.cut(text))) > 3
-    # texts aligned alone or together: the same groups
-    texts = [text[:400], "x", text[400:900]]
-    together = {r[1]: r[2:7] for r in aligner.align(0, [b"0", b"1", b"2"], texts, [1, 1, 1]) if r[1]}
-    for i, t in enumerate(texts):
-        key = str(i).encode()
-        assert [r for r in aligner.align(0, [key], [t], [1]) if r[1]][0][2:7] == together[key]
+    parts = ["ab", "don't", " ", "  ", "\n ", " é", "7", ".", " \t", "日", "'s ", "\u00a0", "\x1c", "<s>"]
+    texts = ["".join(rng.choice(parts) for _ in range(n)) for n in (1, 5, 50, 3000)] + ["x ▁ y", "a b"]
+    for text in texts:
+        pieces = aligner.cut(text)
+        assert " ".join(pieces) == text
+        a, b = aligner.encode(pieces)
+        assert ([sum(a, [])], [sum(b, [])]) == tuple(aligner.encode([text]))
+    assert len(aligner.cut(texts[3])) > 100
+    # texts aligned alone, together, with few kept pieces and as whole texts: the same
+    keys = [str(i).encode() for i in range(len(texts))]
+
+    def groups(keys, texts):
+        return {r[1]: r[2:7] for r in aligner.align(0, keys, texts, [1] * len(texts)) if r[1]}
+
+    together = groups(keys, texts)
+    assert together[b"4"] == (0, 0, 0, 0, "") and together[b"5"][0] == 2
+    for key, text in zip(keys, texts):
+        assert groups([key], [text])[key] == together[key]
+    monkeypatch.setattr(alignment, "KNOWN", 3)
+    assert groups(keys, texts) == together
+    aligner.cuts = False
+    assert groups(keys, texts) == together
 
 
 def test_op12_on_its_table(spark):

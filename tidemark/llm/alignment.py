@@ -19,11 +19,11 @@ sentencepiece BPE and encodes the text, to which it adds the space itself.
 
 Both sides of the joins are plain shuffles, so AQE splits a hot text or pair.
 
-Texts longer than ``STRETCH`` characters are encoded piece by piece.  They are cut
-before a single space between two other characters: neither tokenizer joins across
-such a space, so the ids are those of the whole text.  That holds for a byte-level A
-with its usual pattern and for a B without pieces that have an inner space; other
-models (checked on loading) get their texts whole.
+Texts are cut into pieces before single spaces between two other characters: neither
+tokenizer joins across such a space, so the ids are those of the whole text, tokens of
+both end there, and equal pieces are encoded and aligned once.  That holds for a
+byte-level A with its usual pattern and for a B without pieces that have an inner space;
+with other models (checked on loading) a text is one piece.
 
 Defined results.  Null and empty texts, and texts whose tokens of A or B don't spell
 space + text, have zeros and an empty ``groups_sha256``; they take no part in counts.
@@ -37,6 +37,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,9 +49,16 @@ from tidemark.llm.byte_bpe import byte_characters
 from tidemark.llm.common import ship_package
 from tidemark.session import materialise
 
-#: Bytes of text that are aligned together, and characters encoded together.
-CHUNK, STRETCH = 4 << 20, 1 << 18
+#: Bytes of text that are aligned together.
+CHUNK = 4 << 20
+#: Aligned pieces after which a worker begins a new generation of those it keeps (two
+#: are kept), and the characters beyond which a piece is not kept.
+KNOWN, LONG = 150_000, 200
 SPACE = "▁"
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Tokens of A and B, linked pairs (A id * size of B + B id), groups as text.
+Aligned = tuple[int, int, list[int], str]
+NOTHING: Aligned = (0, 0, [], "")
 _STATE: dict = {}
 
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -61,7 +69,7 @@ _ALIGNED = (
 
 
 class Aligner:
-    """Both tokenizers of one worker, and what their tokens spell."""
+    """Both tokenizers of one worker, what their tokens spell, and aligned pieces."""
 
     def __init__(self, a_json: str, b_proto: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -89,86 +97,121 @@ class Aligner:
         # an id as text, followed by what stands after it
         self.comma_a, self.last_a = (np.array([f"{i}{c}" for i in range(len(self.bytes_a))], object) for c in ",|")
         self.comma_b, self.last_b = (np.array([f"{i}{c}" for i in range(len(self.bytes_b))], object) for c in ",;")
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of A and of B for each text."""
-        pieces, owner = [], []
-        for i, text in enumerate(texts):
-            for piece in cut(text) if self.cuts else [text]:
-                pieces.append(piece)
-                owner.append(i)
-        ids_a: list[list[int]] = [[] for _ in texts]
-        ids_b: list[list[int]] = [[] for _ in texts]
-        for i, piece, b in zip(owner, pieces, self.b.encode(pieces, num_threads=1)):
-            ids_a[i] += self.a.encode(" " + piece, add_special_tokens=False).ids
-            ids_b[i] += b
-        return ids_a, ids_b
-
-    def align(self, chunk: int, keys: list[bytes], texts: list[str], copies: list[int]) -> Iterator[tuple]:
-        """Rows of one chunk: its pairs, then its texts."""
-        ids_a, ids_b = self.encode(texts)
+        self.known: dict[str, Aligned | None] = {}
+        self.before: dict[str, Aligned | None] = {}
+
+    def cut(self, text: str) -> list[str]:
+        """The text in pieces, without the single spaces between them (the encoding
+        of a piece begins with a space)."""
+        return _CUT.split(text) if self.cuts else [text]
+
+    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B for each piece."""
+        found = self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
+        return [e.ids for e in found], self.b.encode(pieces, num_threads=1)
+
+    def group(self, texts: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> list[Aligned | None]:
+        """Each text's id lists cut at the byte offsets where tokens of both end; None
+        if they don't spell space + text."""
         good = []
         for i, text in enumerate(texts):
-            raw = b" " + text.encode()
-            if b"".join(map(self.bytes_a.__getitem__, ids_a[i])) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b[i])):
+            spelt_a, spelt_b = b"".join([self.bytes_a[t] for t in ids_a[i]]), b"".join([self.bytes_b[t] for t in ids_b[i]])
+            if spelt_a == spelt_b and spelt_a[1:] == text.encode() and spelt_a[:1] == b" ":
                 good.append(i)
-            else:
-                yield (chunk, keys[i], 0, 0, 0, 0, "", [], [], None, None, None)
+        out: list[Aligned | None] = [None] * len(texts)
         if not good:
-            return
-        a = np.concatenate([np.asarray(ids_a[i], np.int64) for i in good])
-        b = np.concatenate([np.asarray(ids_b[i], np.int64) for i in good])
+            return out
+        a, b = (np.fromiter((t for i in good for t in ids[i]), np.int64) for ids in (ids_a, ids_b))
         n_a, n_b = (np.array([len(ids[i]) for i in good]) for ids in (ids_a, ids_b))
         text_end_a, text_end_b = np.cumsum(n_a), np.cumsum(n_b)
-        # texts of a chunk stand one after the other: they spell the same bytes
+        # the texts stand one after the other: both lists spell the same bytes
         end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        _, last_a, last_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
-        group_of_text = np.searchsorted(last_a, text_end_a)  # groups up to a text's end
-        codes, at = np.unique(a[last_a] * len(self.bytes_b) + b[last_b], return_inverse=True)
-        text_of_link = np.repeat(np.arange(len(good)), np.diff(group_of_text, prepend=0))
-        cells, times = np.unique(text_of_link * len(codes) + at, return_counts=True)
-        bounds = np.searchsorted(cells // len(codes), np.arange(len(good) + 1))
-        copied = np.array([copies[i] for i in good], np.int64)
-        count = np.zeros(len(codes), np.int64)
-        np.add.at(count, cells % len(codes), times * copied[cells // len(codes)])
-        pair_a, pair_b = codes // len(self.bytes_b), codes % len(self.bytes_b)
-        yield (chunk, None, None, None, None, None, None, None, None, pair_a, pair_b, count)
-
-        # ids in the order of the groups: A's of a group, then B's
+        found = np.searchsorted(end_b, end_a)
+        last_a = np.flatnonzero(end_b[found] == end_a)
+        last_b = found[last_a]
+        links = (a[last_a] * len(self.bytes_b) + b[last_b]).tolist()
+        # ids as text in the order of the groups: A's of a group, then B's
         order = np.empty(len(a) + len(b), object)
-        group_a, group_b = (np.zeros(len(x), np.int64) for x in (a, b))
-        group_a[1:], group_b[1:] = (np.cumsum(np.isin(np.arange(len(x) - 1), last)) for x, last in ((a, last_a), (b, last_b)))
+        group_a, group_b = np.searchsorted(last_a, np.arange(len(a))), np.searchsorted(last_b, np.arange(len(b)))
         before_b, upto_a = np.concatenate(([0], last_b + 1)), last_a + 1
         where_a = np.arange(len(a)) + before_b[group_a]
         where_b = np.arange(len(b)) + upto_a[group_b]
         order[where_a], order[where_b] = self.comma_a[a], self.comma_b[b]
         order[where_a[last_a]], order[where_b[last_b]] = self.last_a[a[last_a]], self.last_b[b[last_b]]
+        order = order.tolist()
+        ends = (text_end_a + text_end_b).tolist()
+        group_ends = np.searchsorted(last_a, text_end_a).tolist()
         begin = begin_group = 0
-        for j, i in enumerate(good):
-            end = int(text_end_a[j] + text_end_b[j])
-            digest = hashlib.sha256("".join(order[begin:end])[:-1].encode()).hexdigest()
-            mine = slice(bounds[j], bounds[j + 1])
-            groups = int(group_of_text[j]) - begin_group
+        for i, x, y, end, end_group in zip(good, n_a.tolist(), n_b.tolist(), ends, group_ends):
+            out[i] = (x, y, links[begin_group:end_group], "".join(order[begin:end])[:-1])
+            begin, begin_group = end, end_group
+        return out
+
+    def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[Aligned], list[str]]:
+        """Of the texts: the place of each piece among the distinct pieces, the
+        number of pieces of each text, and the distinct pieces aligned.  A text with a
+        piece that can't be aligned alone is aligned as a whole."""
+        place: dict[str, int] = {}
+        lists = []
+        for text in texts:
+            lists.append([place.setdefault(p, len(place)) for p in self.cut(text)])
+        if len(self.known) > KNOWN:
+            self.before, self.known = self.known, {}
+        here = {p: self.known[p] if p in self.known else self.before[p] for p in place if p in self.known or p in self.before}
+        new = [p for p in place if p not in here]
+        here.update(zip(new, self.group(new, *self.encode(new))))
+        self.known.update((p, x) for p, x in here.items() if len(p) <= LONG)
+        found = [here[p] for p in place]
+        if None in found:
+            odd = {i for i, x in enumerate(found) if x is None}
+            for k, text in enumerate(texts):
+                if not odd.isdisjoint(lists[k]):
+                    a, b = self.encode([text]) if len(lists[k]) == 1 else self._joined(text)
+                    lists[k] = [len(found)]
+                    found += self.group([text], a, b)
+        flat = np.fromiter((i for each in lists for i in each), np.int64)
+        return flat, np.array([len(each) for each in lists]), [x or NOTHING for x in found], lists
+
+    def _joined(self, text: str) -> tuple[list[list[int]], list[list[int]]]:
+        a, b = self.encode(self.cut(text))
+        return [sum(a, [])], [sum(b, [])]
+
+    def align(self, chunk: int, keys: list[bytes], texts: list[str], copies: list[int]) -> Iterator[tuple]:
+        """Rows of one chunk: its pairs, then its texts."""
+        flat, sizes, found, lists = self.pieces(texts)
+        text_of = np.repeat(np.arange(len(texts)), sizes)
+        n_a, n_b, n_links = (
+            np.bincount(text_of, np.array(per, float)[flat], len(texts)).astype(np.int64)
+            for per in ([x[0] for x in found], [x[1] for x in found], [len(x[2]) for x in found])
+        )
+        # links of a text: those of its distinct pieces, times the piece's occurrences
+        cells, occurrences = np.unique(text_of * len(found) + flat, return_counts=True)
+        text_of, piece_of = cells // len(found), cells % len(found)
+        links = np.array([len(x[2]) for x in found], np.int64)
+        starts = np.cumsum(links) - links
+        codes, at = np.unique(np.array([c for x in found for c in x[2]], np.int64), return_inverse=True)
+        lengths = links[piece_of]
+        inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        pair = at[np.repeat(starts[piece_of], lengths) + inner]
+        occurrences = np.repeat(occurrences, lengths)
+        cells, back = np.unique(np.repeat(text_of, lengths) * max(len(codes), 1) + pair, return_inverse=True)
+        times = np.bincount(back, occurrences, len(cells)).astype(np.int64)
+        text_of, pair = cells // max(len(codes), 1), cells % max(len(codes), 1)
+        bounds = np.searchsorted(text_of, np.arange(len(texts) + 1))
+        if len(codes):
+            count = np.zeros(len(codes), np.int64)
+            np.add.at(count, pair, times * np.array(copies, np.int64)[text_of])
+            pair_a, pair_b = codes // len(self.bytes_b), codes % len(self.bytes_b)
+            yield (chunk, None, None, None, None, None, None, None, None, pair_a, pair_b, count)
+        written = [x[3] for x in found]
+        for k, key in enumerate(keys):
+            groups = ";".join(map(written.__getitem__, lists[k]))
+            digest = hashlib.sha256(groups.encode()).hexdigest() if n_a[k] else ""
+            mine = slice(bounds[k], bounds[k + 1])
             yield (
-                chunk, keys[i], int(n_a[j]), int(n_b[j]), groups, groups, digest,
-                cells[mine] % len(codes), times[mine], None, None, None,
+                chunk, key, int(n_a[k]), int(n_b[k]), int(n_links[k]), int(n_links[k]), digest,
+                pair[mine], times[mine], None, None, None,
             )
-            begin, begin_group = end, int(group_of_text[j])
-
-
-def cut(text: str) -> Iterator[str]:
-    """The text in pieces of ``STRETCH`` characters or more, without the single
-    spaces between them (each encoding begins with a space)."""
-    begin = 0
-    while len(text) - begin > STRETCH:
-        at = text.find(" ", begin + STRETCH)
-        while at >= 0 and (at + 1 == len(text) or text[at - 1].isspace() or text[at + 1].isspace()):
-            at = text.find(" ", at + 1)
-        if at < 0:
-            break
-        yield text[begin:at]
-        begin = at + 1
-    yield text[begin:]
 
 
 def _aligner(shared, key: str) -> Aligner:
