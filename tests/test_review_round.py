@@ -64,25 +64,6 @@ def test_bucket_count_is_bounded(spark):
         identity.run_days(events, dt.date(2024, 1, 5), dt.date(2024, 1, 5), dt.datetime(2024, 2, 1), bucket_master=200_000)
 
 
-def test_persistent_master_takes_new_days_only(spark, tmp_path):
-    spark.sql("DROP TABLE IF EXISTS review_master")
-    events = inputs.identity_events(spark, SF001).filter("event_date <= DATE '2024-01-04'")
-    as_of = dt.datetime(2024, 2, 1)
-    early = events.filter("event_date <= DATE '2024-01-02'")
-    try:
-        assert identity.advance_master(early, "review_master", as_of, buckets=4) == (dt.date(2024, 1, 1), dt.date(2024, 1, 2))
-        files = set(spark.table("review_master").inputFiles())
-        done = identity.advance_master(events, "review_master", as_of, buckets=4)
-        assert done and done[0] == dt.date(2024, 1, 3)
-        after = set(spark.table("review_master").inputFiles())
-        assert files <= after and len(after - files) <= 2 * 4
-        whole = identity.run_days(events, dt.date(2024, 1, 1), dt.date(2024, 1, 4), as_of, bucket_master=False)
-        key = lambda df: sorted(map(str, df.select("super_id", "name", "value", "date_table").collect()))
-        assert key(spark.table("review_master")) == key(whole)
-    finally:
-        spark.sql("DROP TABLE IF EXISTS review_master")
-
-
 def test_contact_thresholds_are_arguments(spark):
     calls = spark.createDataFrame(
         [(1, "a", "b", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 9), 40)],

@@ -24,6 +24,7 @@ the day-to-master join.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,9 @@ from pyspark.sql import types as T
 
 from tidemark.operators.contacts import ts_literal
 from tidemark.operators.grouping import join_on_keys
+from tidemark.operators.master import BEGINNING, HEAVY_ROWS, SALTS, Commit, Master
 from tidemark.operators.ordering import By, with_global_rank, with_prefix_sums
-from tidemark.session import delete_path, materialise, materialise_at, scratch_scope
+from tidemark.session import delete_path, materialise, materialise_at, scratch_path, scratch_scope
 
 # Sentinels and attribute names of the original tables.
 UNDEFINED = "undefined"
@@ -48,6 +50,7 @@ MASTER_SCHEMA = T.StructType(
     ]
 )
 MASTER_COLUMNS = [f.name for f in MASTER_SCHEMA.fields]
+MASTER_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in MASTER_SCHEMA.fields)
 
 
 def empty_master(spark) -> DataFrame:
@@ -67,10 +70,18 @@ def click_events(events: DataFrame, day: dt.date | None = None, date_col: str =
     )
 
 
-def clean_ids(clicks: DataFrame) -> DataFrame:
+def days_events(events: DataFrame, start: dt.date, end: dt.date, date_col: str = "event_date") -> DataFrame:
+    """``click_events`` of each day of ``start..end``, told apart by ``day``."""
+    src = events.filter(F.col(date_col).between(F.lit(start), F.lit(end)) & (F.size("event_params") > 0))
+    ids = ("event_timestamp", "event_name", "user_id", "user_pseudo_id", "fingerprint")
+    return src.select(F.col(date_col).alias("day"), *ids).distinct()
+
+
+def clean_ids(clicks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(fgp, user_id, client_id, date_table): '' fingerprint -> NULL,
     'undefined' user -> '', rows with an 'undefined' (or NULL) client dropped."""
     return clicks.select(
+        *by,
         F.when(F.col("fingerprint") == "", None).otherwise(F.col("fingerprint")).alias("fgp"),
         F.when(F.col("user_id") == UNDEFINED, "").otherwise(F.col("user_id")).alias("user_id"),
         F.col("user_pseudo_id").alias("client_id"),
@@ -83,7 +94,7 @@ def _blank(c):
     return c.isNull() | (c == "") | (c == UNDEFINED)
 
 
-def label_day(app: DataFrame, as_of: dt.datetime) -> DataFrame:
+def label_day(app: DataFrame, as_of: dt.datetime, by: Sequence[str] = ()) -> DataFrame:
     """``id_with_collisions``: (super_id, user_id_flg, name, value,
     date_insert, date_table).
 
@@ -91,7 +102,12 @@ def label_day(app: DataFrame, as_of: dt.datetime) -> DataFrame:
     fingerprint: one group per client, keyed by the client's greatest
     fingerprint.  Groups are numbered by a global rank over (known first,
     key), counting rows.  Anonymous clients without a fingerprint become
-    singletons numbered after the largest group id by (value, date_table)."""
+    singletons numbered after the largest group id by (value, date_table).
+
+    With ``by`` (the day) many days are labelled at once, each apart from the others,
+    with one sort for all: ids are unique over the days and have the same order within
+    a day as its own labelling gives, which is all that the merge and the fold use."""
+    by = list(by)
     # the day's click table is read by four branches below: written once
     app = materialise(app, "app")
     fgp0 = F.when(F.col("fgp") == UNDEFINED, "").otherwise(F.col("fgp"))
@@ -102,6 +118,7 @@ def label_day(app: DataFrame, as_of: dt.datetime) -> DataFrame:
         """One scan: each row becomes one (name, value) row per attribute."""
         cells = F.array(*[F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in pairs])
         return df.select(
+            *by,
             F.lit(kind).alias("_kind"),
             key.alias("_key"),
             F.inline(cells),
@@ -112,14 +129,14 @@ def label_day(app: DataFrame, as_of: dt.datetime) -> DataFrame:
     uid, cid, fgp = F.col("user_id"), F.col("client_id"), F.col("fgp")
     known_rows = melt(known, 0, uid, 1, [(NAME_USER, uid), (NAME_CLIENT, cid), (NAME_FINGERPRINT, fgp)])
     # max(rank over fgp, NULL first) per client == rank of max(fgp) per client
-    client_key = anon.groupBy("client_id").agg(F.max("fgp").alias("_maxfgp"))
-    keyed = join_on_keys(anon, client_key, ["client_id"], "left")
+    client_key = anon.groupBy(*by, "client_id").agg(F.max("fgp").alias("_maxfgp"))
+    keyed = join_on_keys(anon, client_key, [*by, "client_id"], "left")
     has_fp = fgp.isNotNull() & (fgp != "")
     # NULL client values fall to the value filter below, as in the original
     anon_rows = melt(keyed.filter(has_fp), 1, F.col("_maxfgp"), 0, [(NAME_CLIENT, cid), (NAME_FINGERPRINT, fgp)])
     singles = (
         anon.filter(F.coalesce(fgp, F.lit("")) == "")
-        .select(F.lit(NAME_CLIENT).alias("name"), cid.alias("value"), F.lit(0).alias("user_id_flg"), "date_table")
+        .select(*by, F.lit(NAME_CLIENT).alias("name"), cid.alias("value"), F.lit(0).alias("user_id_flg"), "date_table")
         .distinct()
     )
 
@@ -131,30 +148,32 @@ def label_day(app: DataFrame, as_of: dt.datetime) -> DataFrame:
     # One distributed sort numbers both: group keys (kinds 0/1, weighted by
     # their row counts, so id = 1 + rows before = rank) and then singletons
     # (kind 2, by value and date_table, weight 1: row_number).
-    keys = grouped.groupBy("_kind", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    keys = grouped.groupBy(*by, "_kind", "_key").agg(F.count(F.lit(1)).alias("_n"))
     elements = keys.select(
-        "_kind", "_key", F.lit(None).cast("string").alias("value"), F.lit(None).cast("long").alias("date_table"),
+        *by, "_kind", "_key", F.lit(None).cast("string").alias("value"), F.lit(None).cast("long").alias("date_table"),
         "_n", F.lit(None).cast("int").alias("user_id_flg"), F.lit(None).cast("string").alias("name"),
-    ).unionByName(singles.select(F.lit(2).alias("_kind"), F.lit(None).cast("string").alias("_key"), "value",
+    ).unionByName(singles.select(*by, F.lit(2).alias("_kind"), F.lit(None).cast("string").alias("_key"), "value",
                                  "date_table", F.lit(0).cast("long").alias("_n"), "user_id_flg", "name"))
     # (the result reads the written, numbered table: cheap to read twice)
-    numbered = with_prefix_sums(
-        elements,
-        [By("_kind"), By("_key"), By("value"), By("date_table")],
-        {"_bk": F.col("_n"), "_bs": (F.col("_kind") == 2).cast("long")},
-    )
-    key_ids = numbered.filter(F.col("_kind") < 2).select(
-        F.col("_kind").alias("_k0"), F.col("_key").alias("_k1"), (F.col("_bk") + 1).alias("super_id")
-    )
-    top = key_ids.agg(F.max("super_id")).first()[0]  # one scalar from the small key table
-    ranked = grouped.join(key_ids, [F.col("_kind").eqNullSafe(F.col("_k0")), F.col("_key").eqNullSafe(F.col("_k1"))]).drop(
-        "_k0", "_k1"
-    )
-    singles_out = numbered.filter(F.col("_kind") == 2).withColumn(
-        "super_id", (F.col("_bs") + 1 + F.lit(top)).cast("long") if top is not None else F.lit(None).cast("long")
-    )
+    order = [*map(By, by), By("_kind"), By("_key"), By("value"), By("date_table")]
+    is_single = (F.col("_kind") == 2).cast("long")
+    weights = {"_bk": F.col("_n") + (is_single if by else F.lit(0)), "_bs": is_single}
+    numbered = with_prefix_sums(elements, order, weights)
+    as_keys = [(F.col(c), f"_k{i}") for i, c in enumerate([*by, "_kind", "_key"])]
+    key_ids = numbered.filter(F.col("_kind") < 2).select(*[c.alias(k) for c, k in as_keys], (F.col("_bk") + 1).alias("super_id"))
+    ranked = grouped.join(key_ids, [c.eqNullSafe(F.col(k)) for c, k in as_keys]).drop(*[k for _, k in as_keys])
+    single_ids = numbered.filter(F.col("_kind") == 2)
+    if by:
+        # as in a day's own labelling, singletons of a day without groups have no id
+        days = key_ids.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(by)]).distinct().withColumn("_any", F.lit(True))
+        single_ids = join_on_keys(single_ids, days, by, "left").withColumn("super_id", F.when(F.col("_any"), F.col("_bk") + 1))
+    else:
+        top = key_ids.agg(F.max("super_id")).first()[0]  # one scalar from the small key table
+        single_id = (F.col("_bs") + 1 + F.lit(top)).cast("long") if top is not None else F.lit(None).cast("long")
+        single_ids = single_ids.withColumn("super_id", single_id)
     now = ts_literal(as_of)
     cols = [
+        *by,
         "super_id",
         F.col("user_id_flg").cast("int").alias("user_id_flg"),
         "name",
@@ -165,39 +184,38 @@ def label_day(app: DataFrame, as_of: dt.datetime) -> DataFrame:
     return materialise(
         ranked.filter(F.col("value").isNotNull())
         .select(*cols)
-        .unionByName(singles_out.filter(F.col("value").isNotNull()).select(*cols))
+        .unionByName(single_ids.filter(F.col("value").isNotNull()).select(*cols))
     )
 
 
 # ------------------------------------------------------------------ J1g
-def merge_day(labelled: DataFrame) -> DataFrame:
+def merge_day(labelled: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``last_day``: two hops of min-label propagation between ids and values.
 
     r(v) = min id holding v; m(s) = min r(v) over values of s; each value
     takes min m(s) over ids holding it.  date_table = first seen per
     (name, value).  Not a closure: chains longer than two hops keep several
-    ids (``merge_closure`` finishes them)."""
-    pairs = labelled.select("super_id", "value").distinct()
+    ids (``merge_closure`` finishes them).  ``by`` as in ``label_day``."""
+    by = list(by)
+    pairs = labelled.select(*by, "super_id", "value").distinct()
     # join_on_keys re-shuffles the grouped side under each join, which lets
     # AQE split the partition of a hot value (a shared fingerprint)
-    r = pairs.groupBy("value").agg(F.min("super_id").alias("_r"))
-    m = join_on_keys(pairs, r, ["value"]).groupBy("super_id").agg(F.min("_r").alias("_m"))
+    r = pairs.groupBy(*by, "value").agg(F.min("super_id").alias("_r"))
+    m = join_on_keys(pairs, r, [*by, "value"]).groupBy("super_id").agg(F.min("_r").alias("_m"))
     final = (
         join_on_keys(pairs.filter(F.col("super_id").isNotNull()), m, ["super_id"])
-        .groupBy("value")
+        .groupBy(*by, "value")
         .agg(F.min("_m").alias("super_id"))
     )
-    first_seen = labelled.groupBy("name", "value").agg(F.min("date_table").alias("date_table"))
-    rows = labelled.select("name", "value", "date_insert").distinct()
-    out = join_on_keys(rows, final, ["value"], "left")
-    out = join_on_keys(out, first_seen, ["name", "value"], "left")
-    return out.select(*MASTER_COLUMNS).distinct()
+    first_seen = labelled.groupBy(*by, "name", "value").agg(F.min("date_table").alias("date_table"))
+    rows = labelled.select(*by, "name", "value", "date_insert").distinct()
+    out = join_on_keys(rows, final, [*by, "value"], "left")
+    out = join_on_keys(out, first_seen, [*by, "name", "value"], "left")
+    return out.select(*by, *MASTER_COLUMNS).distinct()
 
 
 # ------------------------------------------------------------------ J1h
-def fold_into_master(
-    day: DataFrame, master: DataFrame, as_of: dt.datetime, master_bucketed_by_value: bool = False
-) -> DataFrame:
+def fold_into_master(day: DataFrame, master: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Rows the day appends to the master.
 
     Per day-person: total = distinct joined rows, known = rows whose value is
@@ -205,52 +223,49 @@ def fold_into_master(
     smallest matching old id.  Unknown persons: new id = max old id (1 if the
     master is empty) + rank by day id.  Fully known persons add nothing (so a
     fully known person linking two old persons is not merged here)."""
-    top = master.agg(F.coalesce(F.max("super_id"), F.lit(1))).first()[0]  # one scalar
-    day_values = day.select("value").filter(F.col("value").isNotNull()).distinct()
-    if master_bucketed_by_value:
-        # plain key on the bucket column: the master is read bucket by bucket
-        # without a shuffle; only the day's values are shuffled to the buckets
-        hits = master.join(day_values, "value", "left_semi")
-    else:
-        # null-safe form: the day's values are re-shuffled right under the
-        # join, so AQE can split a hot value (day values are never NULL)
-        hits = join_on_keys(master, day_values, ["value"], "left_semi")
-    hits = hits.select(
-        F.col("value").alias("value_old"), F.col("name").alias("name_old"), F.col("super_id").alias("super_id_old")
-    ).distinct()
-    d = day.select(
-        F.col("super_id").alias("super_id_new"),
-        F.col("name").alias("name_new"),
-        F.col("value").alias("value_new"),
-        F.col("date_insert").alias("date_insert_new"),
-        F.col("date_table").alias("date_table_new"),
-    )
-    grouped = materialise(
-        d.join(hits, F.col("value_new").eqNullSafe(F.col("value_old")), "left").distinct(), "fold_rows"
-    )
-    per = grouped.groupBy("super_id_new").agg(
-        F.count("super_id_new").alias("_total"),
-        F.count("value_old").alias("_known"),
-        F.min("super_id_old").alias("_min_old"),
-    )
-    rows = join_on_keys(grouped, per, ["super_id_new"], "left")
-    now = ts_literal(as_of)
-    partly = rows.filter((F.col("_total") > F.col("_known")) & (F.col("_known") > 0)).select(
-        F.col("_min_old").alias("super_id"),
-        F.col("name_new").alias("name"),
-        F.col("value_new").alias("value"),
-        now.alias("date_insert"),
-        F.col("date_table_new").alias("date_table"),
-    )
-    fresh = rows.filter(F.col("_known") == 0)
-    fresh = with_global_rank(fresh, [By("super_id_new")], name="_rank").select(
-        (F.lit(top) + F.col("_rank")).cast("long").alias("super_id"),
-        F.col("name_new").alias("name"),
-        F.col("value_new").alias("value"),
-        now.alias("date_insert"),
-        F.col("date_table_new").alias("date_table"),
+    top = master.agg(F.max("super_id")).first()[0]  # one scalar
+    # null-safe form: the day's values are re-shuffled right under the
+    # join, so AQE can split a hot value (day values are never NULL)
+    hits = join_on_keys(master, day.select("value"), ["value"], "left_semi").withColumn("salt", F.lit(0))
+    return fold_hits(day, hits, top, as_of)
+
+
+#: Day ids of one range, in which ``fold_hits`` numbers them with a window.
+RANGE = 1 << 16
+#: ``fold_hits`` as one statement (analysed once a day).  Unknown persons are numbered by
+#: two running sums: over the ranges of ids in use (one row each), and inside a range.
+_FOLD = """
+WITH old AS (SELECT DISTINCT value, name, super_id, salt FROM {hits}),
+matched AS (
+  SELECT DISTINCT d.super_id AS person, d.name, d.value, d.date_insert, d.date_table,
+         o.name AS old_name, o.value AS old_value, o.super_id AS old_id
+  FROM {day} d LEFT JOIN old o ON d.value = o.value),
+persons AS (
+  SELECT person, count(person) AS total, count(old_value) AS known, min(old_id) AS old_id, count(*) AS n,
+         coalesce(person, -1) DIV {width} AS id_range
+  FROM matched GROUP BY person),
+ranges AS (SELECT id_range, sum(n) AS n FROM persons WHERE known = 0 GROUP BY id_range),
+starts AS (SELECT id_range, sum(n) OVER (ORDER BY id_range) - n AS earlier FROM ranges),
+fresh AS (
+  SELECT p.person, earlier + sum(n) OVER (PARTITION BY p.id_range ORDER BY p.person) - n + 1 AS place
+  FROM persons p JOIN starts s ON p.id_range = s.id_range WHERE known = 0),
+goals AS (
+  SELECT person, old_id AS goal FROM persons WHERE total > known AND known > 0
+  UNION ALL SELECT person, place + {top} FROM fresh)
+SELECT CAST(goal AS BIGINT) AS super_id, name, value, {now} AS date_insert, date_table
+FROM matched m JOIN goals g ON m.person <=> g.person
+"""
+
+
+def fold_hits(day: DataFrame, hits: DataFrame, top: int | None, as_of: dt.datetime) -> DataFrame:
+    """``fold_into_master`` given the master's rows that may hold the day's values (with
+    their ``salt``) and the master's largest id (None if it is empty).  One plan
+    without a written table; an unknown person's rank counts the rows of the unknown
+    persons before it."""
+    now = f"TIMESTAMP_NTZ '{as_of.isoformat(sep=' ')}'"
+    return day.sparkSession.sql(
+        _FOLD.replace("{now}", now), day=day, hits=hits, top=1 if top is None else int(top), width=RANGE
     )
-    return partly.unionByName(fresh)
 
 
 # ------------------------------------------------------------------ J1i
@@ -260,6 +275,16 @@ def day_pipeline(events: DataFrame, day: dt.date, as_of: dt.datetime, date_col:
     return materialise(merge_day(label_day(clean_ids(click_events(events, day, date_col)), as_of)))
 
 
+def days_pipeline(events: DataFrame, start: dt.date, end: dt.date, as_of: dt.datetime, date_col: str = "event_date") -> DataFrame:
+    """``day_pipeline`` of all days of ``start..end`` at once, told apart by ``day``.
+    A day's labelling and merge don't depend on the master, so a backlog is done in
+    one pass; only the fold goes day by day.  Sorted by day, so a day's turn reads
+    only the row groups that hold it."""
+    by = ["day"]
+    labelled = label_day(clean_ids(days_events(events, start, end, date_col), by), as_of, by)
+    return materialise(merge_day(labelled, by).sortWithinPartitions("day"), "merged-days")
+
+
 def run_days(
     events: DataFrame,
     start: dt.date,
@@ -271,19 +296,23 @@ def run_days(
 ) -> DataFrame:
     """Process days ``start..end`` in order, each folded into the master.
 
-    Default (``bucket_master=True``): the master is kept as a table bucketed
-    by ``value`` (files in the checkpoint folder, metadata in the session
-    catalog) and each day is appended to it, so the daily day-to-master match
-    shuffles only the day's values, never the growing master.  A number sets
-    the bucket count, up to ``spark.sql.sources.bucketing.maxBuckets``; with
-    fewer buckets than ``spark.sql.shuffle.partitions`` Spark may shuffle the
-    bucketed side as well.  ``True`` takes the smaller of the two settings.
-    With ``bucket_master=False`` each day's appended rows are written as a
-    snapshot and the master is their union."""
+    Default (``bucket_master=True``): the master is kept in a new folder of the
+    checkpoint folder (``operators.master``: bucketed by value, with day commits), so
+    the daily day-to-master match shuffles only the day's values, never the growing
+    master.  A number sets the bucket count, up to
+    ``spark.sql.sources.bucketing.maxBuckets``; with fewer buckets than
+    ``spark.sql.shuffle.partitions`` Spark may shuffle the bucketed side as well.
+    ``True`` takes the smaller of the two settings.  With ``bucket_master=False``
+    each day's appended rows are written as a snapshot and the master is their union."""
     spark = events.sparkSession
-    master = master if master is not None else empty_master(spark)
     if bucket_master:
-        return _run_days_bucketed(events, start, end, as_of, master, date_col, bucket_count(spark, bucket_master))
+        kept = open_master(spark, scratch_path(spark, "master"), bucket_master)
+        if master is not None:
+            kept.append(master, BEGINNING, None)
+            kept.commit(BEGINNING, None)
+        fold_days(events, kept, start, end, as_of, date_col)
+        return kept.rows()
+    master = master if master is not None else empty_master(spark)
     day = start
     while day <= end:
         # the day's intermediate tables are deleted once its rows are written
@@ -304,71 +333,57 @@ def bucket_count(spark, asked: int | bool) -> int:
     return int(asked)
 
 
-def _append_bucketed(df: DataFrame, table: str, path: str | None, buckets: int) -> None:
-    """Append with the rows of a bucket in one task: a file per bucket at most."""
-    writer = (
-        df.select(*MASTER_COLUMNS)
-        .repartition(buckets, "value")
-        .write.mode("append")
-        .format("parquet")
-        .bucketBy(buckets, "value")
-        .sortBy("value")
-    )
-    (writer.option("path", path) if path else writer).saveAsTable(table)
-
-
-def _fold_days(events, start, end, as_of, table, path, date_col, buckets) -> None:
-    spark = events.sparkSession
-    day = start
-    while day <= end:
-        with scratch_scope(spark):
-            merged = day_pipeline(events, day, as_of, date_col)
-            # the appended rows come from written intermediates only, so the
-            # table can be appended to while this day's plan exists
-            appended = fold_into_master(merged, spark.table(table), as_of, master_bucketed_by_value=True)
-            _append_bucketed(appended, table, path, buckets)
-        day += dt.timedelta(days=1)
-
-
-def _run_days_bucketed(events, start, end, as_of, master, date_col, buckets) -> DataFrame:
-    import uuid
-
-    from tidemark.session import scratch_path
-
-    spark = events.sparkSession
-    table = f"tidemark_master_{uuid.uuid4().hex}"
-    path = scratch_path(spark, table)
-    _append_bucketed(master, table, path, buckets)
-    _fold_days(events, start, end, as_of, table, path, date_col, buckets)
-    return spark.table(table).select(*MASTER_COLUMNS)
+def open_master(
+    spark, folder: str, buckets: int | bool = True, heavy_rows: int = HEAVY_ROWS, salts: int = SALTS
+) -> Master:
+    """The persistent master in ``folder``, made if it is not there."""
+    return Master(spark, folder, MASTER_DDL, bucket_count(spark, buckets), heavy_rows, salts)
+
+
+def fold_days(
+    events: DataFrame, master: Master, start: dt.date, end: dt.date, as_of: dt.datetime, date_col: str = "event_date"
+) -> list[Commit]:
+    """Fold days ``start..end`` into the master, a commit each.  Days up to the
+    master's mark are done and left out."""
+    spark, done = events.sparkSession, []
+    last = master.last_commit()
+    mark = master.mark()
+    day = max(start, mark + dt.timedelta(days=1)) if mark else start
+    if day > end:
+        return done
+    with scratch_scope(spark):
+        merged = days_pipeline(events, day, end, as_of, date_col)
+        while day <= end:
+            rows = merged.filter(F.col("day") == F.lit(day)).select(*MASTER_COLUMNS)
+            hits = master.hits(rows.select("value"), last)
+            # reads committed days and the written merge only, so a failed attempt can
+            # be repeated from the same tables
+            master.append(fold_hits(rows, hits, last.top if last else None, as_of), day, last)
+            last = master.commit(day, last)
+            done.append(last)
+            day += dt.timedelta(days=1)
+    return done
 
 
 def advance_master(
     events: DataFrame,
-    table: str,
+    master: Master,
     as_of: dt.datetime,
     first_day: dt.date | None = None,
     date_col: str = "event_date",
-    buckets: int | bool = True,
 ) -> tuple[dt.date, dt.date] | None:
-    """Fold every unprocessed day into the persistent master ``table``, in place.
+    """Fold every unprocessed day into the persistent master.
 
-    The days run from the one after the master's latest (its high-water mark,
-    the day of max(date_table)) to the last day of ``events``; ``first_day`` is
-    only for a master without rows, which is created if it is not there (default:
-    the first day of ``events``).  Returns the days folded, or None."""
-    spark = events.sparkSession
-    if not spark.catalog.tableExists(table):
-        _append_bucketed(empty_master(spark), table, None, bucket_count(spark, buckets))
-    count = next(
-        int(r["data_type"]) for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect() if r["col_name"] == "Num Buckets"
-    )
-    mark = spark.table(table).agg(F.max(F.to_date(F.timestamp_micros("date_table")))).head()[0]
+    The days run from the one after the master's mark (its last commit, whether or
+    not that day added rows) to the last day of ``events``; ``first_day`` is only for
+    a master without commits (default: the first day of ``events``).  Returns the
+    days folded, or None."""
+    mark = master.mark()
     lo, hi = events.agg(F.min(date_col), F.max(date_col)).head()
     start = mark + dt.timedelta(days=1) if mark else first_day or lo
     if hi is None or start > hi:
         return None
-    _fold_days(events, start, hi, as_of, table, None, date_col, count)
+    fold_days(events, master, start, hi, as_of, date_col)
     return start, hi
 
 

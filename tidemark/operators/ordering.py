@@ -5,8 +5,9 @@ SQL writes global numbering as a window without ``PARTITION BY``
 a single-partition exchange, i.e. one task sorts the whole input.  Here the
 same results come from a range-partitioned sort whose rows record their
 partition and in-partition position before being written once to the shared
-checkpoint folder; per-partition totals (one row per partition, the only
-thing the driver sees) give each partition its offset.
+checkpoint folder; a second prefix sum over the per-partition totals (one row
+per partition) gives each partition its offset, as a written table that is
+joined by partition id.  The driver sees no row of either.
 
 Top-1-per-group is written as a grouped ``max``/``min`` over a struct (partial
 aggregation on the map side, so a group holding a third of the rows is
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,15 +70,14 @@ def _norm(order: OrderSpec) -> list[By]:
 
 def _numbered_table(
     df: DataFrame, order: list[By], weights: dict[str, Column] | None
-) -> tuple[DataFrame, dict[str, dict[int, int]], dict[str, int]]:
+) -> tuple[DataFrame, DataFrame]:
     """Sort with range partitioning; inside each sorted partition record the
     partition id (``_pid``) and, per weight, the exclusive running sum
     (``_local_<name>``); write that as a table.  Positions are columns of the
     written table, so nothing later depends on how files are read back.
 
-    Returns the table, per weight the exclusive prefix of partition totals,
-    and per weight the grand total.  The driver only sees one row per
-    partition (a bound fixed by the plan, not by the data)."""
+    Returns the table, and per partition (``_at``) and weight the exclusive prefix of
+    the partition totals (``_off_<name>``) and the total (``_sum_<name>``)."""
     sorted_df = df.orderBy(*[b.sort() for b in order])
     if weights is None:
         names = ["n"]
@@ -116,35 +116,24 @@ def _numbered_table(
 
         staged = weighted.mapInArrow(running, schema)
     table = materialise(staged, "numbered")
-    rows = table.groupBy("_pid").agg(*[F.sum(f"_w_{k}").alias(k) for k in names]).collect()
-    offsets: dict[str, dict[int, int]] = {k: {} for k in names}
-    totals = dict.fromkeys(names, 0)
-    for r in sorted(rows, key=lambda r: r["_pid"]):
-        for k in names:
-            offsets[k][r["_pid"]] = totals[k]
-            totals[k] += int(r[k] or 0)
-    return table, offsets, totals
-
-
-def _with_offsets(
-    table: DataFrame, offsets: dict[str, dict[int, int]], out: dict[str, str], start: int
-) -> DataFrame:
+    totals = table.groupBy(F.col("_pid").alias("_at")).agg(*[F.sum(f"_w_{k}").alias(f"_sum_{k}") for k in names])
+    # one row per partition of the sort: a bound fixed by the plan, not by the data
+    before = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumns({f"_off_{k}": F.coalesce(F.sum(f"_sum_{k}").over(before), F.lit(0)) for k in names})
+    return table, materialise(offsets, "offsets")
+
+
+def _with_offsets(table: DataFrame, offsets: DataFrame, out: dict[str, str], start: int) -> DataFrame:
     """Add ``out[name]`` = partition offset + in-partition running sum + start."""
-    spark = table.sparkSession
-    names = list(offsets)
-    pids = sorted(set().union(*[set(o) for o in offsets.values()])) or [0]
-    offs = spark.createDataFrame(
-        [(pid, *[offsets[k].get(pid, 0) for k in names]) for pid in pids],
-        ", ".join(["_pid int"] + [f"_off_{k} long" for k in names]),
-    )
+    names = list(out)
     # one row per partition: size bounded by the plan, safe to broadcast
-    joined = table.join(F.broadcast(offs), "_pid").withColumns(
+    joined = table.join(F.broadcast(offsets), F.col("_pid") == F.col("_at")).withColumns(
         {
             out[k]: (F.col(f"_off_{k}") + F.col(f"_local_{k}") + F.lit(start)).cast("long")
             for k in names
         }
     )
-    helpers = ["_pid"] + [f"{p}_{k}" for k in names for p in ("_off", "_local", "_w")]
+    helpers = ["_pid", "_at"] + [f"{p}_{k}" for k in names for p in ("_off", "_local", "_w", "_sum")]
     return joined.drop(*helpers)
 
 
@@ -156,16 +145,16 @@ def with_row_number(
     The order should be total (add a tie key); otherwise tied rows are numbered
     in the order the sort left them, as SQL does.  With ``with_total`` the row
     count (known from the partition totals) is returned too."""
-    table, offsets, totals = _numbered_table(df, _norm(order), None)
+    table, offsets = _numbered_table(df, _norm(order), None)
     out = _with_offsets(table, offsets, {"n": name}, start)
-    return (out, totals["n"]) if with_total else out
+    return (out, int(offsets.agg(F.coalesce(F.sum("_sum_n"), F.lit(0))).head()[0])) if with_total else out
 
 
 def with_prefix_sums(df: DataFrame, order: OrderSpec, weights: dict[str, Column]) -> DataFrame:
     """For each ``name -> weight``, add column ``name`` = sum of the weight
     over all rows strictly before the row in the global order (exclusive
     running sums), computed partition-parallel in one sort."""
-    table, offsets, _ = _numbered_table(df, _norm(order), dict(weights))
+    table, offsets = _numbered_table(df, _norm(order), dict(weights))
     return _with_offsets(table, offsets, {k: k for k in weights}, 0)
 
 
