@@ -39,3 +39,15 @@ def substrings(chars: Column, min_n: int = 1, max_n: int = 4) -> Column:
 def spaced(col: Column) -> Column:
     """'abc' -> 'a b c' (characters joined by one space)."""
     return F.array_join(characters(col), " ")
+
+
+def windows(col: Column, n: int) -> Column:
+    """The run of ``n`` characters from each position of a text (fewer at its end), in one
+    pass over the text.  The k-grams of the text are the windows' prefixes of k."""
+    return F.regexp_extract_all(col, F.lit(rf"(?s)(?=(.{{1,{n}}}))."), 1)
+
+
+def prefixes(window: Column, min_n: int, max_n: int) -> Column:
+    """The prefixes of a window with ``min_n`` to ``max_n`` characters, null beyond its
+    end."""
+    return F.array(*[F.when(F.length(window) >= n, F.substring(window, 1, n)) for n in range(min_n, max_n + 1)])

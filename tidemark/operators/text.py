@@ -1,11 +1,15 @@
 """J7: character n-gram counts, top-k vocabulary, sublinear TF-IDF, k-means.
 
-The count table is kept sparse as (document, term, count) rows.  N-grams are
-generated JVM-side and counted with a partial aggregation per (doc, term),
-so a long document is combined before the shuffle.  The vocabulary is a
-top-k (each partition keeps its own k best, then one merge), so only k rows
-ever meet in one place; k is a parameter with a fixed bound, which is also
-what makes broadcasting it safe.
+Two passes over the texts.  The first counts n-grams over the corpus only: a row per
+position with the longest n-gram there, combined before the shuffle, and the shorter
+ones as prefixes of what is left.  The vocabulary is a top-k (each partition keeps its
+own k best, then one merge); k is a parameter with a fixed bound, which is also what
+makes broadcasting it safe.  The second pass keeps the n-grams of the vocabulary as it
+meets them and counts them per document, so nothing larger than documents x k is
+shuffled or written.
+
+k-means runs on the sparse (document, term, count) rows: a Lloyd step is a join with the
+centres (k numbers per term) and two grouped sums.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import characters, normalise, spaced, substrings
+from tidemark.functions.text import characters, normalise, prefixes, spaced, substrings, windows
 from tidemark.session import materialise
 
 # Vocabulary size, n-gram range and cluster count of the job.
@@ -36,6 +40,13 @@ def documents(df: DataFrame, text_col: str, normalise_text: bool = False, partit
     return out
 
 
+def few_splits(df: DataFrame) -> int | None:
+    """The number of cores if the input has fewer splits (a small file is one), else
+    None: a large input has splits enough and is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cores if df.rdd.getNumPartitions() < cores else None
+
+
 def term_counts(
     df: DataFrame, doc_cols: Sequence[str], text_col: str, ngram_range: tuple[int, int] = NGRAM_RANGE
 ) -> DataFrame:
@@ -50,6 +61,14 @@ def term_counts(
     return grams.groupBy(*doc_cols, "gram").agg(F.count(F.lit(1)).alias("term_count"))
 
 
+def corpus_counts(df: DataFrame, text_col: str, ngram_range: tuple[int, int] = NGRAM_RANGE) -> DataFrame:
+    """(gram, term_count) over all texts: pass one."""
+    low, high = ngram_range
+    longest = df.select(F.explode(windows(F.col(text_col), high)).alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
+    grams = longest.select(F.explode(prefixes(F.col("_w"), low, high)).alias("gram"), "_n")
+    return grams.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("_n").alias("term_count"))
+
+
 def vocabulary(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     """The ``max_features`` most frequent terms over the corpus; ties broken
     by the term (code-point order), as the reference vectorizer does.
@@ -66,13 +85,21 @@ def vocabulary(counts: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame
     )
 
 
+def counts_within(
+    df: DataFrame, doc_cols: Sequence[str], text_col: str, vocab: DataFrame, ngram_range: tuple[int, int] = NGRAM_RANGE
+) -> DataFrame:
+    """(doc..., term, term_index, term_count) of the vocabulary's terms: pass two.  Other
+    n-grams end at the broadcast vocabulary (``max_features`` rows at most)."""
+    positions = df.select(*doc_cols, F.explode(windows(F.col(text_col), ngram_range[1])).alias("_w"))
+    grams = positions.select(*doc_cols, F.explode(prefixes(F.col("_w"), *ngram_range)).alias("gram"))
+    found = grams.join(F.broadcast(vocab.select("gram", "term", "term_index")), "gram")
+    return found.groupBy(*doc_cols, "term", "term_index").agg(F.count(F.lit(1)).alias("term_count"))
+
+
 def restricted_counts(df: DataFrame, doc_cols: Sequence[str], text_col: str, max_features: int = MAX_FEATURES):
-    """Sparse count matrix over the vocabulary, and the vocabulary itself."""
-    # read twice (vocabulary, then the join): written once
-    counts = materialise(term_counts(df, doc_cols, text_col), "term_counts")
-    vocab = vocabulary(counts, max_features)
-    kept = counts.join(F.broadcast(vocab.select("gram", "term", "term_index")), "gram").drop("gram")
-    return kept, vocab
+    """Sparse count matrix over the vocabulary, and the vocabulary itself (written)."""
+    vocab = materialise(vocabulary(corpus_counts(df, text_col), max_features), "vocabulary")
+    return counts_within(df, doc_cols, text_col, vocab), vocab
 
 
 def tfidf(df: DataFrame, doc_cols: Sequence[str], text_col: str, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -80,7 +107,7 @@ def tfidf(df: DataFrame, doc_cols: Sequence[str], text_col: str, max_features: i
     w = (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), n = number of documents."""
     doc_cols = list(doc_cols)
     n_docs = df.count()
-    kept, _ = restricted_counts(df, doc_cols, text_col, max_features)
+    kept = materialise(restricted_counts(df, doc_cols, text_col, max_features)[0], "term-counts")  # read twice
     doc_freq = kept.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = doc_freq.withColumn(
         "idf", F.log((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
@@ -94,40 +121,30 @@ def tfidf(df: DataFrame, doc_cols: Sequence[str], text_col: str, max_features: i
     return weighted.select(*doc_cols, "term", (F.col("w") / norm).alias("tfidf"))
 
 
-def _count_vectors(
-    df: DataFrame, doc_cols: list[str], text_col: str, vocab: DataFrame, size: int, counts: DataFrame | None = None
-) -> DataFrame:
-    """Dense count vectors over the vocabulary (vocabulary size columns),
-    built from the sparse per-document counts (at most ``size`` entries per
-    document, so the per-document gather is bounded)."""
-    from pyspark.ml.functions import array_to_vector
-
-    counts = counts if counts is not None else term_counts(df, doc_cols, text_col)
-    kept = counts.join(F.broadcast(vocab.select("gram", "term_index")), "gram")
-    per_doc = kept.groupBy(*doc_cols).agg(
-        F.map_from_entries(F.collect_list(F.struct("term_index", "term_count"))).alias("_m")
-    )
-    docs = df.select(*doc_cols).join(per_doc, doc_cols, "left")
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(max(size, 1) - 1)),
-        lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0)).cast("double"),
-    )
-    return docs.select(*doc_cols, array_to_vector(dense).alias("features"))
+def _count_vectors(df: DataFrame, doc_cols: list[str], text_col: str, terms: list[str]) -> DataFrame:
+    """Sparse count vectors over the vocabulary, without a shuffle."""
+    from pyspark.ml.feature import CountVectorizerModel
+
+    low, high = NGRAM_RANGE
+    grams = F.flatten(F.transform(windows(F.col(text_col), high), lambda w: F.array_compact(prefixes(w, low, high))))
+    docs = df.select(*doc_cols, grams.alias("_grams"))
+    model = CountVectorizerModel.from_vocabulary(terms or [""], inputCol="_grams", outputCol="features")
+    return model.transform(docs).drop("_grams")
 
 
 class CommentClusters:
-    """A fitted clustering: the vocabulary (``max_features`` rows at most, a
-    plan-bounded table) and the MLlib k-means model."""
+    """A fitted clustering: the vocabulary (``max_features`` terms at most) and the MLlib
+    k-means model."""
 
-    def __init__(self, vocab: DataFrame, size: int, model, training_vectors: DataFrame | None = None):
-        self.vocab, self.size, self.model = vocab, size, model
+    def __init__(self, terms: list[str], model, training_vectors: DataFrame | None = None):
+        self.terms, self.model = terms, model
         self.training_vectors = training_vectors
 
     def assign(self, df: DataFrame, doc_cols: Sequence[str], text_col: str) -> DataFrame:
         """Cluster of each (new) document, vectorised with the fitted
         vocabulary (n-grams outside it are ignored)."""
         doc_cols = list(doc_cols)
-        vectors = _count_vectors(df, doc_cols, text_col, self.vocab, self.size)
+        vectors = _count_vectors(df, doc_cols, text_col, self.terms)
         return self.model.transform(vectors).select(*doc_cols, F.col("cluster").cast("int").alias("cluster"))
 
 
@@ -143,13 +160,12 @@ def fit_comment_clusters(
     from pyspark.ml.clustering import KMeans
 
     doc_cols = list(doc_cols)
-    counts = materialise(term_counts(df, doc_cols, text_col), "term_counts")
-    vocab = materialise(vocabulary(counts, max_features), "vocabulary")
-    size = vocab.count()  # <= max_features
+    vocab = vocabulary(corpus_counts(df, text_col), max_features)
+    terms = [r["gram"] for r in vocab.orderBy("term_index").collect()]  # <= max_features
     # read by every k-means iteration: written once
-    vectors = materialise(_count_vectors(df, doc_cols, text_col, vocab, size, counts), "features")
+    vectors = materialise(_count_vectors(df, doc_cols, text_col, terms), "features")
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
-    return CommentClusters(vocab, size, model, vectors)
+    return CommentClusters(terms, model, vectors)
 
 
 def kmeans_clusters(
@@ -166,3 +182,71 @@ def kmeans_clusters(
     return fitted.model.transform(fitted.training_vectors).select(
         *doc_cols, F.col("cluster").cast("int").alias("cluster")
     )
+
+
+# --------------------------------------------------- k-means on sparse rows
+#: Digits to which squared distances are compared, so that a tie is a tie on any engine.
+DIGITS = 6
+
+
+def scaled_mean_centres(counts: DataFrame, n_docs: int, k: int = N_CLUSTERS) -> DataFrame:
+    """Fixed start: the documents' mean times (2j + 1) / k, j = 0..k-1, as sparse
+    (term_index, weights): one array of k weights per term."""
+    mean = F.sum("term_count") / F.lit(float(max(n_docs, 1)))
+    return counts.groupBy("term_index").agg(
+        F.array(*[mean * F.lit((2.0 * j + 1.0) / k) for j in range(k)]).alias("weights")
+    )
+
+
+def assign_to_centres(docs: DataFrame, doc_cols: Sequence[str], counts: DataFrame, centres: DataFrame, k: int) -> DataFrame:
+    """(doc..., cluster) of every document: the nearest centre (ties: the lower number).
+
+    |d - c|^2 = |d|^2 - 2 d.c + |c|^2, and |d|^2 is the same for all centres.  The centres
+    have at most ``max_features`` rows, so they are broadcast; the products are added up
+    before the shuffle.  A document without any term is judged by |c|^2 alone."""
+    doc_cols = list(doc_cols)
+    lengths = centres.agg(*[F.sum(F.col("weights")[j] * F.col("weights")[j]).alias(f"_c{j}") for j in range(k)])
+    products = counts.join(F.broadcast(centres), "term_index").groupBy(*doc_cols).agg(
+        *[F.sum(F.col("term_count") * F.col("weights")[j]).alias(f"_d{j}") for j in range(k)]
+    )
+    c = lengths.head()  # k numbers
+    far = [F.round(F.lit(c[j] or 0.0) - 2 * F.coalesce(F.col(f"_d{j}"), F.lit(0.0)), DIGITS) for j in range(k)]
+    nearest = F.array_min(F.array(*[F.struct(f.alias("d"), F.lit(j).alias("j")) for j, f in enumerate(far)]))["j"]
+    keys = [F.col(x).alias(f"_key{i}") for i, x in enumerate(doc_cols)]
+    same = [F.col(x).eqNullSafe(F.col(f"_key{i}")) for i, x in enumerate(doc_cols)]
+    sums = products.select(*keys, *[f"_d{j}" for j in range(k)])
+    return docs.select(*doc_cols).join(sums, same, "left").select(*doc_cols, nearest.cast("int").alias("cluster"))
+
+
+def lloyd(docs: DataFrame, doc_cols: Sequence[str], counts: DataFrame, centres: DataFrame, k: int, steps: int) -> DataFrame:
+    """The centres after ``steps`` Lloyd steps; a cluster without documents keeps its
+    centre.  Each step's centres are written, so lineage stays short."""
+    doc_cols = list(doc_cols)
+    for _ in range(steps):
+        owner = materialise(assign_to_centres(docs, doc_cols, counts, centres, k), "owners")
+        sizes = {r["cluster"]: r["n"] for r in owner.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}  # k rows
+        keys = [F.col(x).alias(f"_key{i}") for i, x in enumerate(doc_cols)]
+        same = [F.col(x).eqNullSafe(F.col(f"_key{i}")) for i, x in enumerate(doc_cols)]
+        sums = counts.join(owner.select(*keys, "cluster"), same).groupBy("term_index").agg(
+            *[F.sum(F.when(F.col("cluster") == j, F.col("term_count"))).alias(f"_s{j}") for j in range(k)]
+        )
+        old = centres.withColumnRenamed("weights", "_old")
+        means = [
+            F.coalesce(F.col(f"_s{j}"), F.lit(0)) / F.lit(float(sizes[j])) if sizes.get(j) else F.coalesce(F.col("_old")[j], F.lit(0.0))
+            for j in range(k)
+        ]
+        centres = materialise(sums.join(old, "term_index", "full").select("term_index", F.array(*means).alias("weights")), "centres")
+    return centres
+
+
+def fixed_start_clusters(
+    df: DataFrame, doc_cols: Sequence[str], text_col: str, k: int = N_CLUSTERS, steps: int = 3, max_features: int = MAX_FEATURES
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """k-means from ``scaled_mean_centres`` in a fixed number of steps: (doc..., cluster)
+    of every document, the centres, and the vocabulary with which new documents are
+    counted (``counts_within``) and assigned (``assign_to_centres``)."""
+    kept, vocab = restricted_counts(df, doc_cols, text_col, max_features)
+    counts = materialise(kept.drop("term"), "term-counts")
+    centres = materialise(scaled_mean_centres(counts, df.count(), k), "centres")
+    centres = lloyd(df, doc_cols, counts, centres, k, steps)
+    return assign_to_centres(df, doc_cols, counts, centres, k), centres, vocab

@@ -146,6 +146,7 @@ _PLAIN_DOCS = "SELECT conv_id, turn, regexp_replace(lower(text), '[[:punct:]]',
     "WITH " + _TERMS_SQL.replace(_RAW_DOCS, _PLAIN_DOCS) + "SELECT conv_id, turn, term, term_count FROM kept",
 )
 def q_comment_terms_normalised(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _text.documents(table(spark, sf, "conversations"), "text", normalise_text=True)
+    rows = table(spark, sf, "conversations")
+    docs = _text.documents(rows, "text", normalise_text=True, partitions=_text.few_splits(rows))
     kept, _ = _text.restricted_counts(docs, _DOC_COLS, "text")
     return kept.select(*_DOC_COLS, "term", "term_count")
