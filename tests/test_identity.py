@@ -145,6 +145,22 @@ def test_closure_long_chain_converges(spark):
     assert {r["super_id"] for r in out.collect()} == {1}
 
 
+def test_closure_extended_by_days_equals_the_whole(spark):
+    import random
+
+    rng = random.Random(31)
+    schema = "super_id long, name string, value string, date_insert timestamp_ntz, date_table long"
+    rows = [(i, "fingerprint", f"v{rng.randint(0, 120)}", AS_OF, i) for i in range(1, 101) for _ in range(2)]
+    rows += [(101, "client_id", None, AS_OF, 1), (None, "client_id", "v1", AS_OF, 1)]
+    parts = [rows[:70], rows[70:140], rows[140:], rows[:3]]  # the last one is known already
+    stored = spark.createDataFrame([], "value string, super_id long")
+    for part in parts:
+        stored = I.extend_closure(stored, spark.createDataFrame(part, schema))
+    got = {r.value: r.super_id for r in stored.collect()}
+    whole = I.merge_closure(spark.createDataFrame(rows, schema).filter("super_id IS NOT NULL AND value IS NOT NULL"))
+    assert stored.count() == len(got) and got == {r.value: r.super_id for r in whole.collect()}
+
+
 def test_bucketed_master_matches_snapshots(spark):
     ev = _events(spark)
     plain = I.run_days(ev, D1, D2, AS_OF, bucket_master=False)

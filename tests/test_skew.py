@@ -90,3 +90,28 @@ def test_hot_value_merge_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_giant_component_label_join_is_split(spark):
+    """A third of the ids carry one label: the join to the label's row is split."""
+    from tidemark.operators.identity import adopt_labels_label
+
+    old = {k: spark.conf.get(k, None) for k in CONF}
+    for k, v in CONF.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        label = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.greatest(F.col("id") - 1, F.lit(0)))
+        hop = spark.range(n).select(F.col("id").alias("super_id"), label.alias("label")).groupBy("super_id").agg(F.min("label").alias("label"))
+        out = adopt_labels_label(hop)
+        got = {r.super_id: r.label for r in out.collect()}
+        first = {i: 0 if i % 3 == 0 else max(i - 1, 0) for i in range(n)}
+        assert got == {i: min(first[i], first[first[i]]) for i in range(n)}
+        final = out._jdf.queryExecution().executedPlan().toString().lower()
+        assert "skew=true" in final or "isskew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

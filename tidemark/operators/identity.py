@@ -466,26 +466,33 @@ def user_sessions(master: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ J1k
-def merge_closure(labelled: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """Connected components of the id-value graph: every value gets the
-    smallest id reachable through shared values (the fixpoint of
-    ``merge_day``).
+def _edges(labelled: DataFrame) -> DataFrame:
+    known = F.col("super_id").isNotNull() & F.col("value").isNotNull()
+    return labelled.select("super_id", "value").filter(known).distinct()
+
+
+def adopt_labels_label(labels: DataFrame) -> DataFrame:
+    """Pointer jumping: an id (super_id, label) adopts its label's label.  In a giant
+    component all rows carry one label; the null-safe join puts a shuffle under
+    both sides, so AQE splits that label's partition."""
+    parent = labels.select(F.col("super_id").alias("label"), F.col("label").alias("_grand"))
+    return join_on_keys(labels, parent, ["label"], "left").select(
+        "super_id", F.least(F.col("label"), F.coalesce(F.col("_grand"), F.col("label"))).alias("label")
+    )
+
+
+def component_labels(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """(super_id, label) of every id of the id-value edges: the smallest id reachable
+    through shared values.
 
     Each round is one min-label hop through the values (partial
-    aggregation on both group-bys) followed by pointer jumping (an id adopts
-    its label's label), so long chains need about log2(diameter) rounds.
-    Labels are written to the checkpoint folder every round.  A label never
-    grows, so the loop stops when their sum stays.  ``max_rounds``, if given,
-    raises beyond that many rounds."""
-    pairs = materialise(
-        labelled.select("super_id", "value")
-        .filter(F.col("super_id").isNotNull() & F.col("value").isNotNull())
-        .distinct(),
-        "pairs",
-    )
-    spark = labelled.sparkSession
+    aggregation on both group-bys) followed by pointer jumping, so long chains need
+    about log2(diameter) rounds.  Labels are written to the checkpoint folder every
+    round.  A label never grows, so the loop stops when their sum stays.
+    ``max_rounds``, if given, raises beyond that many rounds."""
+    spark = edges.sparkSession
     labels, labels_path = materialise_at(
-        pairs.select("super_id").distinct().withColumn("label", F.col("super_id")), "labels", keep=True
+        edges.select("super_id").distinct().withColumn("label", F.col("super_id")), "labels", keep=True
     )
 
     def total(of: DataFrame):
@@ -496,22 +503,47 @@ def merge_closure(labelled: DataFrame, max_rounds: int | None = None) -> DataFra
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError("merge_closure did not converge")
         rounds += 1
-        vlabel = pairs.join(labels, "super_id").groupBy("value").agg(F.min("label").alias("vlabel"))
-        hop = join_on_keys(pairs, vlabel, ["value"]).groupBy("super_id").agg(F.min("vlabel").alias("label"))
-        parent = hop.select(F.col("super_id").alias("label"), F.col("label").alias("_grand"))
-        jumped = hop.join(parent, "label", "left").select(
-            "super_id", F.least(F.col("label"), F.coalesce(F.col("_grand"), F.col("label"))).alias("label")
-        )
-        new, new_path = materialise_at(jumped, "labels", keep=True)
+        vlabel = edges.join(labels, "super_id").groupBy("value").agg(F.min("label").alias("vlabel"))
+        hop = join_on_keys(edges, vlabel, ["value"]).groupBy("super_id").agg(F.min("vlabel").alias("label"))
+        new, new_path = materialise_at(adopt_labels_label(hop), "labels", keep=True)
         after = total(new)
         delete_path(spark, labels_path)  # the previous round's labels are no longer read
         labels, labels_path = new, new_path
         if after == before:
-            break
+            return labels
         before = after
-    comp = join_on_keys(pairs, labels, ["super_id"]).groupBy("value").agg(F.min("label").alias("super_id"))
+
+
+def merge_closure(labelled: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """Connected components of the id-value graph: every value gets the
+    smallest id reachable through shared values (the fixpoint of
+    ``merge_day``)."""
+    edges = materialise(_edges(labelled), "pairs")
+    labels = component_labels(edges, max_rounds)
+    comp = join_on_keys(edges, labels, ["super_id"]).groupBy("value").agg(F.min("label").alias("super_id"))
     first_seen = labelled.groupBy("name", "value").agg(F.min("date_table").alias("date_table"))
     rows = labelled.select("name", "value", "date_insert").distinct()
     out = join_on_keys(rows, comp, ["value"], "left")
     out = join_on_keys(out, first_seen, ["name", "value"], "left")
     return out.select(*MASTER_COLUMNS).distinct()
+
+
+def extend_closure(stored: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Fold new id-value rows into stored components (value, super_id), without
+    computing those anew: (value, super_id) of all values.
+
+    A stored component takes part as one id, linked to those of its values that the new
+    rows hold, so the iteration runs over the new rows and the components they touch.
+    The stored values are then relabelled by one join; ids of ``labelled`` must be
+    distinct from those of earlier calls, unless they mean the same person."""
+    edges = _edges(labelled)
+    touched = join_on_keys(stored.select("super_id", "value"), edges.select("value"), ["value"], "left_semi")
+    edges = materialise(edges.unionByName(touched).distinct(), "pairs")
+    labels = component_labels(edges)
+    found = join_on_keys(edges, labels, ["super_id"]).groupBy("value").agg(F.min("label").alias("super_id"))
+    renamed = labels.filter("label < super_id").select("super_id", "label")
+    kept = join_on_keys(stored.select("super_id", "value"), renamed, ["super_id"], "left").select(
+        "value", F.coalesce("label", "super_id").alias("super_id")
+    )
+    new_values = join_on_keys(found, stored.select("value"), ["value"], "left_anti")
+    return kept.unionByName(new_values.select("value", "super_id"))
