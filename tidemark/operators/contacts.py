@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import ntz_literal
+from tidemark.operators.buckets import BucketedTable
+from tidemark.session import materialise
 
 
 class Thresholds(NamedTuple):
@@ -253,3 +255,16 @@ def upsert(
         else:
             out_cols.append(F.col(f"t.{c}").alias(c))
     return joined.select(*out_cols).unionByName(loose)
+
+
+def upsert_table(
+    target: BucketedTable, staging: DataFrame, update_cols: Sequence[str], load_col: str | None = None, now=None
+) -> list[int]:
+    """``upsert`` into a stored table, in place: only the buckets that hold a staging key
+    are read and rewritten.  Returns those buckets.  If staging breaks the MERGE rule
+    the job fails before any file is replaced."""
+    staged = materialise(staging.distinct(), "staging")  # read for its buckets, and for the merge
+    only = target.touched(staged)
+    if only:
+        target.replace(upsert(target.read(only), staged, target.keys, update_cols, load_col, now), only)
+    return only

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.buckets import BucketedTable
 from tidemark.operators.contacts import ts_literal
 from tidemark.operators.grouping import join_on_keys
 from tidemark.operators.master import BEGINNING, HEAVY_ROWS, SALTS, Commit, Master
@@ -388,6 +389,23 @@ def advance_master(
 
 
 # ------------------------------------------------------------------ J1j
+def session_rows(master: DataFrame) -> DataFrame:
+    """Each name and value once, with the smallest id, first insert and first-seen time
+    of the value's rows."""
+    per_value = master.groupBy("value").agg(
+        F.min("super_id").alias("_sid"),
+        F.min("date_insert").alias("_di"),
+        F.min("date_table").alias("_dt"),
+    )
+    return join_on_keys(master.select("name", "value"), per_value, ["value"], "left").select(
+        F.col("_sid").alias("super_id"),
+        "name",
+        "value",
+        F.col("_di").alias("date_insert"),
+        F.col("_dt").alias("date_table"),
+    ).distinct()
+
+
 def user_sessions(master: DataFrame) -> DataFrame:
     """``name_value_x_rank``: successive users inside a person.
 
@@ -405,18 +423,11 @@ def user_sessions(master: DataFrame) -> DataFrame:
     one distributed prefix sum over (person, date_table, value, kind), in
     which a person holding a third of all rows spans many range partitions;
     the person's starting counts come from a grouped minimum."""
-    per_value = master.groupBy("value").agg(
-        F.min("super_id").alias("_sid"),
-        F.min("date_insert").alias("_di"),
-        F.min("date_table").alias("_dt"),
-    )
-    rows = join_on_keys(master.select("name", "value"), per_value, ["value"], "left").select(
-        F.col("_sid").alias("super_id"),
-        "name",
-        "value",
-        F.col("_di").alias("date_insert"),
-        F.col("_dt").alias("date_table"),
-    ).distinct()
+    return rank_sessions(session_rows(master))
+
+
+def rank_sessions(rows: DataFrame) -> DataFrame:
+    """``user_sessions`` of ``session_rows``."""
     users = rows.filter(F.col("name") == NAME_USER).select("super_id", "date_table", "value").distinct()
     first_at_date = users.groupBy("super_id", "date_table").agg(F.min("value").alias("_first"))
     markers = join_on_keys(users, first_at_date, ["super_id", "date_table"]).select(
@@ -465,6 +476,62 @@ def user_sessions(master: DataFrame) -> DataFrame:
     )
 
 
+SESSION_SCHEMA = T.StructType(
+    [*MASTER_SCHEMA.fields, T.StructField("rank_of_super_id", T.LongType()), T.StructField("user_place", T.LongType())]
+)
+
+
+def session_store(spark, folder: str, buckets: int) -> BucketedTable:
+    """Sessions kept over increments, in buckets of persons.  ``user_place`` numbers the
+    users in effect inside a person: the global rank is that plus the places of all
+    persons before, which is added when reading (``stored_sessions``), so a new person
+    shifts the ranks of others without a rewrite of their rows."""
+    return BucketedTable(spark, folder, SESSION_SCHEMA, ["super_id"], buckets)
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """``rank_sessions`` with the place inside the person instead of the global rank."""
+    ranked = rank_sessions(rows)
+    first = ranked.groupBy("super_id").agg(F.min("user_id_rank").alias("_first"))
+    placed = join_on_keys(ranked, first, ["super_id"], "left")
+    return placed.withColumn("user_place", F.col("user_id_rank") - F.col("_first") + 1).select(*SESSION_SCHEMA.names)
+
+
+def extend_sessions(store: BucketedTable, master: Master, since: dt.date | None) -> dt.date | None:
+    """Bring the store from day ``since`` (None: empty) to the master's mark, which is
+    returned.  Only persons that have, or had, a value of the new rows are ranked
+    again, and only their buckets rewritten."""
+    last = master.last_commit()
+    if since is None:
+        store.replace(_placed(session_rows(master.rows())))
+        return master.mark()
+    since_day = since.isoformat()
+    added = master.rows_after(since).select("value").distinct()
+    known = materialise(master.hits(added, last).select(*MASTER_COLUMNS, "day"), "touched-values")
+    now = session_rows(known)
+    before = known.filter(F.col("day") <= since_day).groupBy("value").agg(F.min("super_id").alias("super_id"))
+    persons = materialise(now.select("super_id").unionByName(before.select("super_id")).distinct(), "persons")
+    only = store.touched(persons)
+    if not only:
+        return master.mark()
+    old = materialise(store.read(only), "old-sessions")  # of these buckets: of touched persons and others
+    rest = join_on_keys(old, persons, ["super_id"], "left_anti")
+    same = join_on_keys(join_on_keys(old, persons, ["super_id"], "left_semi"), now.select("value"), ["value"], "left_anti")
+    again = _placed(same.select(*MASTER_COLUMNS).unionByName(now))
+    store.replace(again.unionByName(rest), only)
+    return master.mark()
+
+
+def stored_sessions(store: BucketedTable) -> DataFrame:
+    """``user_sessions`` from the store: the offsets are a running sum over persons."""
+    rows = store.read()
+    persons = rows.groupBy("super_id").agg(F.max("user_place").alias("_places"))
+    offsets = with_prefix_sums(persons, [By("super_id")], {"_before": F.col("_places")}).select("super_id", "_before")
+    return join_on_keys(rows, offsets, ["super_id"], "left").select(
+        *MASTER_COLUMNS, "rank_of_super_id", (F.col("_before") + F.col("user_place")).alias("user_id_rank")
+    )
+
+
 # ------------------------------------------------------------------ J1k
 def _edges(labelled: DataFrame) -> DataFrame:
     known = F.col("super_id").isNotNull() & F.col("value").isNotNull()

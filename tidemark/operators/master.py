@@ -126,6 +126,10 @@ class Master:
         """The rows that a committed day added."""
         return self._committed(self.last_commit()).filter(F.col("day") == day.isoformat()).select(*self.columns)
 
+    def rows_after(self, day: dt.date) -> DataFrame:
+        """The rows that committed days after ``day`` added."""
+        return self._committed(self.last_commit()).filter(F.col("day") > day.isoformat()).select(*self.columns)
+
     # ------------------------------------------------------------------- salts
     def _with_salts(self, df: DataFrame, last: Commit | None) -> DataFrame:
         """``df`` with the number of salts of its value (1 unless it is heavy)."""
