@@ -236,29 +236,39 @@ def test_kmeans_fit_then_assign_new_lines(spark):
     assert got[1] == got[2] != got[3]
 
 
-def test_page_parser_mode(spark):
-    from tests.conftest import SF01
+PAGES = "page_id long, url string, html string"
+
+
+def _elements(spark, html, elements=None):
+    df = spark.createDataFrame([(1, "u", html)], PAGES)
+    return sorted(tuple(r)[1:] for r in pages.page_elements(df, elements).collect())
+
 
+def test_page_elements_nesting_case_and_quotes(spark):
     html = (
         "<html><body><div class='x ad'>outer <div>inner</div> tail</div>"
         '<a title="t" href="/q?a=1&amp;b=2">x</a><h1>A <b>bold</b> title</h1>'
         "<script>var s='<h1>no</h1>';</script></body></html>"
     )
-    df = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
-    out = sorted(map(tuple, pages.page_elements_parsed(df).collect()))
-    assert out == [
-        (1, "a_href", 0, "/q?a=1&b=2"),
-        (1, "div_ad", 0, "outer inner tail"),
-        (1, "h1", 0, "A bold title"),
-    ]
+    assert _elements(spark, html) == [("a_href", 0, "/q?a=1&b=2"), ("div_ad", 0, "outer inner tail"), ("h1", 0, "A bold title")]
     # nested matches in document order; an element never closed runs to the end
     odd = "<div class=ad>a<div class='ad'>b</div></div><P><IMG src=x>t</P><h1>open <br>only"
-    df = spark.createDataFrame([(2, "u", odd), (3, "u", None), (4, "u", "")], "page_id long, url string, html string")
-    both = {"h1": ("h1", None, None), "head": ("h1", None, None), "div_ad": ("div", "ad", None)}
-    out = sorted(map(tuple, pages.page_elements_parsed(df, both).collect()))
-    assert out == [(2, "div_ad", 0, "ab"), (2, "div_ad", 1, "b"), (2, "h1", 0, "open only"), (2, "head", 0, "open only")]
-    # on the generated pages both modes agree
-    real = spark.read.parquet(f"{SF01}/pages.parquet")
-    a = sorted(map(tuple, pages.page_elements(real).collect()))
-    b = sorted(map(tuple, pages.page_elements_parsed(real).collect()))
-    assert a == b
+    both = {"h1": pages.Element("h1"), "head": pages.Element("H1"), "div_ad": pages.Element("div", "ad")}
+    assert _elements(spark, odd, both) == [("div_ad", 0, "ab"), ("div_ad", 1, "b"), ("h1", 0, "open only"), ("head", 0, "open only")]
+    mixed = (
+        "<A\nHREF = '/one' >1</A><a title='href=\"/no\"' Href=/two>2</a><a href>3</a><a name=x>4</a><!-- <h1>c</h1> -->"
+        '<DIV id="d" CLASS="big  ad\tx">x > y</Div><div class="adx">no</div><h1 title="a > b">one</h1></b><p>1 < 2'
+        "<section><h1>two<p>para</section>after<h1/><STYLE>h1{}</STYLE><script>'<h1>never</h1>'"
+    )
+    assert _elements(spark, mixed) == [
+        ("a_href", 0, "/one"), ("a_href", 1, "/two"), ("a_href", 2, ""),
+        ("div_ad", 0, "x > y"), ("h1", 0, "one"), ("h1", 1, "twopara"), ("h1", 2, ""),
+    ]
+    for nothing in (None, "", "plain", "<", "<h1", "</h1>", "<!-- <h1>x</h1>"):
+        assert _elements(spark, nothing) == []
+
+
+def test_page_elements_stay_on_the_jvm(spark):
+    df = spark.createDataFrame([(1, "u", "<h1>x</h1>")], PAGES)
+    plan = pages.page_elements(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan

@@ -40,13 +40,6 @@ def documents(df: DataFrame, text_col: str, normalise_text: bool = False, partit
     return out
 
 
-def few_splits(df: DataFrame) -> int | None:
-    """The number of cores if the input has fewer splits (a small file is one), else
-    None: a large input has splits enough and is not shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return cores if df.rdd.getNumPartitions() < cores else None
-
-
 def term_counts(
     df: DataFrame, doc_cols: Sequence[str], text_col: str, ngram_range: tuple[int, int] = NGRAM_RANGE
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.operators.contacts import ts_literal
 from tidemark.session import scratch_path
 from tidemark.sources import io as _io
 from tidemark.sources import shards as _shards
-from tidemark.sources.tables import table
+from tidemark.sources.tables import few_splits, table
 
 
 # ---------------------------------------------------------------- SRC-3: bad lines
@@ -147,6 +147,6 @@ _PLAIN_DOCS = "SELECT conv_id, turn, regexp_replace(lower(text), '[[:punct:]]',
 )
 def q_comment_terms_normalised(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations")
-    docs = _text.documents(rows, "text", normalise_text=True, partitions=_text.few_splits(rows))
+    docs = _text.documents(rows, "text", normalise_text=True, partitions=few_splits(rows))
     kept, _ = _text.restricted_counts(docs, _DOC_COLS, "text")
     return kept.select(*_DOC_COLS, "term", "term_count")
