@@ -65,6 +65,9 @@ ASIDE_WORDS = frozenset(
     "widget widgets".split()
 )
 MAIN_WORDS = frozenset("article articlebody body content entry main maincontent post story text".split())
+#: Asides by their tag that can be wrapped around a whole page, and the spaces from which
+#: a block is running text.
+WRAPPERS, RUNNING = frozenset(("form", "fieldset", "dialog")), 8
 #: What an element costs that is no article by its tag, or only by its names.
 OUTSIDE, STRONG, NAMED = 4.0, 14.0, 8.0
 
@@ -79,6 +82,7 @@ class Element:
     barred: bool
     main: bool
     chars: int = 0
+    running: int = 0
     against: float = 0.0
 
 
@@ -111,19 +115,49 @@ def _element(name: str, attrs: str, parent: Element | None) -> Element:
     return Element(name, parent, 0 if parent is None else parent.depth + 1, tagged, named, barred, main)
 
 
+def _above(x: Element, y: Element | None) -> bool:
+    """Whether ``y`` is ``x`` or stands in it."""
+    while y is not None and y is not x:
+        y = y.parent
+    return y is x
+
+
+def _in_aside(e: Element | None, spared: set[int]) -> bool:
+    while e is not None:
+        if e.tagged or (e.named and id(e) not in spared):
+            return True
+        e = e.parent
+    return False
+
+
 def _judge(elements: list[Element], blocks: list[Block]) -> None:
     """Sets main and against, from the root down.  Names say nothing of the page
     itself, nor of an element that holds a main element or the longest article (of a
-    quarter of the text or more); where there are none, of one that holds most of the text."""
+    quarter of the text or more; else the first article that stands in no aside); where
+    there are none, of one that holds most of the text.  A form or the like that holds
+    most of the page's running text wraps it: its tag says nothing either, unless a
+    main element or article stands beside it."""
     for b in blocks:
         b.element.chars += len(b.text)
+        if b.text.count(" ") >= RUNNING and 2 * b.linked < len(b.text):
+            b.element.running += len(b.text)
     for e in reversed(elements):
         if e.parent is not None:
             e.parent.chars += e.chars
+            e.parent.running += e.running
     spared = {id(e) for e in elements if e.name in ("html", "body")}
     # a comment can be an article element as well: it has little of the page's text
     articles = [e for e in elements if e.name == "article" and 4 * e.chars > elements[0].chars]
-    held = [e for e in elements if e.name == "main" and e.chars] + sorted(articles, key=lambda e: -e.chars)[:1]
+    mains = [e for e in elements if e.name == "main" and e.chars]
+    if not articles and not mains:
+        articles = [e for e in elements if e.name == "article" and e.chars and not _in_aside(e.parent, spared)]
+        held = articles[:1]
+    else:
+        held = mains + sorted(articles, key=lambda e: -e.chars)[:1]
+    wraps = set()
+    for e in elements:
+        if e.name in WRAPPERS and 2 * e.running > elements[0].running and all(_above(e, h) or _above(h, e) for h in held):
+            wraps.add(id(e))
     for e in held:
         while e is not None and id(e) not in spared:
             spared.add(id(e))
@@ -132,7 +166,7 @@ def _judge(elements: list[Element], blocks: list[Block]) -> None:
         spared |= {id(e) for e in elements if 2 * e.chars > elements[0].chars}
     for e in elements:
         within = e.parent is not None and e.parent.main
-        tagged = e.tagged or (e.name == "header" and not within)
+        tagged = (e.tagged and id(e) not in wraps) or (e.name == "header" and not within)
         named = id(e) not in spared and (e.named or (e.barred and not within))
         own = STRONG if tagged else NAMED if named else 0.0
         e.main = (e.main or within) and not own
@@ -334,6 +368,8 @@ def min_cut(score: list[float], links: list[tuple[int, int, float]]) -> list[boo
 def main_text(html: str) -> str:
     blocks = blocks_of(html)
     keep = min_cut(scores(blocks), edges(blocks))
+    if not any(keep):  # a page of a few plain words: all that is no aside and no list of links
+        keep = [not b.element.against and 2 * b.linked < len(b.text) for b in blocks]
     return "\n".join(b.text for b, k in zip(blocks, keep) if k)
 
 
