@@ -6,10 +6,17 @@ size never depends on the data) is made from those sums, written as a numbered
 version, and *edited* when shards are added or loads change: only the slots that
 must move are re-assigned, records are never hashed again.
 
-Defined results: a null text has no bytes; rows with a null id, equal ids or
-equal rows are hashed with their text as well, so they spread over the slots and
-each gets its own place; an empty table gives an empty result.  Copies of a text
-need not share a shard.  Other columns of the input are ignored.
+The map that is used is the one that was stored: it is written to the shared folder and
+read back.  ``rebalance`` loads the latest version, edits it for the present sizes and
+stores the next.
+
+Defined results: a null text has no bytes; rows with a null id or equal ids are hashed
+with their text as well, so they spread over the slots.  Rows that repeat id and text
+have one hash; a slot that such rows make more than ``FULL`` times as large as the mean
+slot is dealt anew, row by row, so that the shards stay near equal.  Each row gets its own
+place.  A very long text is one row: a slot cannot be smaller than it.  An empty table
+gives an empty result.  Copies of a text need not share a shard.  Other columns of the
+input are ignored.
 """
 
 from __future__ import annotations
@@ -21,10 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import materialise, text_of
+from tidemark.llm.common import materialise, scratch_path, text_of
 
 SLOTS = 4096
 ROW_OVERHEAD = 8
+#: Times the mean bytes of a slot from which its rows are dealt by their row numbers.
+FULL = 4
 
 
 def records(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -35,9 +44,21 @@ def records(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_co
         (F.octet_length(text) + F.lit(ROW_OVERHEAD)).cast("long").alias("size"),
         F.crc32(text).cast("long").alias("text_crc32"),
         F.pmod(F.xxhash64(F.col(id_col), text), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
+def dealt(recs: DataFrame, sizes: list[int], slots: int) -> DataFrame:
+    """``recs`` with the rows of overfull slots over all slots, by row number (a column
+    of the written records, so it is the same in every pass)."""
+    most = FULL * sum(sizes) / slots
+    full = [slot for slot, size in enumerate(sizes) if size > most]  # fewer than slots / FULL
+    if not full:
+        return recs
+    anew = F.pmod(F.xxhash64("row"), F.lit(slots)).cast("int")
+    return recs.withColumn("virtual_slot", F.when(F.col("virtual_slot").isin(full), anew).otherwise(F.col("virtual_slot")))
+
+
 @dataclass
 class SlotMap:
     """One version of the slot-to-shard map.  ``shard_of[s]`` is the shard of slot s."""
@@ -122,14 +143,15 @@ def map_table(spark: SparkSession, slot_map: SlotMap, counts: list[int]) -> Data
 def store_map(spark: SparkSession, slot_map: SlotMap, counts: list[int], folder: str) -> str:
     """Write one version beside the earlier ones: ``folder/version=N``."""
     path = f"{folder.rstrip('/')}/version={slot_map.version}"
-    map_table(spark, slot_map, counts).drop("version").coalesce(1).write.mode("error").parquet(path)
+    rows = map_table(spark, slot_map, counts).drop("version").withColumn("shards", F.lit(slot_map.shards))
+    rows.coalesce(1).write.mode("error").parquet(path)
     return path
 
 
 def load_map(spark: SparkSession, folder: str, version: int) -> SlotMap:
     rows = spark.read.parquet(f"{folder.rstrip('/')}/version={version}").orderBy("virtual_slot").collect()
     shard_of = [r["shard"] for r in rows]
-    return SlotMap(version, max(shard_of) + 1, shard_of)
+    return SlotMap(version, rows[0]["shards"], shard_of)
 
 
 def place(recs: DataFrame, slot_map: SlotMap, counts: list[int]) -> DataFrame:
@@ -143,19 +165,40 @@ def place(recs: DataFrame, slot_map: SlotMap, counts: list[int]) -> DataFrame:
         recs.withColumn("rank", F.row_number().over(in_slot) - 1)
         .join(F.broadcast(mapped), "virtual_slot")
         .withColumn("slot", (F.col("first_place") + F.col("rank")).cast("long"))
-        .drop("rank", "first_place")
+        .drop("rank", "first_place", "row")
     )
 
 
+def latest_version(spark: SparkSession, folder: str) -> int:
+    """The highest version stored in ``folder`` (0: none)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return max((int(n.partition("=")[2]) for n in names if n.startswith("version=")), default=0)
+
+
+def rebalance(spark: SparkSession, folder: str, recs: DataFrame, shards: int, slots: int = SLOTS) -> SlotMap:
+    """Edit the latest stored map for the records' present sizes (and perhaps more
+    shards) and store it as the next version."""
+    sizes, counts = slot_sums(recs, slots)
+    new = edit_map(load_map(spark, folder, latest_version(spark, folder)), sizes, shards)
+    store_map(spark, new, counts, folder)
+    return new
+
+
 def shard_documents(
     docs: DataFrame, shards: int = 24, slots: int = SLOTS, map_folder: str | None = None
 ) -> DataFrame:
-    """All records with their shard under the ``bytes`` law.  With ``map_folder``
-    the map is stored there as version 1.  One job sums the slots; the narrow
+    """All records with their shard under the ``bytes`` law.  The map is stored as
+    version 1 in ``map_folder`` (default: a new folder in the checkpoint folder), and
+    the records are placed by what is read back.  One job sums the slots; the narrow
     records are written once, so the texts are read a single time."""
+    spark = docs.sparkSession
+    map_folder = map_folder or scratch_path(spark, "slot-map")
     recs = materialise(records(docs, slots), "shard-records")
     sizes, counts = slot_sums(recs, slots)
-    slot_map = first_map(sizes, shards)
-    if map_folder:
-        store_map(docs.sparkSession, slot_map, counts, map_folder)
-    return place(recs, slot_map, counts)
+    spread = dealt(recs, sizes, slots)
+    if spread is not recs:
+        sizes, counts = slot_sums(spread, slots)
+    store_map(spark, first_map(sizes, shards), counts, map_folder)
+    return place(spread, load_map(spark, map_folder, 1), counts)
