@@ -214,6 +214,9 @@ def learn_weights(
 
     rows = (
         sample.mapInPandas(hashed, "order long, label int, columns binary, values binary")
+        # an id may be repeated by any number of rows: rows are limited, not only ids
+        .orderBy("order", F.xxhash64("columns", "values"))
+        .limit(max_rows)
         .groupBy(F.lit(0).alias("one"))
         .applyInPandas(trained, "weights binary")
         .collect()
