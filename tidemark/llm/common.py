@@ -27,6 +27,14 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def own_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has (in any case)."""
+    taken, mark = {c.lower() for c in df.columns}, "_"
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def partitions_for(spark: SparkSession, total_bytes: int, per_partition: int) -> int:
     """Number of hash buckets so that one holds about ``per_partition`` bytes;
     at least the session's shuffle partitions, so that every core has work."""

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, materialise, partitions_for, text_of
+from tidemark.llm.common import SPACES, materialise, own_names, partitions_for, text_of
 
 CAPACITY = 100_000
 MAX_DEPTH = 16
@@ -144,16 +144,17 @@ def exact_groups(
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` drops; columns unchanged."""
     groups = exact_groups(docs, id_col, text_col, **options)
+    k_id, k_sha, k_copies, sha = own_names(docs, "k_id", "k_sha", "k_copies", "d_sha")
     stay = groups.filter("kept").select(
-        F.col("doc_id").alias("_k_id"), F.col("text_sha256").alias("_k_sha"), F.col("copies").alias("_k_copies")
+        F.col("doc_id").alias(k_id), F.col("text_sha256").alias(k_sha), F.col("copies").alias(k_copies)
     )
     # coalesced, so that the join adds no null filter that would digest every text twice
-    keyed = docs.withColumn("_d_sha", F.coalesce(F.sha2(normalised(text_col), 256), F.lit("")))
-    same_id = keyed[id_col].cast("long").eqNullSafe(F.col("_k_id"))
-    joined = keyed.join(stay, same_id & (F.col("_d_sha") == F.col("_k_sha")))
-    single = joined.filter("_k_copies = 1").select(*[docs[c] for c in docs.columns])
-    repeats = joined.filter("_k_copies > 1")
-    if stay.filter("_k_copies > 1").isEmpty():
+    keyed = docs.withColumn(sha, F.coalesce(F.sha2(normalised(text_col), 256), F.lit("")))
+    same_id = keyed[id_col].cast("long").eqNullSafe(F.col(k_id))
+    joined = keyed.join(stay, same_id & (F.col(sha) == F.col(k_sha)))
+    single = joined.filter(F.col(k_copies) == 1).select(*[docs[c] for c in docs.columns])
+    repeats = joined.filter(F.col(k_copies) > 1)
+    if stay.filter(F.col(k_copies) > 1).isEmpty():
         return single
-    first = repeats.dropDuplicates(["_k_id", "_k_sha"]).select(*[docs[c] for c in docs.columns])
+    first = repeats.dropDuplicates([k_id, k_sha]).select(*[docs[c] for c in docs.columns])
     return single.unionByName(first)

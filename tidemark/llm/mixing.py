@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import WORD_CLASS, materialise, text_of
+from tidemark.llm.common import WORD_CLASS, materialise, own_names, text_of
 
 SEED = 20240501
 STEP_DIGITS = 3
@@ -200,15 +200,16 @@ def reached_shares(docs: DataFrame, taken: DataFrame, weights: dict[str, dict[st
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that the mixture takes, each as often as it is taken;
     columns unchanged."""
+    k_id, k_h, k_l, k_s, k_n, k_pass, h = own_names(docs, "k_id", "k_h", "k_l", "k_s", "k_n", "k_pass", "d_h")
     taken = mix(docs, id_col=id_col, text_col=text_col, **options).groupBy(
-        F.col("doc_id").alias("_k_id"), F.col("text_hash").alias("_k_h"), F.col("lang").alias("_k_l"), F.col("source").alias("_k_s")
-    ).agg(F.max("copies").alias("_k_n"))
-    keyed = docs.withColumn("_d_h", F.xxhash64(text_of(text_col)))
-    same = keyed[id_col].cast("long").eqNullSafe(F.col("_k_id")) & (F.col("_d_h") == F.col("_k_h"))
+        F.col("doc_id").alias(k_id), F.col("text_hash").alias(k_h), F.col("lang").alias(k_l), F.col("source").alias(k_s)
+    ).agg(F.max("copies").alias(k_n))
+    keyed = docs.withColumn(h, F.xxhash64(text_of(text_col)))
+    same = keyed[id_col].cast("long").eqNullSafe(F.col(k_id)) & (F.col(h) == F.col(k_h))
     # rows equal in both may be of leaves with other numbers of copies
-    for name, key in (("lang", "_k_l"), ("source", "_k_s")):
+    for name, key in (("lang", k_l), ("source", k_s)):
         same = same & (F.coalesce(keyed[name].cast("string"), F.lit(NONE)) == F.col(key))
     joined = keyed.join(taken, same)
     if options.get("max_epochs", MAX_EPOCHS) > 1:
-        joined = joined.withColumn("_k_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k_n"))))
+        joined = joined.withColumn(k_pass, F.explode(F.sequence(F.lit(1).cast("long"), F.col(k_n))))
     return joined.select(*[docs[c] for c in docs.columns])

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, ship_package, text_of
+from tidemark.llm.common import materialise, own_names, ship_package, text_of
 from tidemark.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -205,15 +205,16 @@ def keep_first_of_groups(
     repeat the id and text of the one that stays count as that document: one is
     kept."""
     first = near_groups(docs, words_per_shingle, max_bits, id_col, text_col).filter("first")
+    k_id, k_h, k_n, h = own_names(docs, "k_id", "k_h", "k_n", "d_h")
     stay = materialise(
-        first.groupBy(F.col("doc_id").alias("_k_id"), F.col("text_hash").alias("_k_h")).agg(F.count(F.lit(1)).alias("_k_n")),
+        first.groupBy(F.col("doc_id").alias(k_id), F.col("text_hash").alias(k_h)).agg(F.count(F.lit(1)).alias(k_n)),
         "first-of-groups",
     )
-    keyed = docs.withColumn("_d_h", F.xxhash64(text_of(text_col)))
-    same = keyed[id_col].cast("long").eqNullSafe(F.col("_k_id")) & (F.col("_d_h") == F.col("_k_h"))
+    keyed = docs.withColumn(h, F.xxhash64(text_of(text_col)))
+    same = keyed[id_col].cast("long").eqNullSafe(F.col(k_id)) & (F.col(h) == F.col(k_h))
     joined = keyed.join(stay, same)
-    single = joined.filter("_k_n = 1").select(*[docs[c] for c in docs.columns])
-    if stay.filter("_k_n > 1").isEmpty():
+    single = joined.filter(F.col(k_n) == 1).select(*[docs[c] for c in docs.columns])
+    if stay.filter(F.col(k_n) > 1).isEmpty():
         return single
-    repeats = joined.filter("_k_n > 1").dropDuplicates(["_k_id", "_k_h"]).select(*[docs[c] for c in docs.columns])
+    repeats = joined.filter(F.col(k_n) > 1).dropDuplicates([k_id, k_h]).select(*[docs[c] for c in docs.columns])
     return single.unionByName(repeats)
