@@ -7,8 +7,9 @@ import __spark_entry__ as entry
 from tests.conftest import SF001
 from tests.oracle_compare import compare, duck
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+# the corpus queries have tests of their own
+REGISTRY = entry._registry()
+QUERIES, SQL = REGISTRY.QUERIES, REGISTRY.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -17,8 +18,7 @@ def con():
 
 
 def test_every_query_has_sql_or_is_iterative():
-    corpus = {name for name in QUERIES if name == "pipeline" or name.startswith("op")}
-    assert set(QUERIES) - set(SQL) - corpus == {"comment_kmeans"}
+    assert set(QUERIES) - set(SQL) == {"comment_kmeans"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
