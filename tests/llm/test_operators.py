@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -249,7 +250,13 @@ def test_pii_terms_and_sanitising(spark, docs, none):
     assert pii.find_spans(docs).count() == docs.count() and pii.find_spans(none).count() == 0
 
 
-def test_pii_terms_equal_plain_counts(spark):
+def _least_share(k, n, z=pii.Z):
+    p = k / n
+    return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+@pytest.mark.parametrize("threshold, together", [(pii.THRESHOLD, pii.MIN_TOGETHER), (0.6, 1)])
+def test_pii_terms_equal_plain_counts(spark, threshold, together):
     """An entity of one text, terms far from it, copies that differ in case."""
     rng = random.Random(11)
     words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 4))) for _ in range(400)]
@@ -269,18 +276,51 @@ def test_pii_terms_equal_plain_counts(spark):
     n = len(low)
     passed = {
         (e, w) for (e, w), k in n_ct.items()
-        if math.log2(n * k / (n_c[e] * n_t[w])) >= pii.THRESHOLD * math.log2(n / n_c[e]) - 1e-12
+        if k >= together and math.log2(n * _least_share(k, n_c[e]) / n_t[w]) >= threshold * math.log2(n / n_c[e]) - 1e-12
     }
+    assert passed
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for r in pii.find_spans(df).collect():
+    for r in pii.find_spans(df, threshold=threshold, min_together=together).collect():
         t = texts[r.doc_id] or ""
         want = {w for e in holds[t.lower()] for w in terms[t.lower()] if (e, w) in passed}
         base = [(s.start, s.end) for s in r.base]
         at = {(m.start(), m.end()) for m in re.finditer("[a-z]{3,}", t.lower()) if m[0] in want}
         at = {(a, b) for a, b in at if not any(a < y and x < b for x, y in base)}
         assert {(s.start, s.end) for s in r.spans if s.kind == pii.TERM} == at, r.doc_id
-        if r.doc_id in (0, 200):
-            assert "unheardof" in want
+        if r.doc_id in (0, 200):  # seen with its entity in one text only
+            assert ("unheardof" in want) == (together == 1)
+
+
+def test_pii_terms_beside_base_spans(spark):
+    """Random spans: the terms that overlap no base span, in order."""
+    rng = random.Random(13)
+    rows = []
+    for i in range(60):
+        base = sorted({(a := rng.randint(0, 900), o := rng.randint(0, 3), a + rng.randint(1, 30), pii.KINDS[o], "v") for _ in range(rng.randint(0, 40))})
+        own, at = [], 0
+        while rng.random() < 0.99 and at < 900:
+            at += rng.randint(0, 9)
+            own.append((at, 4, at + rng.randint(3, 9), pii.TERM, "w"))
+            at = own[-1][2]
+        rows.append((i, base, own))
+    df = spark.createDataFrame(rows, f"id int, base array<{pii._SPAN}>, own array<{pii._SPAN}>")
+    got = {r.id: [tuple(s) for s in r.s] for r in df.select("id", pii.with_terms(F.col("base"), F.col("own")).alias("s")).collect()}
+    for i, base, own in rows:
+        free = [t for t in own if not any(t[0] < b[2] and b[0] < t[2] for b in base)]
+        assert got[i] == sorted(base + free)
+
+
+def test_pii_many_spans_in_one_text(spark):
+    """Blocks of matches: positions run on, and the time in proportion."""
+    times = {}
+    for n in (2_000, 5_000, 20_000):
+        text = " ".join(f"user{i}@mail{i % 7}.example.org and" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.perf_counter()
+        (row,) = pii.base_spans(df).select("spans").collect()
+        times[n] = time.perf_counter() - began
+        assert [(s.start, s.end) for s in row.spans] == [m.span() for m in re.finditer(r"\S+@\S+", text)]
+    assert times[20_000] < 10 * times[5_000] + 2
 
 
 def test_byte_bpe_quality_and_pages(spark, docs, rows, none):

@@ -9,25 +9,34 @@ documents of the corpus, reaches the entity's own information content::
     PMI(c; t) = log2(n * n_ct / (n_c * n_t)),   IC(c) = log2(n / n_c)
 
 with n texts in all, n_c that hold the entity, n_t that hold the term, n_ct that
-hold both, anywhere in the text.  In documents that hold c, terms with
-PMI >= ``THRESHOLD`` * IC and n_ct >= ``MIN_TOGETHER`` are spans of kind ``term`` as
-well, wherever they stand outside a base span.  ``sanitise`` replaces base spans by
-their kind (generalised) and terms by nothing (removed).
+hold both, anywhere in the text.  One joint sighting is no evidence: every word of a
+text is seen once with an entity of that text alone.  So the estimate is a lower one:
+n_ct / n_c, the share of the entity's texts that hold the term, is replaced by the
+lower end of its Wilson interval (``Z`` standard errors), and n_ct >= ``MIN_TOGETHER``
+different texts must agree.  In documents that hold c, terms whose lower PMI is at
+least ``THRESHOLD`` * IC are spans of kind ``term`` as well, wherever they stand
+outside a base span.  ``sanitise`` replaces base spans by their kind (generalised) and
+terms by nothing (removed).
 
 All counts run over the distinct lower-cased texts, so copies of a document are no
-evidence.  As n_ct <= n_c, a term can only pass if
+evidence.  As n_ct <= n_c, a term can only pass if n_c >= ``MIN_TOGETHER`` and
 n_t <= n_c * (n / n_c) ** (1 - ``THRESHOLD``): terms are joined with their n_t first
 and those above the bound make no pairs.  Counts are pre-aggregated before each
 shuffle.
 
+Positions are running sums over the matches of a text, taken in blocks of ``BLOCK``
+matches, so that the work grows in proportion to them.
+
 Defined results: a null text is empty and has no spans (the digest is that of the
 empty string); rows with equal ids or texts have equal spans each; a span of one
-kind may overlap one of another; positions are code points, ends exclusive; an
-empty table gives an empty result; other columns are ignored.
+kind may overlap one of another; positions are code points, ends exclusive; very long
+texts are searched whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +44,13 @@ from tidemark.llm.common import materialise, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-MIN_TOGETHER = 1
+MIN_TOGETHER = 2
+#: Standard errors of the lower end: its lower quartile.
+Z = 0.6745
 THRESHOLD = 0.9
+#: Matches of a text that are folded in one go; longer lists are folded block by block.
+BLOCK = 256
+_SPAN = "struct<start:int,order:int,end:int,kind:string,value:string>"
 
 # The patterns find what the stated ones find, leftmost and without overlap, in
 # linear time: runs start where the character before is not of the run, or where
@@ -75,27 +89,78 @@ def _valid(kind: str, value: Column) -> Column:
     return F.length(digits).between(12, 19) & _luhn(digits)
 
 
+def scan(items: Column, zero: Column, item_type: str, carry: Callable, emit: Callable) -> Column:
+    """``emit(state, item)`` of every item, where the state starts at ``zero`` and
+    becomes ``carry(state, item)`` after it.  A fold that appends copies what it has
+    gathered with each item; here only the ``BLOCK`` items of a block are copied so, and
+    the list of blocks once a block."""
+    empty = F.array().cast(f"array<{item_type}>")
+
+    def step(state: Column, item: Column) -> Column:
+        out = F.concat(state["out"], F.array(emit(state["at"], item)))
+        return F.struct(carry(state["at"], item).alias("at"), out.alias("out"))
+
+    def block(state: Column, number: Column) -> Column:
+        return F.aggregate(
+            F.slice(items, number * BLOCK + 1, BLOCK),
+            F.struct(state["at"].alias("at"), empty.alias("out")),
+            step,
+            lambda done: F.struct(done["at"].alias("at"), F.concat(state["blocks"], F.array(done["out"])).alias("blocks")),
+        )
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+    start = F.struct(zero.alias("at"), F.array().cast(f"array<array<{item_type}>>").alias("blocks"))
+    folded = F.aggregate(blocks, start, block, lambda state: F.flatten(state["blocks"]))
+    return F.when(F.size(items) > 0, folded).otherwise(empty)
+
+
 def match_spans(text: Column, pattern: Column, kind: str, order: int) -> Column:
     """(start, order, end, kind, value) of every match: the pieces between the
     matches and the matches themselves give the positions."""
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     pieces = F.transform(F.split(text, pattern, -1), F.length)
-    empty = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,value:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
+    pairs = F.zip_with(
+        found, F.slice(pieces, 1, F.size(found)),
+        lambda v, n: F.struct(v.alias("value"), F.coalesce(n, F.lit(0)).alias("before"), F.length(v).alias("length")),
+    )
+
+    def span(at: Column, pair: Column) -> Column:
+        start = at + pair["before"]
+        return F.struct(
+            start.alias("start"), F.lit(order).alias("order"), (start + pair["length"]).alias("end"),
+            F.lit(kind).alias("kind"), pair["value"].alias("value"),
+        )
 
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.coalesce(pair["before"], F.lit(0))
-        end = begin + F.length(pair["value"])
-        span = F.struct(begin.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(kind).alias("kind"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+    return F.transform(F.array(pairs), lambda ps: scan(ps, F.lit(0), _SPAN, lambda at, p: at + p["before"] + p["length"], span))[0]
 
-    pairs = F.zip_with(found, F.slice(pieces, 1, F.size(found)), lambda v, n: F.struct(v.alias("value"), n.alias("before")))
-    return F.aggregate(pairs, start, step, lambda state: state["spans"])
+
+def with_terms(base: Column, own: Column) -> Column:
+    """Base spans and those term spans that overlap none, by start and kind.  Term
+    spans of a text don't overlap each other: of the spans that start inside a term
+    the next in order is one, and of those before it the largest end tells."""
+    ordered = F.array_sort(F.concat(base, own))
+    items = F.zip_with(ordered, F.slice(ordered, 2, F.size(ordered)), lambda s, n: F.struct(s.alias("span"), n.alias("next")))
+    is_term = lambda s: s["kind"] == TERM
+
+    def judged(end: Column, item: Column) -> Column:
+        free = (end <= item["span"]["start"]) & F.coalesce(
+            is_term(item["next"]) | (item["next"]["start"] >= item["span"]["end"]), F.lit(True)
+        )
+        return F.struct(item["span"].alias("span"), (~is_term(item["span"]) | free).alias("stays"))
+
+    def carry(end: Column, item: Column) -> Column:
+        return F.when(is_term(item["span"]), end).otherwise(F.greatest(end, item["span"]["end"]))
+
+    def both(pairs: Column) -> Column:
+        out = scan(pairs, F.lit(0), f"struct<span:{_SPAN},stays:boolean>", carry, judged)
+        return F.transform(F.filter(out, lambda x: x["stays"]), lambda x: x["span"])
+
+    return F.transform(F.array(items), both)[0]
 
 
 def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``spans``: the base spans by start, then kind in the order listed."""
-    empty = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,value:string>>")
+    empty = F.array().cast(f"array<{_SPAN}>")
     text = F.col(text_col)
     for order, kind in enumerate(KINDS):
         hint = F.contains(text, F.lit(HINTS[kind])) if kind == "email" else text.rlike(HINTS[kind])
@@ -126,11 +191,19 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM_PATTERN), F.lit(0)))
 
 
+def _least_share(together: Column, entity_texts: Column, z: float) -> Column:
+    """The lower end of Wilson's interval for ``together`` of ``entity_texts``."""
+    n = entity_texts.cast("double")
+    p = together / n
+    spread = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))
+    return (p + z * z / (2 * n) - spread) / (1 + z * z / n)
+
+
 def disclosing_terms(
-    docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD, min_together: int = MIN_TOGETHER
+    docs: DataFrame, rows: DataFrame, threshold: float = THRESHOLD, min_together: int = MIN_TOGETHER, z: float = Z
 ) -> DataFrame:
     """(low, entity, term, together, entity_texts, term_texts, share): for every
-    distinct text the terms in it whose PMI with an entity in it is at least
+    distinct text the terms in it whose lower PMI with an entity in it is at least
     ``threshold`` of the entity's information content.  ``rows`` has low (digest of
     the lower-cased text), entities and, where there are any, text."""
     texts = rows.select("low").distinct().count()
@@ -151,7 +224,7 @@ def disclosing_terms(
     counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("term_texts"))
     counted = materialise(counted.filter(F.col("term_texts") <= bound(F.lit(most))), "pii-term-texts")
     own = held.groupBy("low").agg(F.first(F.lower("text")).alias("t")).select("low", F.explode(_terms(F.col("t"))).alias("term"))
-    of_texts = materialise(entities.join(entity_texts, "entity"), "pii-held")
+    of_texts = materialise(entities.join(entity_texts.filter(F.col("entity_texts") >= min_together), "entity"), "pii-held")
     # of the terms of a text, those rare enough for an entity in it
     pairs = materialise(
         materialise(own.join(counted, "term"), "pii-rare")
@@ -159,7 +232,7 @@ def disclosing_terms(
         .filter(F.col("term_texts") <= bound(F.col("entity_texts"))),
         "pii-pairs",
     )
-    pmi = log(F.lit(texts)) + log(F.col("together")) - log(F.col("entity_texts")) - log(F.col("term_texts"))
+    pmi = log(F.lit(texts)) + log(_least_share(F.col("together"), F.col("entity_texts"), z)) - log(F.col("term_texts"))
     passed = materialise(
         pairs.groupBy("entity", "term", "entity_texts", "term_texts")
         .agg(F.count(F.lit(1)).alias("together"))
@@ -178,6 +251,7 @@ def find_spans(
     text_col: str = "text",
     threshold: float = THRESHOLD,
     min_together: int = MIN_TOGETHER,
+    z: float = Z,
 ) -> DataFrame:
     """doc_id, text_hash, base (array of base spans), spans (with the term spans)
     of every row."""
@@ -191,18 +265,15 @@ def find_spans(
         ),
         "pii-base",
     )
-    found = disclosing_terms(plain.select("text"), rows, threshold, min_together)
+    found = disclosing_terms(plain.select("text"), rows, threshold, min_together, z)
     flagged = materialise(found.groupBy("low").agg(F.collect_set("term").alias("terms")), "pii-flagged")
     # a text without an entity has no terms to remove
     none = rows.filter(F.size("entities") == 0).select("doc_id", "text_hash", "base", F.col("base").alias("spans"))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
     own = F.when(F.col("terms").isNotNull(), match_spans(F.col("text"), pattern, TERM, len(KINDS)))
     marked = rows.filter(F.size("entities") > 0).join(flagged, "low", "left").withColumn("own", own)
-    added = F.filter(
-        F.coalesce("own", F.slice("base", 1, 0)),
-        lambda t: ~F.exists("base", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])),
-    )
-    return none.unionByName(marked.select("doc_id", "text_hash", "base", F.array_sort(F.concat("base", added)).alias("spans")))
+    spans = with_terms(F.col("base"), F.coalesce("own", F.slice("base", 1, 0)))
+    return none.unionByName(marked.select("doc_id", "text_hash", "base", spans.alias("spans")))
 
 
 def sanitise(text: Column, spans: Column) -> Column:
