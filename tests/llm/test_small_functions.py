@@ -147,12 +147,41 @@ def test_quality_learns_held_out_rows():
     assert 0 <= quality.score_text("", weights) <= 1
 
 
-def test_features_of_pieces(monkeypatch):
-    text = "some words and some more " * 40
-    monkeypatch.setattr(quality, "PIECE", 100)
-    assert "".join(quality.pieces(text, 100)) == text
-    columns, values = quality.features(text)
-    assert len(columns) and np.isclose((values**2).sum(), 1)
+def test_features_of_blocks_are_those_of_the_whole_text(monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["a", "a", "B", "cd,", "!!", "Ef", "9"]) for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    texts += ["x" * 400 + " end", "", "?" * 300]
+    whole = [quality.features(t) for t in texts]
+    monkeypatch.setattr(quality, "PIECE", 3)
+    for size in (1, 2, 3, 7):  # blocks shorter than what is carried, too
+        monkeypatch.setattr(quality, "BLOCK", size)
+        for text, (columns, values) in zip(texts, whole):
+            got = quality.features(text)
+            assert np.array_equal(got[0], columns) and np.allclose(got[1], values, atol=0)
+
+
+def test_training_equals_plain_updates():
+    """Follow the regularised leader, spelt out by coordinate."""
+    rng = random.Random(12)
+    rows = [(i, np.array(sorted(rng.sample(range(16), 4))), np.array([rng.random() for _ in range(4)]), rng.randint(0, 1)) for i in range(40)]
+    alpha, beta, l1, l2, z, n = 0.5, 1.0, 0.02, 0.1, [0.0] * 17, [0.0] * 17
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - (l1 if z[i] > 0 else -l1)) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for epoch in range(2):
+        for r in np.random.default_rng(epoch).permutation(len(rows)):
+            _, columns, values, label = rows[r]
+            x = dict(zip(columns.tolist(), values.tolist())) | {16: 1.0}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - label) * v
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha
+                z[i], n[i] = z[i] + g - sigma * w[i], n[i] + g * g
+    assert np.allclose(quality.train(rows, 4, 2), [weight(i) for i in range(17)])
 
 
 def test_slot_map_edits():

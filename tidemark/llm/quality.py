@@ -10,7 +10,8 @@ product with the weights.
 Training uses at most ``max_rows`` labelled texts (those whose id hashes
 smallest), hashed by Spark tasks; one task then runs the updates over that bounded
 set.  Only the weights (``2 ** bits`` numbers) are broadcast.  Scoring reads every
-whole text, in pieces of bounded size.
+whole text; the tokens of a very long one are hashed in blocks, and the last tokens of
+a block are carried into the next, so no n-gram is lost at a border.
 
 Defined results: a null text is empty, and an empty text scores by the bias alone;
 labels that are null, or whose id is null or absent, are not learned from; labels
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,11 @@ BITS = 18
 #: Bound of the training sample.
 MAX_ROWS = 6_000
 EPOCHS = 3
+#: Texts of more characters are hashed in blocks of ``BLOCK`` tokens.
 PIECE = 1 << 18
+BLOCK = 1 << 16
+#: Tokens carried over: a shape trigram reaches back two, a repeat one more.
+CARRIED = 3
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,45 +101,41 @@ class Vocabulary(dict):
 _SEEN = Vocabulary()
 
 
-def _columns(text: str, bits: int) -> np.ndarray:
-    """Column numbers of all n-grams of a piece of text, repeats included."""
-    tokens = _TOKEN.findall(text)
-    if not tokens:
+def _columns(tokens: list[str], bits: int, carried: int = 0) -> np.ndarray:
+    """Column numbers of all n-grams that end after the first ``carried`` tokens,
+    repeats included."""
+    if len(tokens) <= carried:
         return np.empty(0, np.int32)
     word, shape = _SEEN.of(tokens)
     shape[1:][word[1:] == word[:-1]] = np.uint64(12345)  # the word before, again
     grams = [
-        word,
-        (word[:-1] * _MULT) ^ (word[1:] + _MULT),
-        (shape[:-1] * _MULT) ^ (shape[1:] + np.uint64(1)),
-        ((shape[:-2] * _MULT) ^ shape[1:-1]) * _MULT ^ (shape[2:] + np.uint64(2)),
+        word[carried:],
+        ((word[:-1] * _MULT) ^ (word[1:] + _MULT))[max(carried - 1, 0) :],
+        ((shape[:-1] * _MULT) ^ (shape[1:] + np.uint64(1)))[max(carried - 1, 0) :],
+        (((shape[:-2] * _MULT) ^ shape[1:-1]) * _MULT ^ (shape[2:] + np.uint64(2)))[max(carried - 2, 0) :],
     ]
     mixed = np.concatenate([g * np.uint64(2 * i + 3) for i, g in enumerate(grams)])
     mixed = (mixed ^ (mixed >> np.uint64(29))) * _MULT
     return (mixed >> np.uint64(64 - bits)).astype(np.int32)
 
 
-def pieces(text: str, size: int = PIECE) -> Iterator[str]:
-    """A text in pieces of about ``size`` characters, cut at white space where
-    there is some; n-grams do not cross a cut."""
-    start = 0
-    while start < len(text):
-        end = start + size
-        if end < len(text):
-            cut = max(text.rfind(" ", start, end), text.rfind("\n", start, end))
-            end = cut + 1 if cut > start else end
-        yield text[start:end]
-        start = end
+def token_blocks(text: str, size: int) -> Iterator[tuple[list[str], int]]:
+    """The tokens of a text in blocks of ``size``, each led by up to ``CARRIED``
+    tokens of the blocks before it; with the number of those."""
+    found, carried = _TOKEN.finditer(text), []
+    while block := [m.group() for m in islice(found, size)]:
+        yield carried + block, len(carried)
+        carried = (carried + block)[-CARRIED:]
 
 
 def features(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct columns of a whole text and their values (unit length)."""
     if len(text) <= PIECE:
-        columns, counts = np.unique(_columns(text, bits), return_counts=True)
+        columns, counts = np.unique(_columns(_TOKEN.findall(text), bits), return_counts=True)
     else:
         total = np.zeros(1 << bits, np.int64)
-        for piece in pieces(text):
-            total += np.bincount(_columns(piece, bits), minlength=1 << bits)
+        for tokens, carried in token_blocks(text, BLOCK):
+            total += np.bincount(_columns(tokens, bits, carried), minlength=1 << bits)
         columns = np.flatnonzero(total)
         counts = total[columns]
     values = np.log1p(counts)
