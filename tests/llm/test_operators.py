@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import struct
 import time
 
 import pytest
@@ -166,6 +167,72 @@ def test_winnowing_keeps_rightmost_minimum_per_window(spark):
         assert r.kept == want
 
 
+def _chained(values):
+    import xxhash
+
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(struct.pack("<Q", v), seed)
+    return seed
+
+
+def _plain_kept(text, k=4, w=8):
+    """(hash, position) of every kept gram, by the definition."""
+    import xxhash
+
+    words = [xxhash.xxh64_intdigest(x.encode(), 42) for x in re.split(r"[\x20\x09-\x0D]+", text) if x]
+    if len(words) < k:
+        grams = [_chained(words)] if words else []
+    else:
+        pairs = [_chained(words[i : i + 2]) for i in range(len(words) - 1)]
+        grams = [_chained([pairs[i], pairs[i + 2]]) for i in range(len(words) - 3)]
+    grams = [g >> 31 for g in grams]
+    windows = range(max(1, len(grams) - w + 1)) if grams else []
+    return {(min(grams[i : i + w]), max(p for p in range(i, min(i + w, len(grams))) if grams[p] == min(grams[i : i + w]))) for i in windows}
+
+
+def test_winnowing_likeness_equals_plain_sets(spark):
+    rng = random.Random(21)
+    base = [rng.choice(["red", "blue", "é", "green", "12"]) + str(rng.randint(0, 9)) for _ in range(300)]
+    texts = ["", None, "one", "two words", " \t\n"]
+    for _ in range(40):
+        a = rng.randint(0, 250)
+        texts.append(rng.choice([" ", "  ", "\n"]).join(base[a : a + rng.randint(0, 90)]) + rng.choice(["", " tail", " 😀"]))
+    texts += [texts[7], texts[7]]
+    got = {r.doc_id: r for r in winnowing.edited_likeness(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+
+    def dice(x, y):
+        return 2 * len(x & y) / (len(x) + len(y)) if x or y else 1.0
+
+    for i, text in enumerate(texts):
+        text, after = text or "", texts[(i + 1) % len(texts)] or ""
+        half = len(text) // 2
+        own, edited, other = ({h for h, _ in _plain_kept(t)} for t in (text, text[: len(text) - half] + after[:half], after))
+        assert (got[i].near_edited, got[i].near_next) == (pytest.approx(dice(own, edited)), pytest.approx(dice(own, other)))
+        for found, grams in ((got[i].fingerprint, own), (got[i].edited_fingerprint, edited)):
+            assert found == hashlib.sha256(",".join(map(str, sorted(grams))).encode()).hexdigest()
+
+
+def test_winnowing_guarantees_a_match_at_its_place(spark):
+    """k + w - 1 equal words in two texts share a kept gram, at places of that run."""
+    rng = random.Random(22)
+    run = winnowing.K + winnowing.W - 1
+    pairs, places = [], []
+    for i in range(60):
+        shared = [rng.choice("abc") + str(rng.randint(0, 3)) for _ in range(run)]
+        lead = [[f"l{side}x{rng.randint(0, 99)}" for _ in range(rng.randint(0, 20))] for side in (0, 1)]
+        tail = [[f"t{side}x{rng.randint(0, 99)}" for _ in range(rng.randint(0, 20))] for side in (0, 1)]
+        pairs += [(2 * i + s, " ".join(lead[s] + shared + tail[s])) for s in (0, 1)]
+        places.append((len(lead[0]), len(lead[1])))
+    kept = winnowing.fingerprint(spark.createDataFrame(pairs, "id int, text string"), "text", "kept").select(
+        "id", F.transform("kept", lambda x: F.struct(winnowing.gram_hash(x), winnowing.gram_position(x))).alias("kept")
+    )
+    grams = {r.id: {tuple(x) for x in r.kept} for r in kept.collect()}
+    assert all(grams[i] == _plain_kept(t) for i, t in pairs)
+    for i, (x, y) in enumerate(places):
+        assert any((h, p - x + y) in grams[2 * i + 1] for h, p in grams[2 * i] if x <= p <= x + run - winnowing.K)
+
+
 def test_successors(spark):
     values = [3, 7, 8, 9000, 9001, 20_000_000, 5 * 10**15, -5, -70_000]
     got = dict(winnowing.successors(spark.createDataFrame([(v,) for v in values], "v long")).collect())
