@@ -2,34 +2,41 @@
 
 1. *Entries*: one narrow row per document (64-bit hash of the normalised text,
    length, digest), written to the shared folder.
-2. *Directory*: entries are counted per hash prefix.  Starting from one bucket,
-   a bucket with more than ``capacity`` entries is split on its next bit and the
-   directory doubles; a bucket that holds a single hash value, or has reached
-   ``max_depth`` bits, chains instead.  The directory has at most
-   ``2 ** max_depth`` rows whatever the corpus holds.
-3. *Records*: every text is put to its bucket and grouped by (bucket, hash,
-   bytes): partial aggregation collapses copies before the shuffle, and the
-   grouping compares the bytes of texts whose hashes agree.  Texts that share a
-   hash form a chain.  The records are written in key ranges, one owner task per
-   range.
+2. *Directory*: distinct hashes are counted per hash prefix.  Starting from one
+   bucket, a bucket with more than ``capacity`` of them is split on its next bit,
+   for which the directory doubles where it must; a bucket at the last bit chains
+   instead.  The directory has at most ``2 ** max_depth`` slots whatever the corpus
+   holds: beyond that the capacity grows.  Each bucket belongs to one owner, and an
+   owner has all buckets of one key range.
+3. *Records*: the directory sends every text to the owner of its bucket, where the
+   texts of a bucket that share a hash form a chain and are told apart by their
+   bytes.  Texts of a crowded bucket (more than twice ``capacity`` rows, so copies
+   or a long chain) are first collapsed where they are read, so a group of copies
+   of any size reaches its owner as few rows.  Each owner writes its records as
+   one file, sorted by hash.
 4. Each entry takes the record of its hash; entries whose hash has a chain of
-   several texts are settled by their bytes.
+   several texts are settled by their digest, unique among the records.
 
 Defined results: a null text is empty; all texts without other characters than
 white space are equal (the empty text); ties in length go to the smallest doc_id,
 a null doc_id comes after all others; of rows that repeat an id and text, one
-stays; an empty table gives an empty result; other columns are ignored.
+stays; a long text is compared whole, as one value; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACES, materialise, own_names, partitions_for, text_of
 
-CAPACITY = 100_000
-MAX_DEPTH = 16
+#: Distinct hashes of a bucket.
+CAPACITY = 512
+MAX_DEPTH = 20
+#: Characters of text per owner.
+OWNED = 64 << 20
 
 
 def normalised(column: str = "text") -> Column:
@@ -54,33 +61,52 @@ def _prefix(h: Column, depth: int, hash_bits: int) -> Column:
     return F.shiftrightunsigned(h, hash_bits - depth)
 
 
-def directory(entries: DataFrame, capacity: int, max_depth: int, hash_bits: int) -> DataFrame:
-    """(slot, bucket, local_depth) for every slot of the deepest level, built by
-    doubling: a bucket splits while it is overfull and holds several hashes."""
-    max_depth = min(max_depth, hash_bits)
+def directory(entries: DataFrame, owners: int, capacity: int, max_depth: int, hash_bits: int) -> tuple[DataFrame, int]:
+    """The directory and its depth in bits: slot, bucket, local_depth, n_keys, n_rows,
+    crowded, owner.  A bucket is named by the first ``local_depth`` bits of its hashes:
+    the fewest at which it holds no more than ``capacity`` distinct ones."""
+    loads = materialise(entries.groupBy("h").agg(F.sum("copies").alias("n_rows")), "hash-loads")
+    keys = loads.count()
+    capacity = max(capacity, -(-4 * keys // 2**max_depth))
+    # some bits more than even splits need, as prefixes fill unevenly
+    depth = min(max_depth, hash_bits, math.ceil(math.log2(max(1.0, keys / capacity))) + 4)
     slots = materialise(
-        entries.groupBy(_prefix(F.col("h"), max_depth, hash_bits).alias("slot")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")
+        loads.groupBy(_prefix(F.col("h"), depth, hash_bits).alias("slot")).agg(
+            F.count(F.lit(1)).alias("n_keys"), F.sum("n_rows").alias("n_rows")
         ),
         "hash-slots",
     )
-    depth, settled, open_slots = 0, None, slots
-    while True:
-        bucket = F.shiftrightunsigned("slot", max_depth - depth) if depth < max_depth else F.col("slot")
-        load = open_slots.groupBy(bucket.alias("bucket")).agg(
-            F.sum("n").alias("rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
-        )
-        overfull = (F.col("rows") > capacity) & (F.col("lo") != F.col("hi")) if depth < max_depth else F.lit(False)
-        marked = materialise(
-            open_slots.withColumn("bucket", bucket).join(load.select("bucket", overfull.alias("split")), "bucket"),
-            "hash-directory",
-        )
-        done = marked.filter(~F.col("split")).select("slot", "bucket", F.lit(depth).alias("local_depth"))
-        settled = done if settled is None else settled.unionByName(done)
-        rest = marked.filter("split").select("slot", "n", "lo", "hi")
-        if rest.isEmpty():
-            return settled
-        depth, open_slots = depth + 1, rest
+    # every slot's bucket at every depth, and what it would hold there
+    levels = slots.withColumn("local_depth", F.explode(F.sequence(F.lit(0), F.lit(depth)))).withColumn(
+        "bucket", F.expr(f"shiftright(slot, {depth} - local_depth)")
+    )
+    held = levels.groupBy("local_depth", "bucket").agg(F.sum("n_keys").alias("n_keys"), F.sum("n_rows").alias("n_rows"))
+    stops = held.filter((F.col("n_keys") <= capacity) | (F.col("local_depth") == depth))
+    first = F.min(F.struct("local_depth", "bucket", "n_keys", "n_rows")).alias("b")
+    settled = levels.select("slot", "local_depth", "bucket").join(stops, ["local_depth", "bucket"]).groupBy("slot").agg(first)
+    start = F.expr(f"shiftleft(b.bucket, {depth} - b.local_depth)")
+    owned = settled.select(
+        "slot", "b.bucket", "b.local_depth", "b.n_keys", "b.n_rows",
+        (F.col("b.n_rows") > 2 * capacity).alias("crowded"),
+        F.shiftright(start * F.lit(owners).cast("long"), depth).cast("int").alias("owner"),
+    )
+    return materialise(owned, "hash-index-directory"), depth
+
+
+def at_owners(texts: DataFrame, slots: DataFrame, depth: int, hash_bits: int, owners: int) -> DataFrame:
+    """One row per distinct text, in the partition of its owner: h, norm, owner, bucket,
+    local_depth, best, group_size."""
+    # at most 2 ** max_depth rows of five numbers
+    lookup = F.broadcast(slots.select(F.col("slot").alias("dir_slot"), "bucket", "local_depth", "crowded", "owner"))
+    best = F.struct((-F.col("n_chars")).alias("m"), F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"))
+    placed = texts.withColumn("dir_slot", _prefix(F.col("h"), depth, hash_bits)).join(lookup, "dir_slot")
+    placed = placed.select("h", "norm", "owner", "bucket", "local_depth", "crowded", best.alias("best"), F.lit(1).cast("long").alias("n"))
+    key = ["h", "norm", "owner", "bucket", "local_depth"]
+    collapse = F.min("best").alias("best"), F.sum("n").alias("n")
+    crowded = placed.filter("crowded").groupBy(*key).agg(*collapse)
+    sent = placed.filter("NOT crowded").drop("crowded").unionByName(crowded)
+    chains = sent.repartitionById(owners, "owner").groupBy(*key).agg(*collapse)
+    return chains.withColumnRenamed("n", "group_size")
 
 
 def exact_groups(
@@ -92,7 +118,7 @@ def exact_groups(
     hash_bits: int = 64,
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, h,
-    n_chars, bucket, local_depth, copies.  ``copies`` numbers the rows that repeat
+    n_chars, bucket, local_depth, owner, copies.  ``copies`` numbers the rows that repeat
     the id and text of a row; they are counted once each."""
     spark = docs.sparkSession
     texts = _texts(docs, id_col, text_col, hash_bits)
@@ -102,25 +128,14 @@ def exact_groups(
         .agg(F.count(F.lit(1)).alias("copies")),
         "hash-entries",
     )
-    max_depth = min(max_depth, hash_bits)
-    slots = materialise(directory(entries, capacity, max_depth, hash_bits), "hash-index-directory")
-    # at most 2 ** max_depth rows of three numbers
-    lookup = F.broadcast(slots.withColumnRenamed("slot", "dir_slot"))
-
-    # owner tasks: bytes decide, copies collapse before the shuffle
-    best = F.struct((-F.col("n_chars")).alias("m"), F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"))
-    grouped = texts.groupBy("h", "norm").agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    owners = partitions_for(spark, 0, 1)
+    owners = partitions_for(spark, entries.agg(F.sum(F.col("n_chars") * F.col("copies"))).head()[0], OWNED)
+    slots, depth = directory(entries, owners, capacity, max_depth, hash_bits)
     records = materialise(
-        grouped.withColumn("text_sha256", F.sha2("norm", 256))
-        .drop("norm")
-        .withColumn("dir_slot", _prefix(F.col("h"), max_depth, hash_bits))
-        .join(lookup, "dir_slot")
+        at_owners(texts, slots, depth, hash_bits, owners)
         .select(
-            "bucket", "local_depth", "h", "text_sha256", "group_size",
+            "bucket", "local_depth", "owner", "h", F.sha2("norm", 256).alias("text_sha256"), "group_size",
             F.col("best.d").alias("keep_id"), (-F.col("best.m")).alias("keep_chars"),
         )
-        .repartitionByRange(owners, "h")
         .sortWithinPartitions("h"),
         "hash-index-records",
     )
@@ -137,7 +152,7 @@ def exact_groups(
     kept = (F.col("copy") == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))
     return each.select(
         "doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", "h", "n_chars",
-        "bucket", "local_depth", "copies",
+        "bucket", "local_depth", "owner", "copies",
     )
 
 
