@@ -145,6 +145,10 @@ def test_winnowing(spark, none):
         assert got[d].edited_sha256 == hashlib.sha256((t[: len(t) - half] + nxt[:half]).encode()).hexdigest()
         assert 0 <= got[d].near_edited <= 1 and 0 <= got[d].near_next <= 1
         assert (got[d].near_edited == 1) == (got[d].fingerprint == got[d].edited_fingerprint)
+        grams, at = max(len(t.split()) - winnowing.K + 1, bool(t.split())), got[d].positions
+        assert at == sorted(set(at)) and set(at) <= set(range(grams))
+        # every window of grams has one
+        assert all(any(i <= p < i + winnowing.W for p in at) for i in range(max(grams - winnowing.W + 1, bool(grams))))
     edge = spark.createDataFrame([(1, None), (None, "a b"), (None, None), (2, "a b c d e f g h i j k l m"), (2, "x")], "doc_id long, text string")
     assert winnowing.edited_likeness(edge).count() == 5 and winnowing.edited_likeness(none).count() == 0
 

@@ -77,6 +77,12 @@ def gram_position(kept: Column) -> Column:
     return F.lit(_LAST) - kept.bitwiseAND(F.lit(_LAST))
 
 
+def positions(kept: Column) -> Column:
+    """The places of a fingerprint's grams, ascending: no ``w`` successive grams
+    are without one of them."""
+    return F.transform(kept, lambda x: gram_position(x).cast("int"))
+
+
 def gram_set(kept: Column) -> Column:
     """The distinct hashes of a fingerprint."""
     return F.array_distinct(F.transform(kept, gram_hash))
@@ -117,7 +123,7 @@ def successors(values: DataFrame, fan: int = 4096) -> DataFrame:
     )
 
 
-RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "positions"]
 
 
 def _measured(pairs: DataFrame, keep: list[str], k: int, w: int) -> DataFrame:
@@ -127,7 +133,10 @@ def _measured(pairs: DataFrame, keep: list[str], k: int, w: int) -> DataFrame:
     own_part = F.left("text", F.col("n_chars").cast("int") - half)
     pairs = pairs.withColumn("edited", F.concat(own_part, F.left("next_text", half)))
     for text, grams in (("text", "own_g"), ("next_text", "next_g"), ("edited", "edited_g")):
-        pairs = fingerprint(pairs, text, "kept", k, w).withColumn(grams, gram_set(F.col("kept"))).drop("kept")
+        pairs = fingerprint(pairs, text, "kept", k, w).withColumn(grams, gram_set(F.col("kept")))
+        if text == "text":
+            pairs = pairs.withColumn("positions", positions(F.col("kept")))
+        pairs = pairs.drop("kept")
     return pairs.select(
         "doc_id",
         "n_chars",
@@ -136,6 +145,7 @@ def _measured(pairs: DataFrame, keep: list[str], k: int, w: int) -> DataFrame:
         digest(F.col("edited_g")).alias("edited_fingerprint"),
         likeness(F.col("own_g"), F.col("edited_g")).alias("near_edited"),
         likeness(F.col("own_g"), F.col("next_g")).alias("near_next"),
+        "positions",
         *keep,
     )
 
@@ -150,7 +160,9 @@ def edited_likeness(
     Rows meet in blocks of consecutive ids, so the texts are shuffled once and no
     window is longer than a block (a block of which the ids leave holes is short,
     never lost).  The last row of a block waits, with its text, for the first one
-    of the next block that there is."""
+    of the next block that there is.
+
+    ``positions`` holds the places of the text's kept grams."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     null_block = (1 << 62) // block
     at = F.floor(F.col("doc_id") / F.lit(block).cast("decimal(20,0)")).cast("long")
