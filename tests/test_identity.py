@@ -186,6 +186,43 @@ def test_stream_batch_retry_is_idempotent(spark):
     assert [r[:3] for r in once] == [r[:3] for r in batch]
 
 
+def test_stream_batch_that_died_halfway_is_finished(spark, monkeypatch):
+    import pytest
+
+    from tidemark.operators.master import Master
+    from tidemark.streaming import daily_identity
+
+    ev = _events(spark)
+    root = tempfile.mkdtemp(prefix="tidemark-test-")
+    fold = daily_identity.batch_folder(root, AS_OF)
+    commit = Master.commit
+
+    def dies_on_the_second_day(self, day, last):
+        if day == D2:
+            raise RuntimeError("driver lost between append and commit")
+        return commit(self, day, last)
+
+    with monkeypatch.context() as m:
+        m.setattr(Master, "commit", dies_on_the_second_day)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            fold(ev, 0)
+    kept = I.open_master(spark, root)
+    assert kept.mark() == D1 and kept.rows().filter(F.col("value") == "u12").count() == 0
+    fold(ev, 0)
+    batch = sorted(map(tuple, I.run_days(ev, D1, D2, AS_OF).select(*I.MASTER_COLUMNS).collect()))
+    assert sorted(map(tuple, daily_identity.read_master(spark, root).collect())) == batch
+    # a late day is refused, and the batch loop goes on where the stream stopped
+    with pytest.raises(ValueError, match="folded up to"):
+        fold(ev.filter(F.col("event_date") == D1), 1)
+    fold(ev.filter("event_date IS NULL"), 2)
+    assert I.advance_master(ev, kept, AS_OF) is None
+    d3 = D2 + dt.timedelta(days=1)
+    more = spark.createDataFrame([(d3, 20, "view", "u20", "c1", "", P)], SCHEMA)
+    assert I.advance_master(ev.unionByName(more), kept, AS_OF) == (d3, d3)
+    known = {r.value: r.super_id for r in kept.rows().collect()}
+    assert known["u20"] == known["c1"]
+
+
 def test_day_loop_removes_its_intermediates(spark):
     from tidemark.session import checkpoint_dir
 

@@ -18,11 +18,12 @@ def test_csv_skip_bad_lines_and_melt(spark):
     with open(p, "w") as fh:
         fh.write('a,b,c\n1,2,3\n4,5\n6,7,8,9\n10,11,12\n"q,r",2,3\n')
     schema = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
-    df = io.read_csv_skip_bad_lines(spark, p, schema)
-    assert sorted(tuple(r) for r in df.collect()) == sorted(
-        [("1", "2", "3"), ("4", "5", None), ("10", "11", "12"), ("q,r", "2", "3")]
-    )
-    assert df.select("a").count() == 4  # pruned reads drop the long row too
+    for multi_line in (True, False):
+        df = io.read_csv_skip_bad_lines(spark, p, schema, multi_line=multi_line)
+        assert sorted(tuple(r) for r in df.collect()) == sorted(
+            [("1", "2", "3"), ("4", "5", None), ("10", "11", "12"), ("q,r", "2", "3")]
+        )
+        assert df.select("a").count() == 4  # pruned reads drop the long row too
     long = melt_name_value(df)
     assert long.count() == 11
 
@@ -93,8 +94,8 @@ def test_ingest_csv_end_to_end(spark):
         fh.write('a,b,c\n1,2,3\n4,5\n6,7,8,9\n10,11,12\n"q,r",2,3\n')
     schema = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
     target, nv = os.path.join(d, "t"), os.path.join(d, "nv")
-    loaded = io.ingest_csv(spark, p, schema, target, name_value_target=nv)
+    loaded = io.ingest_csv(spark, p, schema, target, name_value_target=nv, multi_line=True)
     assert loaded.count() == 4
     assert spark.read.parquet(nv).count() == 11
-    io.ingest_csv(spark, p, schema, target)  # drop-then-load: still 4 rows
+    io.ingest_csv(spark, p, schema, target, multi_line=True)  # drop-then-load: still 4 rows
     assert spark.read.parquet(target).count() == 4

@@ -31,7 +31,7 @@ def test_csv_rows_equal_pandas(spark, tmp_path):
     with open(path, "w") as f:
         f.write('a,b,c\n1,2,3\n1,2,3,\n1,2,3,,5\n4,"x ""q"", y",6\n7,"line\nend",9\n8,9\n')
     schema = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
-    got = sorted(tuple(r) for r in io.read_csv_skip_bad_lines(spark, path, schema).collect())
+    got = sorted(tuple(r) for r in io.read_csv_skip_bad_lines(spark, path, schema, multi_line=True).collect())
     want = pd.read_csv(path, dtype=str, on_bad_lines="skip", index_col=False)
     want = [tuple(None if pd.isna(v) else v for v in r) for r in want.itertuples(index=False)]
     # a surplus field is a bad line even if it is empty

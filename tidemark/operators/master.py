@@ -2,6 +2,7 @@
 
 ``<folder>/rows``     the master's rows: a Parquet table with one partition per day,
                       bucketed by (value, salt) within it;
+``<folder>/batches``  one small file per micro-batch of the streaming form, written first;
 ``<folder>/commits``  one small JSON file per folded day, written last (to another name
                       first, then renamed): day, number of rows, largest id of the master
                       so far, files, and the heavy values.
@@ -148,6 +149,20 @@ class Master:
         return self._committed(last).join(wanted, ["value", "salt"], "left_semi")
 
     # ------------------------------------------------------------------- turns
+    def begin_batch(self, batch: int, first: dt.date, last: dt.date) -> bool:
+        """Record a batch of days before any is folded.  True if it was recorded before,
+        so this is another attempt at it.  A new batch must start after the mark: a day
+        that was folded already cannot take more rows."""
+        name = f"batches/{batch}-{first.isoformat()}-{last.isoformat()}.json"
+        fs, target = self._fs(f"{self.folder}/{name}")
+        if fs.exists(target):
+            return True
+        mark = self.mark()
+        if mark is not None and first <= mark:
+            raise ValueError(f"batch {batch} brings rows of {first}, but the master is folded up to {mark}")
+        self._write_json(name, {"batch": batch, "first": first.isoformat(), "last": last.isoformat()})
+        return False
+
     def append(self, rows: DataFrame, day: dt.date, last: Commit | None) -> None:
         """Write a day's rows without committing them, instead of any that an earlier
         attempt left; a file per bucket at most."""

@@ -37,7 +37,7 @@ def q_csv_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "customer-csv")
     table(spark, sf, "customer").select(F.explode(records).alias("value")).write.text(path)
     schema = spark.createDataFrame([], "c_custkey long, label string, c_mktsegment string").schema
-    return _io.read_csv_skip_bad_lines(spark, path, schema, header=False)
+    return _io.read_csv_skip_bad_lines(spark, path, schema, header=False, multi_line=True)
 
 
 # ---------------------------------------------------------------- SRC-4 / SRC-5: other delimiters
@@ -60,7 +60,7 @@ def q_csv_comments(spark: SparkSession, sf: str) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    read = _io.read_csv_skip_bad_lines(spark, path, source.schema, header=False)
+    read = _io.read_csv_skip_bad_lines(spark, path, source.schema, header=False, multi_line=True)
     return _text.documents(read, "text")
 
 
@@ -132,7 +132,7 @@ def q_csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
     source = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     path, loaded, melted = (scratch_path(spark, f"customer-{n}") for n in ("upload", "loaded", "melted"))
     source.write.option("header", True).csv(path)
-    _io.ingest_csv(spark, path, source.schema, loaded, name_value_target=melted)
+    _io.ingest_csv(spark, path, source.schema, loaded, name_value_target=melted, multi_line=True)
     return spark.read.parquet(melted)
 
 

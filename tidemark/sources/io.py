@@ -25,7 +25,7 @@ _RECORD = "_record_of_other_length"
 
 
 def read_csv_skip_bad_lines(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True, *, multi_line: bool
 ) -> DataFrame:
     """CSV read that drops rows with *more* fields than the schema and keeps
     rows with fewer (missing fields become NULL), as a pandas reader with bad
@@ -33,8 +33,9 @@ def read_csv_skip_bad_lines(
 
     A record whose number of fields is not the schema's comes back whole in an
     extra column; its separators outside quotes are counted, so ``1,2,3,`` is
-    seen to have four fields.  With ``multi_line`` a quoted field may hold line
-    ends, for which a file is read by one task; without it files are split."""
+    seen to have four fields.  ``multi_line`` has no default, as it decides the cost:
+    with it a quoted field may hold line ends, for which each file is read whole by
+    one task; without it files are split and read by many."""
     probe = T.StructType(list(schema.fields) + [T.StructField(_RECORD, T.StringType(), True)])
     df = (
         spark.read.option("header", header)
@@ -42,6 +43,7 @@ def read_csv_skip_bad_lines(
         .option("mode", "PERMISSIVE")
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("columnPruning", False)  # a pruned parse doesn't see how long a record is
         .option("columnNameOfCorruptRecord", _RECORD)
         .schema(probe)
         .csv(path)
@@ -122,6 +124,8 @@ def ingest_csv(
     disposition: str = "WRITE_TRUNCATE",
     name_value_target: str | None = None,
     sep: str = ",",
+    *,
+    multi_line: bool,
 ) -> DataFrame:
     """J10 end to end: read a CSV with bad lines skipped, load it into
     ``target`` (drop-then-load by default), and optionally also load its
@@ -129,7 +133,7 @@ def ingest_csv(
     table as read back from ``target``."""
     from tidemark.operators.reshape import melt_name_value
 
-    df = read_csv_skip_bad_lines(spark, path, schema, sep=sep)
+    df = read_csv_skip_bad_lines(spark, path, schema, sep=sep, multi_line=multi_line)
     write_table(df, target, disposition)
     loaded = spark.read.schema(schema).parquet(target)
     if name_value_target:

@@ -1,16 +1,18 @@
 """J1i as a Structured Streaming job: new day shards of the event stream are
 picked up as they land and each day is folded into the master table.
 
-``readStream`` over the shard folder -> ``foreachBatch``: the micro-batch's
-days (a handful of dates) are processed in order with the batch day
-pipeline (a day must land whole: the upstream commits one day's shard at
-once, as the daily export does; a day split over two micro-batches would be
-labelled as two days), and each day's appended rows are written to the master under
-``batch=<epoch>/day=<date>`` with dynamic partition overwrite, so a retried
-micro-batch rewrites its own output instead of appending twice.  Progress is
-kept in the streaming checkpoint, so a restarted job continues after the last
-committed batch.  ``trigger(availableNow=True)`` processes what is there and
-stops (the daily-run mode of the original loop).
+``readStream`` over the shard folder -> ``foreachBatch``: the days of a micro-batch are
+labelled and merged in one pass and folded, in order, into the persistent master
+(``operators.master``), a commit each.  A batch is recorded in the master before its
+first day is folded, so one that Spark runs again (a lost driver, a failed attempt)
+is known: its committed days are left out, the others folded from committed rows.
+Nothing is appended twice and at most one day is repeated.  The match shuffles the
+batch's values only, as in the batch loop, which may continue the same master.
+
+A day must land whole and in order, as the daily export writes it: a batch that brings
+a day at or before the master's last one raises, and nothing of it is folded.  Rows
+without a date belong to no day.  ``trigger(availableNow=True)`` processes what is
+there and stops (the daily-run mode of the original loop).
 """
 
 from __future__ import annotations
@@ -26,50 +28,24 @@ from tidemark.operators import identity
 from tidemark.session import materialise, scratch_scope
 
 
-def read_master(spark: SparkSession, master_root: str, with_batch: bool = False) -> DataFrame:
-    """The master as written by the stream (empty before the first batch);
-    ``with_batch`` keeps the writing epoch."""
-    try:
-        df = spark.read.parquet(master_root)
-    except Exception as err:  # no batch committed yet
-        if "PATH_NOT_FOUND" in str(err) or "UNABLE_TO_INFER_SCHEMA" in str(err):
-            return identity.empty_master(spark)
-        raise
-    return df.select(*identity.MASTER_COLUMNS, *(["batch"] if with_batch else []))
+def read_master(spark: SparkSession, master_root: str) -> DataFrame:
+    """The committed rows of the master (none before the first batch)."""
+    return identity.open_master(spark, master_root).rows()
 
 
 def batch_folder(master_root: str, as_of: dt.datetime, date_col: str = "event_date"):
-    """The ``foreachBatch`` body: fold each day of a micro-batch into the
-    master.  Output goes to ``batch=<epoch>/day=<date>`` with dynamic
-    partition overwrite, so running an epoch again (a retry after a lost
-    executor or driver restart) replaces its own rows instead of adding
-    them twice."""
+    """The ``foreachBatch`` body: fold the days of a micro-batch into the master."""
 
     def fold_batch(batch: DataFrame, epoch_id: int) -> None:
-        with scratch_scope(batch.sparkSession):
-            _fold(batch, epoch_id)
-
-    def _fold(batch: DataFrame, epoch_id: int) -> None:
-        batch = materialise(batch, "micro_batch")
-        # distinct days of one micro-batch: a few dates, bounded by the batch
-        days = sorted(r[0] for r in batch.select(date_col).distinct().collect())
         spark = batch.sparkSession
-        master = read_master(spark, master_root, with_batch=True)
-        if "batch" in master.columns:
-            master = master.filter(F.col("batch") != epoch_id)
-        master = master.select(*identity.MASTER_COLUMNS)
-        for day in days:
-            merged = identity.day_pipeline(batch, day, as_of, date_col)
-            appended = materialise(identity.fold_into_master(merged, master, as_of), "appended")
-            (
-                appended.withColumn("batch", F.lit(epoch_id))
-                .withColumn("day", F.lit(day.isoformat()))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch", "day")
-                .parquet(master_root)
-            )
-            master = master.unionByName(appended)
+        with scratch_scope(spark):
+            batch = materialise(batch, "micro_batch")
+            first, last = batch.agg(F.min(date_col), F.max(date_col)).head()
+            if first is None:
+                return
+            master = identity.open_master(spark, master_root)
+            master.begin_batch(epoch_id, first, last)
+            identity.fold_days(batch, master, first, last, as_of, date_col)
 
     return fold_batch
 
