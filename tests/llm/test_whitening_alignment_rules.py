@@ -312,6 +312,18 @@ def test_many_tokens_that_always_meet(spark):
     assert len(got) == 91 and [r.verdict for r in got if r.page_id == 100] == ["block"]
 
 
+def test_all_tokens_of_a_row_are_mined(spark):
+    """Two tokens tell the label only together, in rows of ten others that say no less
+    each; and thirty tokens that always meet under both labels are no 2^30 sets."""
+    others = [f"t{i}" for i in range(10)]
+    kinds = [(others + ["z1", "z2"], "block"), (others + ["z1"], "allow"), (others + ["z2"], "allow"), (others, "block")]
+    always = [f"w{i:02d}" for i in range(30)]
+    kinds += [(always, "allow"), (always, "block")]
+    df = spark.createDataFrame(kinds * 10, "tokens array<string>, verdict string")
+    rules, _ = url_rules.mine(df, 0.05, 0.7, 5)
+    assert [(r.tokens, r.verdict, r.confidence) for r in rules.collect()] == [(["z1", "z2"], "block", 1.0)]
+
+
 def test_op13_on_its_table(spark):
     got = queries.QUERIES["op13_url_filters"](spark, SF001)
     assert got.columns[:5] == ["page_id", "host", "path", "rule", "verdict"]

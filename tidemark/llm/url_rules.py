@@ -10,10 +10,12 @@ hold documents, not pages, so the labelled URLs are those that a listed rule jud
 1. A URL's tokens are its scheme, host labels (the last one apart), path segments,
    file ending and names of query parameters.  Rows are counted per token and label;
    tokens below the support are left out, as no rule can hold them.
-2. FP-growth (Spark MLlib) mines the combinations of tokens with a label.  An item set
-   has 2^k subsets, so at most ``ITEMS`` tokens of a row enter: those that deviate most
-   from the labels' overall share (in standard deviations).  This chooses what is mined;
-   all tokens of a URL take part in the matching.
+2. Combinations of tokens are grown by one token at a time from all tokens of the rows
+   (equal rows are counted once, with their number).  A combination goes on for a label
+   while it has the label's support and each of its tokens rules out a row of the other
+   label.  Where one rules out none, the combination without it is as confident, and so it
+   is for all larger ones: no rule of step 3 is left out, and no row, token or size is cut.
+   Tokens that always meet (a long URL that comes often) stay single.
 3. Rules that end in a label stay if they reach the support and confidence and are more
    confident than each rule with one token less.
 4. Matching by inverted index: a rule is listed under its rarest token.  The distinct
@@ -32,7 +34,9 @@ stays null.  Other columns are ignored.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,9 +55,6 @@ ALLOW, BLOCK = "allow", "block"
 #: Least share of the labelled rows (and least rows) with a rule's tokens and label.
 SUPPORT, LEAST_ROWS = 0.002, 5
 CONFIDENCE = 0.7
-#: Tokens of a row that are mined together.
-ITEMS = 10
-_LABEL = "verdict="
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -97,25 +98,64 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(found)))
 
 
-def _transactions(labelled: DataFrame, stats: DataFrame, share: float) -> DataFrame:
-    """(items) of each labelled row: its most telling tokens, and its label."""
-    expected = F.col("n") * share
-    deviation = F.abs(F.col("n_block") - expected) / F.sqrt(F.col("n") * max(share * (1 - share), 1e-12))
-    telling = stats.select("token", (-deviation).alias("order"))
-    chosen = (
+def _transactions(labelled: DataFrame, stats: DataFrame) -> DataFrame:
+    """(items, n, n_block): the sets of supported tokens that rows hold, in order of the
+    alphabet, with their rows."""
+    supported = (
         labelled.select("row", "verdict", F.explode("tokens").alias("token"))
-        .join(telling, "token")
+        .join(stats.select("token"), "token")
         .groupBy("row", "verdict")
-        .agg(F.slice(F.sort_array(F.collect_list(F.struct("order", "token"))), 1, ITEMS).alias("best"))
+        .agg(F.array_sort(F.collect_list("token")).alias("items"))
     )
-    return chosen.select(F.concat(F.col("best.token"), F.array(F.concat(F.lit(_LABEL), "verdict"))).alias("items"))
+    return supported.groupBy("items").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("verdict") == BLOCK).alias("n_block")
+    )
+
+
+def _grown(transactions: DataFrame, least_rows: int) -> list[DataFrame]:
+    """Per size, the combinations (tokens, n, n_block) that can be a rule, and for which
+    label (``allow``, ``block``)."""
+
+    def longer(held: DataFrame) -> DataFrame:
+        """Each occurrence with one more of the row's later tokens."""
+        more = held.select("n", "n_block", "tokens", "rest", F.posexplode("rest").alias("at", "token"))
+        return more.select(
+            "n", "n_block", F.concat("tokens", F.array("token")).alias("tokens"),
+            F.expr("slice(rest, at + 2, size(rest))").alias("rest"),
+        )
+
+    held = transactions.select("n", "n_block", F.array().cast("array<string>").alias("tokens"), F.col("items").alias("rest"))
+    levels: list[DataFrame] = []
+    while True:
+        held = materialise(longer(held), "occurrences")
+        found = held.groupBy("tokens").agg(F.sum("n").alias("n"), F.sum("n_block").alias("n_block"))
+        supported = {"allow": F.col("n") - F.col("n_block") >= least_rows, "block": F.col("n_block") >= least_rows}
+        found = found.withColumns(supported).filter("allow OR block")
+        if levels:
+            less = levels[-1].select(
+                F.col("tokens").alias("less"), F.col("n").alias("_n"), F.col("n_block").alias("_b"),
+                F.col("allow").alias("_allow"), F.col("block").alias("_block"),
+            )
+            found = (
+                found.withColumn("less", F.explode(F.transform("tokens", lambda x: F.array_remove("tokens", x))))
+                .join(less, "less")
+                .groupBy("tokens", "n", "n_block")
+                .agg(
+                    (F.count_if(F.expr("allow AND _allow AND n_block < _b")) == F.size("tokens")).alias("allow"),
+                    (F.count_if(F.expr("block AND _block AND n - n_block < _n - _b")) == F.size("tokens")).alias("block"),
+                )
+                .filter("allow OR block")
+            )
+        levels.append(materialise(found, "combinations"))
+        going = levels[-1].filter("(allow AND n_block > 0) OR (block AND n_block < n)").select("tokens")
+        if going.isEmpty():
+            return levels
+        held = held.join(going, "tokens").filter(F.size("rest") > 0)
 
 
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, least_rows: int = LEAST_ROWS):
     """Rules (tokens, verdict, confidence, support, token: the rarest) from rows with
     ``tokens`` and a ``verdict``, and the verdict where no rule fits."""
-    from pyspark.ml.fpm import FPGrowth
-
     spark = labelled.sparkSession
     labelled = materialise(
         labelled.select("tokens", "verdict", F.monotonically_increasing_id().alias("row")), "labelled-urls"
@@ -131,15 +171,18 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     )
     least = max(support, least_rows / n)
     stats = materialise(stats.filter(F.col("n") >= least * n), "token-counts")
-    items = materialise(_transactions(labelled, stats, blocked / n), "transactions")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    growth = FPGrowth(itemsCol="items", minSupport=min(least, 1.0), minConfidence=confidence, numPartitions=partitions)
-    label = F.col("consequent")[0]
-    rules = growth.fit(items).associationRules.filter(label.startswith(_LABEL)).select(
-        F.array_sort("antecedent").alias("tokens"),
-        F.expr(f"substr(consequent[0], {len(_LABEL) + 1})").alias("verdict"),
-        "confidence",
-        "support",
+    transactions = materialise(_transactions(labelled, stats), "transactions")
+    rows = transactions.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+    combinations = reduce(DataFrame.unionByName, _grown(transactions, math.ceil(min(least, 1.0) * rows)))
+    sides = F.array(
+        F.struct(F.lit(ALLOW).alias("verdict"), F.col("allow").alias("is_rule"), (F.col("n") - F.col("n_block")).alias("right")),
+        F.struct(F.lit(BLOCK).alias("verdict"), F.col("block").alias("is_rule"), F.col("n_block").alias("right")),
+    )
+    rules = (
+        combinations.select("tokens", "n", F.inline(sides))
+        .filter("is_rule")
+        .select("tokens", "verdict", (F.col("right") / F.col("n")).alias("confidence"), (F.col("right") / F.lit(rows)).alias("support"))
+        .filter(F.col("confidence") >= confidence)
     )
     rules = materialise(_telling(materialise(rules, "rules")), "telling-rules")
     rarest = (
