@@ -136,3 +136,51 @@ def test_a_heavy_value_is_read_by_several_tasks(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _odd_events(spark, seed):
+    """Few ids over some days: persons that share values for days, known in part or in
+    whole, rows that come twice, and days on which nobody has a group (no ids)."""
+    import random
+
+    pick = random.Random(seed)
+    rows = []
+    for k, day in enumerate(DAY[:5]):
+        for i in range(14):
+            nobody = k == 2
+            user = "" if nobody else pick.choice(["", "undefined", "u1", f"u{pick.randrange(9)}"])
+            print_ = "" if nobody else pick.choice(["", "undefined", f"f{pick.randrange(12 + 2 * k)}"])
+            client = pick.choice(["undefined", f"c{pick.randrange(10 + 3 * k)}", f"c{pick.randrange(6)}"])
+            at = int(dt.datetime.combine(day, dt.time()).timestamp()) * 1_000_000 + i % 5
+            rows.append((day, at, "view", user, client, print_, ["p"]))
+    rows += rows[::7]
+    columns = "event_date date, event_timestamp long, event_name string, user_id string, user_pseudo_id string, fingerprint string, event_params array<string>"
+    return spark.createDataFrame(rows, columns)
+
+
+def test_a_backlog_is_folded_in_spans(spark, monkeypatch):
+    """Days folded together add what a turn for each adds; the master is looked up once a
+    span, and a day without groups (the third) has its own: 3 times instead of 5."""
+    events = _odd_events(spark, 1)
+    before = spark.createDataFrame([(5, "client_id", "c1", AS_OF, 1), (7, "client_id", "c1", AS_OF, 1), (9, "user_id", "u3", AS_OF, 2)], I.MASTER_SCHEMA)
+    looked_up, hits = [], Master.hits
+    monkeypatch.setattr(Master, "hits", lambda self, values, last: looked_up.append(last) or hits(self, values, last))
+    for master in (None, before):
+        by_turns = I.run_days(events, DAY[0], DAY[4], AS_OF, master=master, bucket_master=False)
+        looked_up.clear()
+        together = I.run_days(events, DAY[0], DAY[4], AS_OF, master=master, bucket_master=4)
+        assert len(looked_up) == 3
+        assert _rows(together) == _rows(by_turns)
+        assert together.count() > 30
+
+
+def test_ids_reach_over_several_persons(spark):
+    """c1's id goes on to c2 by f1, to c3 by f2, ... one person further each day, though
+    the persons between got larger ids first."""
+    rows = [(DAY[0], i, "view", "", f"c{i}", f"f{i}", ["p"]) for i in range(9)]
+    rows += [(DAY[k], 100 * k + i, "view", "", c, f, ["p"]) for k in range(1, 5) for i, (c, f) in enumerate([(f"c{k}", f"f{k - 1}"), (f"x{k}", f"f{k}")])]
+    columns = "event_date date, event_timestamp long, event_name string, user_id string, user_pseudo_id string, fingerprint string, event_params array<string>"
+    events = spark.createDataFrame(rows, columns)
+    by_turns = I.run_days(events, DAY[0], DAY[4], AS_OF, bucket_master=False)
+    together = I.run_days(events, DAY[0], DAY[4], AS_OF, bucket_master=4)
+    assert _rows(together) == _rows(by_turns)

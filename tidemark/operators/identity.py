@@ -26,7 +26,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,21 +198,27 @@ def merge_day(labelled: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     (name, value).  Not a closure: chains longer than two hops keep several
     ids (``merge_closure`` finishes them).  ``by`` as in ``label_day``."""
     by = list(by)
-    pairs = labelled.select(*by, "super_id", "value").distinct()
+    # read by three branches: written once.  A minimum needs no distinct pairs.
+    cells = materialise(
+        labelled.groupBy(*by, "super_id", "name", "value", "date_insert").agg(F.min("date_table").alias("date_table")),
+        "cells",
+    )
+    pairs = cells.select(*by, "super_id", "value")
     # join_on_keys re-shuffles the grouped side under each join, which lets
     # AQE split the partition of a hot value (a shared fingerprint)
     r = pairs.groupBy(*by, "value").agg(F.min("super_id").alias("_r"))
-    m = join_on_keys(pairs, r, [*by, "value"]).groupBy("super_id").agg(F.min("_r").alias("_m"))
-    final = (
-        join_on_keys(pairs.filter(F.col("super_id").isNotNull()), m, ["super_id"])
-        .groupBy(*by, "value")
-        .agg(F.min("_m").alias("super_id"))
+    m = join_on_keys(pairs.filter(F.col("super_id").isNotNull()), r, [*by, "value"]).groupBy("super_id").agg(F.min("_r").alias("_m"))
+    # values without an id keep none
+    rows = (
+        join_on_keys(cells, m, ["super_id"], "left")
+        .groupBy(*by, "name", "value", "date_insert")
+        .agg(F.min("_m").alias("_m"), F.min("date_table").alias("date_table"))
     )
-    first_seen = labelled.groupBy(*by, "name", "value").agg(F.min("date_table").alias("date_table"))
-    rows = labelled.select(*by, "name", "value", "date_insert").distinct()
-    out = join_on_keys(rows, final, [*by, "value"], "left")
-    out = join_on_keys(out, first_seen, [*by, "name", "value"], "left")
-    return out.select(*by, *MASTER_COLUMNS).distinct()
+    # a value has a row per name and insert time by now, so these windows are small
+    of_value, of_name = Window.partitionBy(*by, "value"), Window.partitionBy(*by, "value", "name")
+    return rows.withColumns(
+        {"super_id": F.min("_m").over(of_value), "date_table": F.min("date_table").over(of_name)}
+    ).select(*by, *MASTER_COLUMNS)
 
 
 # ------------------------------------------------------------------ J1h
@@ -269,6 +275,101 @@ def fold_hits(day: DataFrame, hits: DataFrame, top: int | None, as_of: dt.dateti
     )
 
 
+#: ``fold_span``: what each value and person of the span is to the master.  A value has at
+#: most a row per name and day, so a window over a value is small.
+_VALUES = """
+WITH held AS (SELECT value, min(super_id) AS held_id FROM {hits} GROUP BY value),
+seen AS (
+  SELECT *, min(day) OVER (PARTITION BY value) < day AS earlier FROM {days})
+SELECT s.day, s.super_id AS person, s.name, s.value, s.date_table, earlier OR h.value IS NOT NULL AS known, held_id
+FROM seen s LEFT JOIN held h ON s.value = h.value
+"""
+_PERSONS = """
+SELECT day, person, count(*) AS n, count_if(known) AS known, min(held_id) AS held_id
+FROM {values} GROUP BY day, person HAVING count(*) > count_if(known)
+"""
+#: Numbers unknown persons day after day: after a day the largest id is that of its last
+#: unknown person.  Windows run over the days, the id ranges of a day, and inside a range.
+_FRESH = """
+WITH fresh AS (SELECT day, person, n, person DIV {width} AS id_range FROM {persons} WHERE known = 0),
+ranges AS (SELECT day, id_range, sum(n) AS n, max_by(n, person) AS n_last FROM fresh GROUP BY day, id_range),
+days AS (SELECT day, sum(n) - max_by(n_last, id_range) + 1 AS step FROM ranges GROUP BY day),
+tops AS (SELECT day, {top} + sum(step) OVER (ORDER BY day) - step AS top FROM days),
+starts AS (
+  SELECT r.day, id_range, top + sum(n) OVER (PARTITION BY r.day ORDER BY id_range) - n AS earlier
+  FROM ranges r JOIN tops t ON r.day = t.day)
+SELECT f.person,
+  CAST(earlier + sum(n) OVER (PARTITION BY f.day, f.id_range ORDER BY f.person) - n + 1 AS BIGINT) AS new_id
+FROM fresh f JOIN starts s ON f.day = s.day AND f.id_range = s.id_range
+"""
+#: The appended rows: as in ``fold_hits`` a row comes once per name and id that its value
+#: has in the master before the day.
+_APPENDED = """
+WITH owned AS (SELECT a.*, g.goal FROM {rows} a JOIN {goals} g ON a.person = g.person),
+old AS (
+  SELECT value, name, super_id, min(day) AS day
+  FROM (SELECT value, name, goal AS super_id, day FROM owned
+        UNION ALL SELECT value, name, super_id, DATE '0001-01-01' FROM {hits})
+  GROUP BY value, name, super_id)
+SELECT a.day, a.goal AS super_id, a.name, a.value, {now} AS date_insert, a.date_table
+FROM owned a LEFT JOIN old o ON a.value = o.value AND o.day < a.day
+"""
+
+
+def fold_span(days: DataFrame, hits: DataFrame, top: int | None, as_of: dt.datetime) -> DataFrame:
+    """``fold_hits`` of many days at once: the rows that each day appends, with ``day``.
+
+    ``days`` are merged days as ``days_pipeline`` makes them, without persons that have no
+    id: a value has one person a day, and persons have ids of their own over all days,
+    rising with the day.  ``hits`` and ``top`` describe the master before the first day.
+
+    A day leaves all its values in the master, so a value is known on a day if the master
+    or an earlier day holds it.  That tells fully known, partly known and unknown persons
+    apart without a turn per day, and gives the unknown ones their ids.  A partly known
+    person takes the smallest id that reaches it from its values' persons of earlier days
+    (``_reached_ids``)."""
+    spark = days.sparkSession
+    values = materialise(spark.sql(_VALUES, days=days, hits=hits), "span-values")
+    persons = materialise(spark.sql(_PERSONS, values=values), "span-persons")
+    fresh = spark.sql(_FRESH, persons=persons, top=1 if top is None else int(top), width=RANGE)
+    rows = materialise(
+        join_on_keys(values.drop("known", "held_id"), persons.select("person"), ["person"], "left_semi"), "span-rows"
+    )
+    goals = join_on_keys(persons.select("person", "known", "held_id"), fresh, ["person"], "left").select(
+        "person", (F.col("known") > 0).alias("partly"), F.coalesce("new_id", "held_id").alias("goal")
+    )
+    now = f"TIMESTAMP_NTZ '{as_of.isoformat(sep=' ')}'"
+    return spark.sql(
+        _APPENDED.replace("{now}", now), rows=rows, goals=_reached_ids(rows, goals), hits=hits.select("value", "name", "super_id")
+    )
+
+
+def _reached_ids(rows: DataFrame, goals: DataFrame) -> DataFrame:
+    """(person, goal) with the smallest id that reaches each partly known person.
+
+    Along the days of a value the smallest id never rises, so a person looks at the last
+    person before it that brought rows of the value.  Only persons whose goal fell in a
+    round are followed in the next; there are no more rounds than days."""
+    before = Window.partitionBy("value").orderBy("day")
+    links = (
+        rows.select("value", "day", "person").distinct()
+        .withColumn("source", F.lag("person").over(before))
+        .filter("source IS NOT NULL").select("person", "source").distinct()
+    )
+    links, goals = materialise(links, "span-links"), materialise(goals, "span-goals")
+    fell = goals.filter("goal IS NOT NULL")
+    while True:
+        sent = fell.select(F.col("person").alias("source"), F.col("goal").alias("_sent"))
+        offers = links.join(sent, "source").groupBy("person").agg(F.min("_sent").alias("_offer"))
+        lower = F.col("partly") & (F.col("goal").isNull() | (F.col("_offer") < F.col("goal")))
+        fell = goals.join(offers, "person").filter(lower).select("person", F.col("_offer").alias("goal"))
+        fell = materialise(fell, "span-fell")
+        if fell.isEmpty():
+            return goals.select("person", "goal")
+        better = join_on_keys(goals, fell.withColumnRenamed("goal", "_new"), ["person"], "left")
+        goals = materialise(better.select("person", "partly", F.coalesce("_new", "goal").alias("goal")), "span-goals")
+
+
 # ------------------------------------------------------------------ J1i
 def day_pipeline(events: DataFrame, day: dt.date, as_of: dt.datetime, date_col: str = "event_date") -> DataFrame:
     """Events of one day -> the merged day (``last_day``), materialised (the
@@ -279,11 +380,10 @@ def day_pipeline(events: DataFrame, day: dt.date, as_of: dt.datetime, date_col:
 def days_pipeline(events: DataFrame, start: dt.date, end: dt.date, as_of: dt.datetime, date_col: str = "event_date") -> DataFrame:
     """``day_pipeline`` of all days of ``start..end`` at once, told apart by ``day``.
     A day's labelling and merge don't depend on the master, so a backlog is done in
-    one pass; only the fold goes day by day.  Sorted by day, so a day's turn reads
-    only the row groups that hold it."""
+    one pass."""
     by = ["day"]
     labelled = label_day(clean_ids(days_events(events, start, end, date_col), by), as_of, by)
-    return materialise(merge_day(labelled, by).sortWithinPartitions("day"), "merged-days")
+    return materialise(merge_day(labelled, by), "merged-days")
 
 
 def run_days(
@@ -345,7 +445,11 @@ def fold_days(
     events: DataFrame, master: Master, start: dt.date, end: dt.date, as_of: dt.datetime, date_col: str = "event_date"
 ) -> list[Commit]:
     """Fold days ``start..end`` into the master, a commit each.  Days up to the
-    master's mark are done and left out."""
+    master's mark are done and left out.
+
+    The days are folded together (``fold_span``), written by one job and then committed in
+    turn.  A day with persons without ids (no group that day) can leave values out of the
+    master, so it has a turn of its own (``fold_hits``) between the spans."""
     spark, done = events.sparkSession, []
     last = master.last_commit()
     mark = master.mark()
@@ -354,15 +458,27 @@ def fold_days(
         return done
     with scratch_scope(spark):
         merged = days_pipeline(events, day, end, as_of, date_col)
+        # a row per day at most
+        alone = {r[0] for r in merged.filter("super_id IS NULL").select("day").distinct().collect()}
         while day <= end:
-            rows = merged.filter(F.col("day") == F.lit(day)).select(*MASTER_COLUMNS)
+            span = [day]
+            while day not in alone and span[-1] < end and span[-1] + dt.timedelta(days=1) not in alone:
+                span.append(span[-1] + dt.timedelta(days=1))
+            rows = merged.filter(F.col("day").between(F.lit(span[0]), F.lit(span[-1])))
             hits = master.hits(rows.select("value"), last)
+            top = last.top if last else None
             # reads committed days and the written merge only, so a failed attempt can
             # be repeated from the same tables
-            master.append(fold_hits(rows, hits, last.top if last else None, as_of), day, last)
-            last = master.commit(day, last)
-            done.append(last)
-            day += dt.timedelta(days=1)
+            if day in alone:
+                master.append(fold_hits(rows.select(*MASTER_COLUMNS), hits, top, as_of), day, last)
+            else:
+                hits = materialise(hits.select("value", "name", "super_id").distinct(), "span-hits")
+                master.append_days(fold_span(rows, hits, top, as_of), span, last)
+            master.look_at(span)
+            for day in span:
+                last = master.commit(day, last)
+                done.append(last)
+            day = span[-1] + dt.timedelta(days=1)
     return done
 
 

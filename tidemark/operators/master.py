@@ -9,8 +9,10 @@
 
 A day counts once its commit is there.  Rows of a later day that never got one (a driver
 that died between append and commit) are invisible and removed when the day is folded
-again, so a restart repeats at most one day.  The high-water mark and the largest id come
-from the last commit: no scan of the master, and a day that added no row is a commit too.
+again.  A backlog is written by one job and its days are committed after it, so a restart
+repeats the days of the backlog that have no commit, as it repeats their labelling.  The
+high-water mark and the largest id come from the last commit: no scan of the master, and a
+day that added no row is a commit too.
 
 The day-to-master match is a bucketed join: only the day's values are shuffled.  A bucket
 cannot be split by AQE, so a value that gets many rows is *salted*: once a value has
@@ -24,6 +26,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +67,7 @@ class Master:
         self.spark, self.folder, self.heavy_rows, self.salts = spark, folder.rstrip("/"), heavy_rows, salts
         self.columns = [c.split()[0] for c in columns.split(", ")]
         self.rows_path, self.commits_path = f"{self.folder}/rows", f"{self.folder}/commits"
+        self._seen: dict[str, tuple] = {}  # days looked at and not yet committed
         made = self._read_json("layout.json")
         self.buckets = made["buckets"] if made else buckets
         if not made:
@@ -164,35 +168,57 @@ class Master:
         return False
 
     def append(self, rows: DataFrame, day: dt.date, last: Commit | None) -> None:
-        """Write a day's rows without committing them, instead of any that an earlier
-        attempt left; a file per bucket at most."""
-        name = day.isoformat()
-        fs, target = self._fs(f"{self.rows_path}/day={name}")
-        if fs.exists(target):
-            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION (day = '{name}')")
-            delete_path(self.spark, f"{self.rows_path}/day={name}")
+        """Write a day's rows without committing them (``append_days``)."""
+        self.append_days(rows.withColumn("day", F.lit(day.isoformat())), [day], last)
+
+    def append_days(self, rows: DataFrame, days: Sequence[dt.date], last: Commit | None) -> None:
+        """Write the rows of some days (their ``day``) without committing them, instead of
+        any that an earlier attempt left; a file per day and bucket at most."""
+        for name in (day.isoformat() for day in days):
+            self._seen.pop(name, None)
+            fs, target = self._fs(f"{self.rows_path}/day={name}")
+            if fs.exists(target):
+                self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION (day = '{name}')")
+                delete_path(self.spark, f"{self.rows_path}/day={name}")
         salted = self._with_salts(rows, last)
         salt = F.pmod(F.xxhash64("super_id", "name"), F.col("_salts")).cast("int")
         (
-            salted.select(*self.columns, salt.alias("salt"), F.lit(name).alias("day"))
+            salted.select(*self.columns, salt.alias("salt"), F.col("day").cast("string").alias("day"))
             .repartition(self.buckets, "value", "salt")
             .write.mode("append")
             .insertInto(self.table)
         )
 
+    def look_at(self, days: Sequence[dt.date]) -> None:
+        """Read what was written for some days in one job; their commits use it."""
+        paths = [p for p in (f"{self.rows_path}/day={d.isoformat()}" for d in days) if self._exists(p)]
+        self._seen |= {d.isoformat(): (0, None, []) for d in days}
+        if not paths:
+            return
+        written = self.spark.read.schema(self.spark.table(self.table).schema).option("basePath", self.rows_path)
+        per_value = written.parquet(*paths).groupBy("day", "value").agg(
+            F.count(F.lit(1)).alias("n"), F.max("super_id").alias("top")
+        )
+        found = F.collect_list(F.when(F.col("n") >= self.heavy_rows, F.col("value")))  # rows / heavy_rows at most
+        totals = per_value.groupBy("day").agg(F.sum("n"), F.max("top"), found)
+        self._seen |= {r[0]: tuple(r)[1:] for r in totals.collect()}  # a row per day
+
+    def _exists(self, path: str) -> bool:
+        fs, target = self._fs(path)
+        return fs.exists(target)
+
     def commit(self, day: dt.date, last: Commit | None) -> Commit:
         """Record the day from what was written for it.  The commit is the last write."""
-        path = f"{self.rows_path}/day={day.isoformat()}"
-        fs, target = self._fs(path)
-        heavy, n, top, files = dict(last.heavy) if last else {}, 0, last.top if last else None, []
+        name = day.isoformat()
+        if name not in self._seen:
+            self.look_at([day])
+        n, highest, many = self._seen.pop(name)
+        heavy, top, files = dict(last.heavy) if last else {}, last.top if last else None, []
+        heavy.update(dict.fromkeys(many, self.salts))
+        top = max((t for t in (top, highest) if t is not None), default=None)
+        fs, target = self._fs(f"{self.rows_path}/day={name}")
         if fs.exists(target):
-            written = self.spark.read.schema(self.spark.table(self.table).schema).parquet(path)
-            per_value = written.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.max("super_id").alias("top"))
-            found = F.collect_list(F.when(F.col("n") >= self.heavy_rows, F.col("value")))  # rows / heavy_rows at most
-            n, highest, many = per_value.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("top"), found).head()
-            heavy.update(dict.fromkeys(many, self.salts))
-            top = max((t for t in (top, highest) if t is not None), default=None)
             files = sorted(s.getPath().getName() for s in fs.listStatus(target) if s.getPath().getName().startswith("part-"))
-        record = Commit(day.isoformat(), n, top, files, heavy)
+        record = Commit(name, n, top, files, heavy)
         self._write_json(f"commits/{record.day}.json", asdict(record))
         return record
