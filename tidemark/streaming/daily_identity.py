@@ -2,11 +2,11 @@
 picked up as they land and each day is folded into the master table.
 
 ``readStream`` over the shard folder -> ``foreachBatch``: the days of a micro-batch are
-labelled and merged in one pass and folded, in order, into the persistent master
-(``operators.master``), a commit each.  A batch is recorded in the master before its
+labelled, merged and folded in one pass into the persistent master
+(``operators.master``), a commit each, in order.  A batch is recorded in the master before its
 first day is folded, so one that Spark runs again (a lost driver, a failed attempt)
 is known: its committed days are left out, the others folded from committed rows.
-Nothing is appended twice and at most one day is repeated.  The match shuffles the
+Nothing is appended twice; days of the batch without a commit are repeated.  The match shuffles the
 batch's values only, as in the batch loop, which may continue the same master.
 
 A day must land whole and in order, as the daily export writes it: a batch that brings
